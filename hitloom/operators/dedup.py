@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-REQUEST_KEY = ("remote_addr", "timestamp", "method", "url")
+# Time leads: logs arrive nearly in time order, which makes the sorts cheap.
+REQUEST_KEY = ("timestamp", "remote_addr", "method", "url")
 SURVIVOR_ORDER = ("status", "body_bytes_sent", "protocol", "http_referer", "user_agent",
                   "client_hostname")
 

@@ -38,12 +38,10 @@ def hot_addresses(requests: DataFrame) -> DataFrame:
     The share bounds their number and the length filter their size, so the result
     may always be broadcast.
     """
-    counts = requests.groupBy("remote_addr").agg(F.count("*").alias("n"))
+    short = requests.filter(F.octet_length("remote_addr") <= HOT_ADDRESS_BYTES)
+    counts = short.groupBy("remote_addr").agg(F.count("*").alias("n"))
     total = counts.select(F.sum("n")).scalar()
-    return counts.filter(
-        (F.col("n") * HOT_SHARE > total)
-        & (F.octet_length("remote_addr") <= HOT_ADDRESS_BYTES)
-    ).select("remote_addr")
+    return counts.filter(F.col("n") * HOT_SHARE > total).select("remote_addr")
 
 
 def broadcast_names(requests: DataFrame, names: DataFrame) -> DataFrame:

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitloom.operators import quality, summaries
@@ -15,6 +14,7 @@ from hitloom.operators.enrich import enrich_hostnames
 from hitloom.operators.increment import high_water_mark, latest_event_time, newer_than
 from hitloom.operators.parse import describe_requests, parse_requests
 from hitloom.operators.sinks import register_tables as register
+from hitloom.operators.sinks import store
 from hitloom.operators.star import STAR, stg_requests
 from hitloom.plans.ingest import load_increment, refine
 from hitloom.plans.warehouse import build_warehouse, star_tables, summary_tables
@@ -30,8 +30,10 @@ from hitloom.sources.raw_logs import fields_of_lines, read_access_logs
 from hitloom.sources.silver import read_silver, silver_view
 from hitloom.streaming.file_ingest import ingest_new_files
 
-# The moment between two uploads in the increment queries.
-CUT = datetime(2024, 1, 16)
+
+def _cut() -> Column:
+    """The moment between two uploads in the increment queries."""
+    return F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
 
 
 def _with_untimed(requests: DataFrame) -> DataFrame:
@@ -116,15 +118,14 @@ def high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = access_log(spark, sf_dir)
-    loaded = describe_requests(log.filter(F.col("timestamp") <= F.lit(str(CUT)).cast("timestamp_ntz")))
+    loaded = describe_requests(log.filter(F.col("timestamp") <= _cut()))
     return newer_than(log, high_water_mark(loaded))
 
 
 def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads; early PUT requests arrive with the second and are too late for it."""
     log = access_log(spark, sf_dir)
-    cut = F.lit(str(CUT)).cast("timestamp_ntz")
-    first = (F.col("timestamp") <= cut) & (F.col("method") != "PUT")
+    first = (F.col("timestamp") <= _cut()) & (F.col("method") != "PUT")
     silver = fresh_folder(spark, "silver")
     landing = _landing(spark, sf_dir, log_lines(log.filter(first)))
     load_increment(spark, landing, silver)
@@ -136,12 +137,11 @@ def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two uploads, the later requests first; the stream keeps both."""
     log = access_log(spark, sf_dir)
-    cut = F.lit(str(CUT)).cast("timestamp_ntz")
     silver = fresh_folder(spark, "silver")
     checkpoint = fresh_folder(spark, "stream-state")
-    landing = _landing(spark, sf_dir, log_lines(log.filter(F.col("timestamp") > cut)))
+    landing = _landing(spark, sf_dir, log_lines(log.filter(F.col("timestamp") > _cut())))
     ingest_new_files(spark, landing, silver, checkpoint)
-    land_lines(log_lines(log.filter(F.col("timestamp") <= cut)), landing, 2024, 2)
+    land_lines(log_lines(log.filter(F.col("timestamp") <= _cut())), landing, 2024, 2)
     ingest_new_files(spark, landing, silver, checkpoint)
     ingest_new_files(spark, landing, silver, checkpoint)
     return read_silver(spark, silver)
@@ -159,12 +159,14 @@ def star_table(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAR[name](staged(spark, sf_dir))
 
 
-def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return star_tables(silver_requests(spark, sf_dir))
+def _checked_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Silver and star; silver is written first, so the many checks share its dedup."""
+    silver = store(silver_requests(spark, sf_dir), fresh_folder(spark, "checked"))
+    return {"silver": silver, **star_tables(silver)}
 
 
 def summary_table(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = _star(spark, sf_dir)
+    star = star_tables(silver_requests(spark, sf_dir))
     fact = star["fact_requests"]
     return summary_tables(
         star, summaries.hits_by_hour(fact), summaries.hits_by_ip(fact),
@@ -173,21 +175,20 @@ def summary_table(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.unique_checks(_star(spark, sf_dir))
+    return quality.unique_checks(_checked_tables(spark, sf_dir))
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = silver_requests(spark, sf_dir)
-    return quality.not_null_checks({"silver": silver, **star_tables(silver)})
+    return quality.not_null_checks(_checked_tables(spark, sf_dir))
 
 
 def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.relationship_checks(_star(spark, sf_dir))
+    return quality.relationship_checks(_checked_tables(spark, sf_dir))
 
 
 def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact addresses missing from a dimension that holds only named addresses."""
-    star = _star(spark, sf_dir)
+    star = star_tables(silver_requests(spark, sf_dir))
     named = star["dim_ip"].filter(F.col("client_hostname").isNotNull())
     return quality.orphans(star["fact_requests"], "ip_sk", named)
 

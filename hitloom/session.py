@@ -41,7 +41,6 @@ def build_session(app_name: str = "hitloom", master: str | None = None,
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         **sizing(input_bytes),
         **settings,
     }
