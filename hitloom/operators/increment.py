@@ -16,7 +16,8 @@ def latest_event_time(silver: DataFrame) -> DataFrame:
     The newest day is found from partition values alone and then prunes the scan
     of the time column to that day.
     """
-    day = F.struct(*PARTITION_COLUMNS)
+    year, month, day_of_month = (F.col(c) for c in PARTITION_COLUMNS)
+    day = year * 10_000 + month * 100 + day_of_month
     newest = silver.select(F.max(day)).scalar()
     return silver.filter(day == newest).agg(F.max("timestamp").alias("max_timestamp"))
 

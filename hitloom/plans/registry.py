@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.operators import quality, summaries
+from hitloom.operators import quality
 from hitloom.operators.dedup import dedup_requests
 from hitloom.operators.enrich import enrich_hostnames
 from hitloom.operators.increment import high_water_mark, latest_event_time, newer_than
@@ -17,7 +17,7 @@ from hitloom.operators.sinks import register_tables as register
 from hitloom.operators.sinks import store
 from hitloom.operators.star import STAR, stg_requests
 from hitloom.plans.ingest import load_increment, refine
-from hitloom.plans.warehouse import build_warehouse, star_tables, summary_tables
+from hitloom.plans.warehouse import SUMMARIES, build_warehouse, star_tables, summary_over
 from hitloom.session import fresh_folder
 from hitloom.sources.derived_logs import (
     access_log,
@@ -166,12 +166,7 @@ def _checked_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def summary_table(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = star_tables(silver_requests(spark, sf_dir))
-    fact = star["fact_requests"]
-    return summary_tables(
-        star, summaries.hits_by_hour(fact), summaries.hits_by_ip(fact),
-        summaries.hits_by_request(fact),
-    )[name]
+    return summary_over(name, silver_requests(spark, sf_dir))
 
 
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,11 +213,6 @@ def register_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SUMMARIES = (
-    "kpi_summary", "agg_hourly_traffic", "agg_status_breakdown", "agg_top_endpoints",
-    "agg_method_split", "agg_error_detail", "agg_day_of_week", "agg_daily_bytes",
-)
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_access_log": parse_access_log,
     "parse_log_lines": parse_log_lines,

@@ -9,26 +9,37 @@ from hitloom.operators.sinks import save_view, store
 from hitloom.operators.star import STAR, stg_requests
 
 
+# Hit counts of the fact that the summaries share.
+HITS = {
+    "hits_by_hour": summaries.hits_by_hour,
+    "hits_by_ip": summaries.hits_by_ip,
+    "hits_by_request": summaries.hits_by_request,
+}
+
+# Each summary with the hit counts and the dimension it reads.
+SUMMARIES = {
+    "kpi_summary": (summaries.kpi_summary, "hits_by_ip", "dim_status"),
+    "agg_hourly_traffic": (summaries.agg_hourly_traffic, "hits_by_hour", "dim_status"),
+    "agg_status_breakdown": (summaries.agg_status_breakdown, "hits_by_hour", "dim_status"),
+    "agg_top_endpoints": (summaries.agg_top_endpoints, "hits_by_request", "dim_request"),
+    "agg_method_split": (summaries.agg_method_split, "hits_by_request", "dim_request"),
+    "agg_error_detail": (summaries.agg_error_detail, "hits_by_hour", "dim_status"),
+    "agg_day_of_week": (summaries.agg_day_of_week, "hits_by_hour", "dim_date"),
+    "agg_daily_bytes": (summaries.agg_daily_bytes, "hits_by_hour", "dim_date"),
+}
+
+
 def star_tables(silver: DataFrame) -> dict[str, DataFrame]:
     """The star over silver, unstored."""
     staged = stg_requests(silver)
     return {name: model(staged) for name, model in STAR.items()}
 
 
-def summary_tables(star: dict[str, DataFrame], hour_hits: DataFrame, ip_hits: DataFrame,
-                   request_hits: DataFrame) -> dict[str, DataFrame]:
-    """The eight summaries from three hit counts of the fact."""
-    status, date, request = star["dim_status"], star["dim_date"], star["dim_request"]
-    return {
-        "kpi_summary": summaries.kpi_summary(ip_hits, status),
-        "agg_hourly_traffic": summaries.agg_hourly_traffic(hour_hits, status),
-        "agg_status_breakdown": summaries.agg_status_breakdown(hour_hits, status),
-        "agg_top_endpoints": summaries.agg_top_endpoints(request_hits, request),
-        "agg_method_split": summaries.agg_method_split(request_hits, request),
-        "agg_error_detail": summaries.agg_error_detail(hour_hits, status),
-        "agg_day_of_week": summaries.agg_day_of_week(hour_hits, date),
-        "agg_daily_bytes": summaries.agg_daily_bytes(hour_hits, date),
-    }
+def summary_over(name: str, silver: DataFrame) -> DataFrame:
+    """One summary straight from silver, nothing stored on the way."""
+    model, counted, dimension = SUMMARIES[name]
+    staged = stg_requests(silver)
+    return model(HITS[counted](STAR["fact_requests"](staged)), STAR[dimension](staged))
 
 
 def build_warehouse(silver: DataFrame, root: str) -> dict[str, DataFrame]:
@@ -41,10 +52,12 @@ def build_warehouse(silver: DataFrame, root: str) -> dict[str, DataFrame]:
     star = {
         name: store(model, f"{root}/{name}") for name, model in star_tables(silver).items()
     }
-    fact = star["fact_requests"]
-    hour_hits = store(summaries.hits_by_hour(fact), f"{root}/hits_by_hour")
-    ip_hits = store(summaries.hits_by_ip(fact), f"{root}/hits_by_ip")
-    request_hits = store(summaries.hits_by_request(fact), f"{root}/hits_by_request")
-    built = summary_tables(star, hour_hits, ip_hits, request_hits)
-    stored = {name: store(model, f"{root}/{name}") for name, model in built.items()}
-    return {**star, **stored}
+    counts = {
+        name: store(count(star["fact_requests"]), f"{root}/{name}")
+        for name, count in HITS.items()
+    }
+    summary = {
+        name: store(model(counts[counted], star[dimension]), f"{root}/{name}")
+        for name, (model, counted, dimension) in SUMMARIES.items()
+    }
+    return {**star, **summary}
