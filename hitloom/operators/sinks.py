@@ -50,6 +50,8 @@ def save_view(df: DataFrame, name: str) -> DataFrame:
 def register_table(spark: SparkSession, name: str, path: str) -> str:
     """Point a catalog name at stored Parquet unless the name is already taken."""
     if spark.catalog.tableExists(name):
+        # Its files may have been replaced since this session listed them.
+        spark.catalog.refreshTable(name)
         return "present"
     spark.catalog.createTable(name, path, "parquet")
     if any(column.isPartition for column in spark.catalog.listColumns(name)):

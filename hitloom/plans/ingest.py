@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,18 +32,31 @@ def _counted(df: DataFrame, observation: Observation) -> DataFrame:
     return df.observe(observation, F.count(F.lit(1)).alias("rows"))
 
 
+def _rows(observation: Observation) -> int | None:
+    """The count, or None when Spark dropped the counting step from an empty plan."""
+    try:
+        return observation.get["rows"]
+    except Py4JJavaError:
+        return None
+
+
 def load_increment(spark: SparkSession, landing: str, silver: str) -> dict[str, int]:
     """Append the landed rows newer than silver; returns rows per stage.
 
-    The counts ride on the write itself. They are for monitoring: a task that is
-    run again after an executor is lost may count twice, while the rows written
-    stay right.
+    The counts ride on the write itself, and only a load that finds nothing new
+    scans again for them. They are for monitoring: a task that is run again after
+    an executor is lost may count twice, while the rows written stay right.
     """
     seen = {stage: Observation(stage) for stage in STAGES}
     mark = high_water_mark(read_silver(spark, silver))
-    raw = _counted(read_access_logs(spark, landing), seen["raw_lines"])
+    landed = read_access_logs(spark, landing)
+    raw = _counted(landed, seen["raw_lines"])
     parsed = _counted(parse_requests(raw), seen["with_address"])
     newer = _counted(newer_than(parsed, mark), seen["newer"])
     requests = refine(newer, read_lookup(spark, landing))
     write_silver(_counted(requests, seen["written"]), silver)
-    return {stage: observation.get["rows"] for stage, observation in seen.items()}
+    rows = {stage: _rows(observation) for stage, observation in seen.items()}
+    if None in rows.values():
+        scanned = landed.agg(F.count("*"), F.count("_c0")).first()
+        rows = dict(zip(STAGES, (*scanned, 0, 0)))
+    return rows
