@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,14 +15,22 @@ ROW_OVERHEAD = 64
 # An address is hot when it holds more than 1/HOT_SHARE of all rows, so there are
 # fewer than HOT_SHARE of them.
 HOT_SHARE = 10_000
-HOT_ADDRESS_BYTES = 64
 
 
-def measured_bytes(names: DataFrame) -> int:
-    """In-memory size of a lookup, measured by one pass over it."""
+@dataclass(frozen=True)
+class LookupSize:
+    """In-memory bytes of a lookup and of its widest row."""
+
+    total: int
+    widest: int
+
+
+def measure(names: DataFrame) -> LookupSize:
+    """Size of a lookup, by one pass over it."""
     widths = [F.coalesce(F.octet_length(c), F.lit(0)) for c in names.columns]
     width = sum(widths, F.lit(ROW_OVERHEAD).cast("bigint"))
-    return names.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    row = names.agg(F.sum(width).alias("total"), F.max(width).alias("widest")).first()
+    return LookupSize(row["total"] or 0, row["widest"] or ROW_OVERHEAD)
 
 
 def one_name_per_address(names: DataFrame) -> DataFrame:
@@ -32,16 +42,17 @@ def _matches(requests: DataFrame, names: DataFrame) -> Column:
     return requests["remote_addr"] == names["lookup_ip"]
 
 
-def hot_addresses(requests: DataFrame) -> DataFrame:
-    """Addresses holding more than 1/HOT_SHARE of the rows.
+def hot_addresses(requests: DataFrame, share: int) -> DataFrame:
+    """Hashes of addresses that hold more than 1/share of the rows.
 
-    The share bounds their number and the length filter their size, so the result
-    may always be broadcast.
+    There are fewer than ``share`` of them and each takes eight bytes, however
+    long the address, so the result may always be broadcast.
     """
-    short = requests.filter(F.octet_length("remote_addr") <= HOT_ADDRESS_BYTES)
-    counts = short.groupBy("remote_addr").agg(F.count("*").alias("n"))
+    counts = requests.groupBy(F.xxhash64("remote_addr").alias("hot_hash")).agg(
+        F.count("*").alias("n")
+    )
     total = counts.select(F.sum("n")).scalar()
-    return counts.filter(F.col("n") * HOT_SHARE > total).select("remote_addr")
+    return counts.filter(F.col("n") * share > total).select("hot_hash")
 
 
 def broadcast_names(requests: DataFrame, names: DataFrame) -> DataFrame:
@@ -49,19 +60,20 @@ def broadcast_names(requests: DataFrame, names: DataFrame) -> DataFrame:
     return requests.join(F.broadcast(names), _matches(requests, names), "left").drop("lookup_ip")
 
 
-def shuffled_names(requests: DataFrame, names: DataFrame) -> DataFrame:
+def shuffled_names(requests: DataFrame, names: DataFrame, share: int) -> DataFrame:
     """Left join for a lookup too large to broadcast.
 
     Rows of hot addresses meet a broadcast of just those addresses' names and are
     not shuffled; every address left over is a small share of the rows, so the
-    shuffle join of the rest is even.
+    shuffle join of the rest is even. The hash only routes rows: both sides join
+    on the address itself.
     """
-    hot = F.broadcast(hot_addresses(requests))
-    hot_names = names.join(
-        hot, names["lookup_ip"] == hot["remote_addr"], "left_semi"
-    )
-    hot_rows = broadcast_names(requests.join(hot, "remote_addr", "left_semi"), hot_names)
-    cold = requests.join(hot, "remote_addr", "left_anti")
+    hot = F.broadcast(hot_addresses(requests, share))
+    is_hot_row = F.xxhash64(requests["remote_addr"]) == hot["hot_hash"]
+    is_hot_name = F.xxhash64(names["lookup_ip"]) == hot["hot_hash"]
+    hot_names = names.join(hot, is_hot_name, "left_semi")
+    hot_rows = broadcast_names(requests.join(hot, is_hot_row, "left_semi"), hot_names)
+    cold = requests.join(hot, is_hot_row, "left_anti")
     cold_rows = cold.join(names.hint("merge"), _matches(cold, names), "left").drop("lookup_ip")
     return hot_rows.unionByName(cold_rows)
 
@@ -76,12 +88,15 @@ def enrich_hostnames(requests: DataFrame, lookup: DataFrame | None,
     """Add ``client_hostname``; null where the lookup has no match or is unusable.
 
     The lookup is broadcast only when its measured size is within
-    ``broadcast_bytes``; a larger one takes the shuffle join.
+    ``broadcast_bytes``; a larger one takes the shuffle join, where as many
+    addresses count as hot as names of the widest row's size may be broadcast.
     """
     names = None if lookup is None else address_names(lookup, address_column, host_column)
     if names is None:
         return without_names(requests)
     unique = one_name_per_address(names)
-    if measured_bytes(names) <= broadcast_bytes:
+    size = measure(names)
+    if size.total <= broadcast_bytes:
         return broadcast_names(requests, unique)
-    return shuffled_names(requests, unique)
+    share = max(1, min(HOT_SHARE, BROADCAST_BYTES // size.widest))
+    return shuffled_names(requests, unique, share)

@@ -18,12 +18,12 @@ def sizing(input_bytes: int) -> dict[str, str]:
     """Partition settings for a job that reads ``input_bytes`` of log text.
 
     Scan splits grow from 128 MiB to 1 GiB so that 100 TB stays near 100,000 map
-    tasks. Shuffles start with one partition per 256 MiB to 2 GiB of input; AQE
-    merges them towards the advisory size afterwards, so too many is harmless
-    while too few would spill.
+    tasks. Shuffles start with one partition per 256 MiB to 4 GiB of input, which
+    keeps 100 TB near 25,000 partitions and their blocks large enough to fetch;
+    AQE merges small ones towards the advisory size afterwards.
     """
     split = min(max(128 * MIB, input_bytes // 100_000), GIB)
-    reduce_bytes = min(max(256 * MIB, input_bytes // 50_000), 2 * GIB)
+    reduce_bytes = min(max(256 * MIB, input_bytes // 25_000), 4 * GIB)
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(max(8, math.ceil(input_bytes / reduce_bytes))),

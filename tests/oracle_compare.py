@@ -9,6 +9,12 @@ import os
 import duckdb
 
 
+SQL_TYPES = {
+    "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "boolean": "BOOLEAN",
+    "double": "DOUBLE", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):
@@ -29,9 +35,13 @@ def _sorted_rows(columns, rows):
 
 
 def difference(df, connection, sql: str) -> str | None:
-    """None when names and rows are equal, else what differs."""
-    relation = connection.execute(sql)
-    sql_names = [d[0] for d in relation.description]
+    """None when names, types and rows are equal, else what differs."""
+    relation = connection.sql(sql)
+    sql_names = relation.columns
+    sql_types = dict(zip(sql_names, map(str, relation.types)))
+    our_types = {name: SQL_TYPES[kind] for name, kind in df.dtypes}
+    if our_types != sql_types:
+        return f"types {our_types} / {sql_types}"
     ours = _sorted_rows(df.columns, [tuple(r) for r in df.collect()])
     theirs = _sorted_rows(sql_names, relation.fetchall())
     if ours[0] != theirs[0]:

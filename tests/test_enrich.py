@@ -5,7 +5,7 @@ import pytest
 from conftest import plan, rows
 from fixtures import land_lookup_csv, lookup, request, requests
 from hitloom.operators import enrich
-from hitloom.operators.enrich import enrich_hostnames, hot_addresses, measured_bytes
+from hitloom.operators.enrich import enrich_hostnames, hot_addresses, measure
 from hitloom.sources.lookup import address_names, read_lookup, resolve_lookup_columns
 
 
@@ -55,26 +55,39 @@ def test_missing_lookup_is_none_but_present_is_read(spark, tmp_path):
 def test_size_decides_between_broadcast_and_shuffle(spark):
     log = requests(spark, request("a"))
     table = lookup(spark, ("a", "one"), ("b", "two"))
-    size = measured_bytes(address_names(table))
-    assert size == 2 * (enrich.ROW_OVERHEAD + 1 + 3)
+    measured = measure(address_names(table))
+    width = enrich.ROW_OVERHEAD + 1 + 3
+    size = measured.total
+    assert (size, measured.widest) == (2 * width, width)
+    assert measure(address_names(table).limit(0)).total == 0
     small = plan(enrich_hostnames(log, table, broadcast_bytes=size))
     large = plan(enrich_hostnames(log, table, broadcast_bytes=size - 1))
     assert "SortMergeJoin" not in small
     assert "SortMergeJoin" in large
 
 
-def test_shuffle_join_gives_the_same_rows_on_a_hot_address(spark, monkeypatch):
+def test_shuffle_join_gives_the_same_rows_on_hot_addresses(spark, monkeypatch):
     monkeypatch.setattr(enrich, "HOT_SHARE", 4)
+    garbage = "x" * 500
     log = requests(spark, *(
-        [request("hot", at=i) for i in range(60)]
-        + [request(f"10.0.0.{i % 30}", at=i) for i in range(90)]
+        [request("hot", at=i) for i in range(90)]
+        + [request(f"10.0.0.{i % 30}", at=i) for i in range(60)]
         + [request("unknown", at=i) for i in range(45)]
-        + [request("x" * 100, at=i) for i in range(80)]
+        + [request(garbage, at=i) for i in range(80)]
+        + [request(None, at=i) for i in range(5)]
     ))
-    table = lookup(spark, ("hot", "h"), ("x" * 100, "long"),
+    table = lookup(spark, ("hot", "h"), (garbage, "long"), ("other", "o"),
                    *((f"10.0.0.{i}", f"h{i}") for i in range(20)))
-    assert rows(hot_addresses(log)) == [("hot",)]
+    assert hot_addresses(log, 4).count() == 2
     fast = enrich_hostnames(log, table)
     slow = enrich_hostnames(log, table, broadcast_bytes=0)
     assert slow.columns == fast.columns
-    assert rows(slow) == rows(fast) and slow.count() == 275
+    assert rows(slow) == rows(fast) and slow.count() == 280
+
+
+def test_no_address_is_hot_when_names_are_too_wide_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(enrich, "BROADCAST_BYTES", 10)
+    log = requests(spark, *[request("hot", at=i) for i in range(9)])
+    table = lookup(spark, ("hot", "h" * 50))
+    assert rows(enrich_hostnames(log, table, broadcast_bytes=0), "client_hostname") == [
+        ("h" * 50,)] * 9
