@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,15 @@ def _rows(observation: Observation) -> int | None:
         return None
 
 
+def new_requests(spark: SparkSession, landing: str, mark: datetime | None,
+                 seen: dict[str, Observation]) -> DataFrame:
+    """Silver rows of the landed requests newer than the mark, counted on the way."""
+    raw = _counted(read_access_logs(spark, landing), seen["raw_lines"])
+    parsed = _counted(parse_requests(raw), seen["with_address"])
+    newer = _counted(newer_than(parsed, mark), seen["newer"])
+    return _counted(refine(newer, read_lookup(spark, landing)), seen["written"])
+
+
 def load_increment(spark: SparkSession, landing: str, silver: str) -> dict[str, int]:
     """Append the landed rows newer than silver; returns rows per stage.
 
@@ -49,14 +60,9 @@ def load_increment(spark: SparkSession, landing: str, silver: str) -> dict[str,
     """
     seen = {stage: Observation(stage) for stage in STAGES}
     mark = high_water_mark(read_silver(spark, silver))
-    landed = read_access_logs(spark, landing)
-    raw = _counted(landed, seen["raw_lines"])
-    parsed = _counted(parse_requests(raw), seen["with_address"])
-    newer = _counted(newer_than(parsed, mark), seen["newer"])
-    requests = refine(newer, read_lookup(spark, landing))
-    write_silver(_counted(requests, seen["written"]), silver)
+    write_silver(new_requests(spark, landing, mark, seen), silver)
     rows = {stage: _rows(observation) for stage, observation in seen.items()}
     if None in rows.values():
-        scanned = landed.agg(F.count("*"), F.count("_c0")).first()
-        rows = dict(zip(STAGES, (*scanned, 0, 0)))
+        lines = read_access_logs(spark, landing).agg(F.count("*"), F.count("_c0")).first()
+        rows = dict(zip(STAGES, (*lines, 0, 0)))
     return rows

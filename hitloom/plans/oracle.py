@@ -7,9 +7,8 @@ ev AS (
   SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events
 ),
 e AS (
-  SELECT *, 0 AS dup FROM ev
-  UNION ALL
-  SELECT *, 1 AS dup FROM ev WHERE event_id % 50 = 0
+  SELECT ev.*, dup FROM ev
+  JOIN (VALUES (0), (1)) AS copies(dup) ON dup = 0 OR event_id % 50 = 0
 ),
 access_log AS (
   SELECT
@@ -40,8 +39,9 @@ lookup AS (
   SELECT
     '10.0.' || CAST(CAST(floor(c_custkey / 256) AS BIGINT) AS VARCHAR) || '.'
       || CAST(c_custkey % 256 AS VARCHAR) AS client_ip,
-    lower(replace(c_name, '#', '-')) || '.example.net' AS hostname
-  FROM customer WHERE c_custkey % 3 <> 0
+    CASE WHEN c_custkey % 3 <> 0
+      THEN lower(replace(c_name, '#', '-')) || '.example.net' END AS hostname
+  FROM customer
 ),
 names AS (
   SELECT client_ip, min(hostname) AS client_hostname FROM lookup GROUP BY client_ip
@@ -247,6 +247,8 @@ WHERE "timestamp" > (SELECT max("timestamp") FROM access_log WHERE "timestamp" <
 WHERE method <> 'PUT' OR "timestamp" > (
   SELECT max("timestamp") FROM access_log WHERE "timestamp" <= {_CUT} AND method <> 'PUT')""",
     "incremental_stream": f"{_SILVER} SELECT * FROM silver",
+    "incremental_stream_dedup":
+        f'{_SILVER} SELECT "timestamp", remote_addr, method, url FROM silver',
     "time_range": f"""{_SILVER} SELECT count(*) AS row_count,
   min("timestamp") AS min_timestamp, max("timestamp") AS max_timestamp FROM silver""",
     "stg_requests": f"{_STAR} SELECT * FROM stg",

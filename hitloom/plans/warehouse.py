@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame
 
 from hitloom.operators import summaries
@@ -45,16 +47,18 @@ def summary_over(name: str, silver: DataFrame) -> DataFrame:
 def build_warehouse(silver: DataFrame, root: str) -> dict[str, DataFrame]:
     """Store every model below ``root``; returns the stored tables by name.
 
-    The fact is scanned three times, each for two or three columns: the hit counts
-    are stored first and all summaries read those.
+    The fact is scanned three times, each for one to four columns: hit counts that
+    several summaries read are stored first.
     """
     save_view(stg_requests(silver), "stg_requests")
     star = {
         name: store(model, f"{root}/{name}") for name, model in star_tables(silver).items()
     }
-    counts = {
-        name: store(count(star["fact_requests"]), f"{root}/{name}")
-        for name, count in HITS.items()
+    counts = {name: count(star["fact_requests"]) for name, count in HITS.items()}
+    readers = Counter(counted for _, counted, _ in SUMMARIES.values())
+    counts |= {
+        name: store(count, f"{root}/{name}")
+        for name, count in counts.items() if readers[name] > 1
     }
     summary = {
         name: store(model(counts[counted], star[dimension]), f"{root}/{name}")

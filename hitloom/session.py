@@ -17,12 +17,12 @@ _local_folder: str | None = None
 def sizing(input_bytes: int) -> dict[str, str]:
     """Partition settings for a job that reads ``input_bytes`` of log text.
 
-    Scan splits grow from 128 MiB to 1 GiB so that 100 TB stays near 100,000 map
-    tasks. Shuffles start with one partition per 256 MiB to 4 GiB of input, which
+    Scan splits grow from 128 MiB to 512 MiB, so that 100 TB takes about 200,000 map
+    tasks and each sorts its split in memory. Shuffles start with one partition per 256 MiB to 4 GiB of input, which
     keeps 100 TB near 25,000 partitions and their blocks large enough to fetch;
     AQE merges small ones towards the advisory size afterwards.
     """
-    split = min(max(128 * MIB, input_bytes // 100_000), GIB)
+    split = min(max(128 * MIB, input_bytes // 200_000), 512 * MIB)
     reduce_bytes = min(max(256 * MIB, input_bytes // 25_000), 4 * GIB)
     return {
         "spark.sql.files.maxPartitionBytes": str(split),

@@ -4,12 +4,13 @@ from datetime import datetime
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
 
 from conftest import plan, rows
 from fixtures import described, land, land_lookup_csv, line, request
 from hitloom.operators.increment import high_water_mark, latest_event_time, newer_than
 from hitloom.operators.sinks import write_silver
-from hitloom.plans.ingest import load_increment
+from hitloom.plans.ingest import STAGES, load_increment, new_requests
 from hitloom.sources.silver import read_silver, silver_view
 
 DAY1 = [line(clock=f"22/Jan/2019:10:00:{i:02d}", request=f"GET /{i} HTTP/1.1") for i in range(5)]
@@ -107,3 +108,15 @@ def test_a_load_split_by_time_equals_a_full_load(spark, places, tmp_path):
     full = str(tmp_path / "full")
     load_increment(spark, str(landing), full)
     assert rows(read_silver(spark, silver)) == rows(read_silver(spark, full))
+
+
+def test_a_load_scans_the_log_once_and_shuffles_it_once(spark, places):
+    landing, _ = places
+    land(landing, DAY1)
+    loaded = new_requests(spark, str(landing), datetime(2019, 1, 1),
+                          {stage: Observation(stage) for stage in STAGES})
+    text = plan(loaded)
+    assert text.count("FileScan csv [_c0") == 1
+    log, lookup = text.split("BroadcastExchange")
+    assert log.count("Exchange hashpartitioning") == 1
+    assert "BroadcastHashJoin" in log and "_c1" not in log

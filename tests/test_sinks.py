@@ -100,7 +100,7 @@ def test_the_whole_run(spark, tmp_path):
 @pytest.mark.parametrize("size, split, partitions", [
     (0, 128 * session.MIB, 8),
     (100 * session.GIB, 128 * session.MIB, 400),
-    (100 * 1024 * session.GIB, session.GIB, 25_600),
+    (100 * 1024 * session.GIB, 512 * session.MIB, 25_600),
 ])
 def test_sizing(size, split, partitions):
     conf = session.sizing(size)
