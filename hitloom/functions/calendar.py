@@ -31,3 +31,9 @@ def day_order(date: Column) -> Column:
 
 def is_weekend(date: Column) -> Column:
     return F.coalesce(day_order(date).isin(0, 6), F.lit(False))
+
+
+def day_number() -> Column:
+    """20240131 from the columns year, month and day; 0 for rows without a time."""
+    number = F.col("year") * 10_000 + F.col("month") * 100 + F.col("day")
+    return F.coalesce(number, F.lit(0))

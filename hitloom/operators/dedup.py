@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitloom.functions.calendar import day_number
+
 # Time leads: logs arrive nearly in time order, which makes the sorts cheap.
 REQUEST_KEY = ("timestamp", "remote_addr", "method", "url")
 SURVIVOR_ORDER = ("status", "body_bytes_sent", "protocol", "http_referer", "user_agent",
@@ -25,3 +29,20 @@ def dedup_requests(requests: DataFrame) -> DataFrame:
         .filter(F.col("_rank") == 1)
         .drop("_rank")
     )
+
+
+def not_yet_stored(requests: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows of deduplicated requests whose key stored silver does not hold.
+
+    Equal keys lie on the same day, so only the days at hand are read from silver,
+    and only its key columns. The set of days is a subquery of one value; it is no
+    larger than the calendar.
+    """
+    days = requests.select(F.collect_set(day_number())).scalar()
+    same_days = stored.filter(F.array_contains(days, day_number())).select(
+        *(F.col(c).alias(f"stored_{c}") for c in REQUEST_KEY)
+    )
+    same_key = reduce(
+        lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in REQUEST_KEY)
+    )
+    return requests.join(same_days, same_key, "left_anti")

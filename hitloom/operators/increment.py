@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitloom.functions.calendar import day_number
+
 PARTITION_COLUMNS = ("year", "month", "day")
 
 
@@ -16,10 +18,8 @@ def latest_event_time(silver: DataFrame) -> DataFrame:
     The newest day is found from partition values alone and then prunes the scan
     of the time column to that day.
     """
-    year, month, day_of_month = (F.col(c) for c in PARTITION_COLUMNS)
-    day = year * 10_000 + month * 100 + day_of_month
-    newest = silver.select(F.max(day)).scalar()
-    return silver.filter(day == newest).agg(F.max("timestamp").alias("max_timestamp"))
+    newest = silver.select(F.max(day_number())).scalar()
+    return silver.filter(day_number() == newest).agg(F.max("timestamp").alias("max_timestamp"))
 
 
 def high_water_mark(silver: DataFrame | None) -> datetime | None:

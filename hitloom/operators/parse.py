@@ -24,11 +24,12 @@ def request_fields(raw: DataFrame) -> DataFrame:
     )
 
 
-def typed_instants(fields: DataFrame) -> DataFrame:
-    """Typed fields that keep the instant, which event-time streams need."""
-    return fields.select(
+def parse_requests(raw: DataFrame) -> DataFrame:
+    """Raw columns to typed requests; unreadable values become null."""
+    instant = request_text.log_instant(F.col("time_local"))
+    return request_fields(raw).select(
         "remote_addr",
-        request_text.log_instant(F.col("time_local")).alias("instant"),
+        request_text.utc_wall_clock(instant).alias("timestamp"),
         "method",
         "url",
         "protocol",
@@ -39,20 +40,6 @@ def typed_instants(fields: DataFrame) -> DataFrame:
     )
 
 
-def settle_time(typed: DataFrame) -> DataFrame:
-    """Replace the instant by ``timestamp``, its UTC clock reading."""
-    return typed.select(
-        "remote_addr",
-        request_text.utc_wall_clock(F.col("instant")).alias("timestamp"),
-        *typed.columns[2:],
-    )
-
-
-def parse_requests(raw: DataFrame) -> DataFrame:
-    """Raw columns to typed requests; unreadable values become null."""
-    return settle_time(typed_instants(request_fields(raw)))
-
-
 def describe_requests(requests: DataFrame) -> DataFrame:
     """Add calendar parts, the error flag and the status class."""
     ts = F.col("timestamp")

@@ -247,8 +247,7 @@ WHERE "timestamp" > (SELECT max("timestamp") FROM access_log WHERE "timestamp" <
 WHERE method <> 'PUT' OR "timestamp" > (
   SELECT max("timestamp") FROM access_log WHERE "timestamp" <= {_CUT} AND method <> 'PUT')""",
     "incremental_stream": f"{_SILVER} SELECT * FROM silver",
-    "incremental_stream_dedup":
-        f'{_SILVER} SELECT "timestamp", remote_addr, method, url FROM silver',
+    "incremental_stream_dedup": f"{_SILVER} SELECT * FROM silver",
     "time_range": f"""{_SILVER} SELECT count(*) AS row_count,
   min("timestamp") AS min_timestamp, max("timestamp") AS max_timestamp FROM silver""",
     "stg_requests": f"{_STAR} SELECT * FROM stg",

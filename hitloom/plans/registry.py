@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitloom.operators import quality
-from hitloom.operators.dedup import REQUEST_KEY, dedup_requests
+from hitloom.operators.dedup import dedup_requests
 from hitloom.operators.enrich import enrich_hostnames
 from hitloom.operators.increment import high_water_mark, latest_event_time, newer_than
 from hitloom.operators.parse import describe_requests, parse_requests
@@ -148,15 +148,15 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of silver after the same upload came twice, deduplicated across batches."""
+    """The same upload twice, deduplicated across batches."""
     lines = log_lines(access_log(spark, sf_dir))
     silver = fresh_folder(spark, "silver")
     checkpoint = fresh_folder(spark, "stream-state")
     landing = _landing(spark, sf_dir, lines)
-    ingest_new_files(spark, landing, silver, checkpoint, dedup_delay="60 days")
+    ingest_new_files(spark, landing, silver, checkpoint, dedup_across_batches=True)
     land_lines(lines, landing, 2024, 2)
-    ingest_new_files(spark, landing, silver, checkpoint, dedup_delay="60 days")
-    return read_silver(spark, silver).select(*REQUEST_KEY)
+    ingest_new_files(spark, landing, silver, checkpoint, dedup_across_batches=True)
+    return read_silver(spark, silver)
 
 
 def time_range(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hitloom.schemas import SILVER
 from hitloom.sources.lookup import path_missing
 
 
-def read_silver(spark: SparkSession, root: str) -> DataFrame | None:
+def read_silver(spark: SparkSession, root: str,
+                except_batch: int | None = None) -> DataFrame | None:
     """Silver with its partition columns, or None where nothing was ever written.
 
     The schema is given, so no file is opened to infer it. Batches written by the
-    stream lie below ``batch_id=`` folders; selecting by name hides that column.
+    stream lie below ``batch_id=`` folders; one may be left out, and selecting by
+    name hides that column.
     """
     try:
         stored = spark.read.schema(SILVER).parquet(root)
@@ -21,6 +24,8 @@ def read_silver(spark: SparkSession, root: str) -> DataFrame | None:
         if path_missing(error):
             return None
         raise
+    if except_batch is not None and "batch_id" in stored.columns:
+        stored = stored.filter(F.col("batch_id") != except_batch)
     return stored.select(*SILVER.names)
 
 

@@ -7,51 +7,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitloom.operators.dedup import REQUEST_KEY
-from hitloom.operators.parse import request_fields, settle_time, typed_instants
+from hitloom.operators.dedup import not_yet_stored
+from hitloom.operators.parse import parse_requests
 from hitloom.operators.sinks import write_silver
 from hitloom.plans.ingest import refine
 from hitloom.sources.lookup import read_lookup
 from hitloom.sources.raw_logs import stream_access_logs
+from hitloom.sources.silver import read_silver
 
 
-def instants_stream(spark: SparkSession, landing: str,
+def requests_stream(spark: SparkSession, landing: str,
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """Typed requests from files as they land, still carrying the instant."""
-    raw = stream_access_logs(spark, landing, max_files_per_trigger)
-    return typed_instants(request_fields(raw))
-
-
-def dedup_across_batches(instants: DataFrame, delay: str) -> DataFrame:
-    """Drop keys seen in earlier batches, remembering each for ``delay`` of event time.
-
-    As with every watermark, rows more than ``delay`` behind are dropped too, so
-    this is for feeds that promise such a bound.
-    """
-    key = ["instant" if c == "timestamp" else c for c in REQUEST_KEY]
-    return instants.withWatermark("instant", delay).dropDuplicatesWithinWatermark(key)
+    """Typed requests from files as they land."""
+    return parse_requests(stream_access_logs(spark, landing, max_files_per_trigger))
 
 
 def ingest_new_files(spark: SparkSession, landing: str, silver: str, checkpoint: str,
-                     dedup_delay: str | None = None,
+                     dedup_across_batches: bool = False,
                      max_files_per_trigger: int | None = None) -> int:
     """Bring silver up to date with the landed files; returns the batches written.
 
     Each batch is written below its own ``batch_id`` folder and replaces it, so a
-    batch retried after a failure leaves no duplicates behind.
+    batch retried after a failure leaves no duplicates behind. Requests that an
+    earlier batch already brought are left out on demand.
     """
     written = set()
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        requests = refine(settle_time(batch), read_lookup(batch.sparkSession, landing))
+        session = batch.sparkSession
+        requests = refine(batch, read_lookup(session, landing))
+        if dedup_across_batches:
+            earlier = read_silver(session, silver, except_batch=batch_id)
+            if earlier is not None:
+                requests = not_yet_stored(requests, earlier)
         write_silver(requests, f"{silver}/batch_id={batch_id}", mode="overwrite")
         written.add(batch_id)
 
-    instants = instants_stream(spark, landing, max_files_per_trigger)
-    if dedup_delay:
-        instants = dedup_across_batches(instants, dedup_delay)
     query = (
-        instants.writeStream.foreachBatch(write_batch)
+        requests_stream(spark, landing, max_files_per_trigger)
+        .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import glob
+import os
 from datetime import datetime, timedelta
 
 from hitloom.operators.parse import describe_requests
@@ -48,3 +50,15 @@ def land_lookup_csv(path, text, year=2024, month=1):
     folder = path / f"year={year}" / f"month={month:02d}" / "lookup"
     folder.mkdir(parents=True, exist_ok=True)
     (folder / "client_hostname.csv").write_text(text)
+
+
+def spoil(folder):
+    """Make every data file below a folder unreadable; it can still be listed."""
+    files = glob.glob(f"{folder}/*.parquet")
+    assert files
+    for file in files:
+        with open(file, "wb") as out:
+            out.write(b"not parquet")
+        checksum = os.path.join(os.path.dirname(file), f".{os.path.basename(file)}.crc")
+        if os.path.exists(checksum):
+            os.remove(checksum)

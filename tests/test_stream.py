@@ -2,8 +2,9 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import rows
-from fixtures import land, land_lookup_csv, line
+from conftest import plan, rows
+from fixtures import land, land_lookup_csv, line, spoil
+from hitloom.operators.dedup import dedup_requests, not_yet_stored
 from hitloom.operators.parse import parse_requests
 from hitloom.operators.sinks import write_silver
 from hitloom.plans.ingest import load_increment, refine
@@ -58,11 +59,39 @@ def test_batches_follow_the_file_limit(spark, places):
     assert read_silver(spark, silver).count() == 3
 
 
-@pytest.mark.parametrize("delay, expected", [(None, 5), ("2 days", 4)])
-def test_duplicates_in_a_later_batch(spark, places, delay, expected):
+@pytest.mark.parametrize("across, expected", [(False, 11), (True, 6)])
+def test_duplicates_in_a_later_batch(spark, places, across, expected):
+    landing, silver, state = places
+    land(landing, [*NEW, UNTIMED])
+    ingest_new_files(spark, str(landing), silver, state, dedup_across_batches=across)
+    first = rows(read_silver(spark, silver))
+    # The same rows once more, one with another agent, and a new one.
+    land(landing, [*NEW[:3], line(clock="23/Jan/2019:10:00:03", agent="zz"), UNTIMED,
+                   line(clock="23/Jan/2019:10:00:04")], month=2)
+    ingest_new_files(spark, str(landing), silver, state, dedup_across_batches=across)
+    stored = rows(read_silver(spark, silver))
+    assert len(stored) == expected
+    assert set(first) <= set(stored)
+
+
+def test_a_retried_batch_does_not_count_itself_as_stored(spark, places):
     landing, silver, state = places
     land(landing, NEW)
-    ingest_new_files(spark, str(landing), silver, state, dedup_delay=delay)
-    land(landing, [NEW[0]], month=2)
-    ingest_new_files(spark, str(landing), silver, state, dedup_delay=delay)
-    assert read_silver(spark, silver).count() == expected
+    ingest_new_files(spark, str(landing), silver, state, dedup_across_batches=True)
+    before = rows(read_silver(spark, silver))
+    # A lost checkpoint makes the same files batch 0 again.
+    ingest_new_files(spark, str(landing), silver, f"{state}-new", dedup_across_batches=True)
+    assert rows(read_silver(spark, silver)) == before
+
+
+def test_only_the_days_at_hand_are_read(spark, places):
+    landing, silver, state = places
+    land(landing, [*NEW, *LATE, UNTIMED])
+    ingest_new_files(spark, str(landing), silver, state)
+    spoil(f"{silver}/batch_id=0/year=2019/month=1/day=23")
+    stored = read_silver(spark, silver)
+    batch = dedup_requests(stored.filter("day = 22 or day is null"))
+    left = not_yet_stored(batch, stored)
+    assert left.count() == 0
+    schema = [part.split(">")[0] for part in plan(left).split("ReadSchema: struct<")[1:]]
+    assert any("user_agent" not in columns and "timestamp" in columns for columns in schema)
