@@ -8,36 +8,28 @@ from pyspark.sql import functions as F
 from hitloom.functions import measures, request_text
 
 
-def request_fields(raw: DataFrame) -> DataFrame:
-    """Named text fields of each line; lines without an address are dropped."""
-    request = F.col("_c5")
-    return raw.filter(F.col("_c0").isNotNull()).select(
-        F.col("_c0").alias("remote_addr"),
-        request_text.bracketed_time(F.col("_c3"), F.col("_c4")).alias("time_local"),
-        request_text.request_part(request, 0).alias("method"),
-        request_text.request_part(request, 1).alias("url"),
-        request_text.request_part(request, 2).alias("protocol"),
-        F.col("_c6").alias("status_text"),
-        F.col("_c7").alias("bytes_text"),
-        F.col("_c8").alias("http_referer"),
-        F.col("_c9").alias("user_agent"),
-    )
-
-
 def parse_requests(raw: DataFrame) -> DataFrame:
-    """Raw columns to typed requests; unreadable values become null."""
-    instant = request_text.log_instant(F.col("time_local"))
-    return request_fields(raw).select(
-        "remote_addr",
-        request_text.utc_wall_clock(instant).alias("timestamp"),
-        "method",
-        "url",
-        "protocol",
-        request_text.number(F.col("status_text"), "int").alias("status"),
-        request_text.number(F.col("bytes_text"), "bigint").alias("body_bytes_sent"),
-        "http_referer",
-        "user_agent",
+    """Typed requests of raw log fields, by position.
+
+    Lines without an address are dropped; values that cannot be read become null.
+    """
+    address, clock, offset, request, status, size, referer, agent = (
+        F.col(f"_c{position}") for position in (0, 3, 4, 5, 6, 7, 8, 9)
     )
+    instant = request_text.log_instant(request_text.bracketed_time(clock, offset))
+    columns = {
+        "remote_addr": address,
+        "timestamp": request_text.utc_wall_clock(instant),
+        "method": request_text.request_part(request, 0),
+        "url": request_text.request_part(request, 1),
+        "protocol": request_text.request_part(request, 2),
+        "status": request_text.number(status, "int"),
+        "body_bytes_sent": request_text.number(size, "bigint"),
+        "http_referer": referer,
+        "user_agent": agent,
+    }
+    present = raw.filter(address.isNotNull())
+    return present.select(*(column.alias(name) for name, column in columns.items()))
 
 
 def describe_requests(requests: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _cell(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else repr(round(value, 9))
+        return "nan" if math.isnan(value) else repr(value)
     return repr(value)
 
 
