@@ -28,7 +28,7 @@ def high_water_mark(silver: DataFrame | None) -> datetime | None:
 
 
 def newer_than(requests: DataFrame, mark: datetime | None) -> DataFrame:
-    """Rows strictly after the mark, all rows without one; untimed rows need no mark to stay."""
+    """Rows strictly after the mark, so none without a time; all rows if there is no mark."""
     if mark is None:
         return requests
     # As text, so that neither Python's nor the session's time zone shifts it.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.schemas import conform
@@ -44,10 +44,16 @@ def _result(failures: DataFrame, check: str, table: str) -> DataFrame:
     ), "quality")
 
 
-def check_unique(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Failures are values seen more than once; nulls are ignored."""
+def check_unique(df: DataFrame, table: str, column: str,
+                 value: Column | None = None) -> DataFrame:
+    """Failures are values seen more than once; nulls are ignored.
+
+    ``value`` may name a shorter form of the column to compare instead.
+    """
+    value = F.col(column) if value is None else value
     repeated = (
-        df.filter(F.col(column).isNotNull()).groupBy(column).count().filter(F.col("count") > 1)
+        df.filter(F.col(column).isNotNull()).groupBy(value.alias("value")).count()
+        .filter(F.col("count") > 1)
     )
     failures = repeated.agg(F.count("*").alias("failures"))
     return _result(failures.withColumn("column", F.lit(column)), "unique", table)
@@ -83,7 +89,8 @@ def _all(results: list[DataFrame]) -> DataFrame:
 
 
 def unique_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    return _all([check_unique(tables[t], t, c) for t, c in UNIQUE])
+    """Checks of the hash keys, shuffled as 16 bytes rather than 32 hex digits."""
+    return _all([check_unique(tables[t], t, c, F.unhex(F.col(c))) for t, c in UNIQUE])
 
 
 def not_null_checks(tables: dict[str, DataFrame]) -> DataFrame:

@@ -31,6 +31,10 @@ def stream_access_logs(spark: SparkSession, landing: str,
 
 
 def fields_of_lines(lines: DataFrame, line: Column) -> DataFrame:
-    """The same columns when lines already are a column of text."""
+    """The same columns when lines already are a column of text.
+
+    Expanding through a generator keeps later filters above it; pushed below a plain
+    projection, they would parse every line a second time.
+    """
     parsed = F.from_csv(line, RAW.simpleString(), LINE_OPTIONS)
-    return lines.select(parsed.alias("fields")).select("fields.*")
+    return lines.select(F.inline(F.array(parsed)))
