@@ -22,6 +22,7 @@ def write_silver(requests: DataFrame, root: str, mode: str = "append") -> None:
         .write.mode(mode)
         .partitionBy(*PARTITION_COLUMNS)
         .option("compression", "snappy")
+        .option("partitionOverwriteMode", "static")
         .parquet(root)
     )
 

@@ -10,6 +10,8 @@ from hitloom.schemas import RAW
 # Where logs land, and how a line is delimited.
 LOG_GLOB = "*/*/logs/access.log"
 LINE_OPTIONS = {"sep": " ", "quote": '"', "escape": "\\", "mode": "PERMISSIVE"}
+# Fixed value: the characters of a blank line, space and everything below it.
+BLANKS = "".join(map(chr, range(33)))
 
 
 def log_paths(landing: str) -> str:
@@ -33,8 +35,10 @@ def stream_access_logs(spark: SparkSession, landing: str,
 def fields_of_lines(lines: DataFrame, line: Column) -> DataFrame:
     """The same columns when lines already are a column of text.
 
-    Expanding through a generator keeps later filters above it; pushed below a plain
-    projection, they would parse every line a second time.
+    Blank lines are skipped, as the file reader does. Expanding through a generator
+    keeps later filters above it; pushed below a plain projection, they would parse
+    every line a second time.
     """
     parsed = F.from_csv(line, RAW.simpleString(), LINE_OPTIONS)
-    return lines.select(F.inline(F.array(parsed)))
+    present = F.btrim(line, F.lit(BLANKS)) != ""
+    return lines.select(F.inline(F.when(present, F.array(parsed))))

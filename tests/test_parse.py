@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime
 
 import pytest
@@ -58,7 +59,7 @@ def test_lines_in_a_file(spark, tmp_path, zone):
 def test_lines_in_a_column(spark, zone):
     lines = spark.createDataFrame([(text,) for text in LINES], "line STRING")
     raw = fields_of_lines(lines, lines["line"])
-    assert raw.count() == 7  # the blank line is an all-null row, dropped by parsing
+    assert raw.count() == 6
     check(parse_requests(raw))
 
 
@@ -83,3 +84,18 @@ def test_described_columns(spark, tmp_path):
     assert got["1.2.3.4"] == (2019, 1, 22, 0, False, "2xx")
     assert got["1.2.3.6"] == (2019, 1, 22, 0, True, "4xx")
     assert got["garbage"] == (None, None, None, None, None, None)
+
+
+def test_any_text_parses_and_both_readers_agree(spark, tmp_path):
+    pick = random.Random(5)
+    pieces = ['"', "\\", " ", "  ", "-", "[22/Jan/2019:03:56:14", "+0330]", "GET /a HTTP/1.1",
+              "200", "99999999999", "1.5", "é", "\t", "x" * 50, "[31/Feb/2019:25:61:61", ",", "#"]
+    texts = ["".join(pick.choice(pieces) for _ in range(pick.randrange(1, 25)))
+             for _ in range(600)] + LINES
+    land(tmp_path, texts)
+    from_file = parse_requests(read_access_logs(spark, str(tmp_path)))
+    lines = spark.createDataFrame([(text,) for text in texts], "line STRING")
+    from_column = parse_requests(fields_of_lines(lines, lines["line"]))
+    found = rows(from_file)
+    assert found == rows(from_column)
+    assert len(found) > 300
