@@ -26,6 +26,9 @@ def _parser() -> argparse.ArgumentParser:
         job = jobs.add_parser(name)
         for place in places:
             job.add_argument(place)
+        if name == "stream":
+            job.add_argument("--dedup-across-batches", action="store_true")
+            job.add_argument("--max-files", type=int, help="log files per batch")
     return parser
 
 
@@ -35,7 +38,11 @@ def main(arguments: list[str] | None = None) -> None:
     if args.job == "load":
         print(load_increment(spark, args.landing, args.silver))
     elif args.job == "stream":
-        print(ingest_new_files(spark, args.landing, args.silver, args.checkpoint))
+        print(ingest_new_files(
+            spark, args.landing, args.silver, args.checkpoint,
+            dedup_across_batches=args.dedup_across_batches,
+            max_files_per_trigger=args.max_files,
+        ))
     elif args.job == "build":
         silver = silver_view(spark, args.silver)
         tables = build_warehouse(silver, args.warehouse)

@@ -13,7 +13,8 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     silver, streamed = str(tmp_path / "silver"), str(tmp_path / "streamed")
     main(["load", str(landing), silver])
     assert "'written': 3" in capsys.readouterr().out
-    main(["stream", str(landing), streamed, str(tmp_path / "state")])
+    main(["stream", str(landing), streamed, str(tmp_path / "state"),
+          "--dedup-across-batches", "--max-files", "1"])
     assert rows(read_silver(spark, streamed)) == rows(read_silver(spark, silver))
     main(["build", silver, str(tmp_path / "warehouse")])
     assert "relationships" in capsys.readouterr().out

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+from types import SimpleNamespace
 
 import pytest
 
@@ -112,3 +113,16 @@ def test_shared_folder_is_the_configured_one(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     a, b = session.fresh_folder(spark, "x"), session.fresh_folder(spark, "x")
     assert a != b and a.startswith(session.shared_folder(spark))
+
+
+def test_a_cluster_needs_a_shared_folder():
+    cluster = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(cluster)
+    cluster.conf["spark.checkpoint.dir"] = "hdfs://shared/"
+    assert session.shared_folder(cluster) == "hdfs://shared"
+
+
+def test_local_mode_falls_back_to_one_temporary_folder():
+    local = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="local[2]"))
+    assert session.shared_folder(local) == session.shared_folder(local)
