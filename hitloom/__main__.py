@@ -6,7 +6,7 @@ import argparse
 
 from hitloom.operators.quality import all_checks
 from hitloom.plans.ingest import load_increment
-from hitloom.plans.pipeline import run
+from hitloom.plans.full_run import run
 from hitloom.plans.warehouse import build_warehouse
 from hitloom.session import GIB, build_session
 from hitloom.sources.silver import silver_view

@@ -9,7 +9,7 @@ from conftest import plan, rows
 from fixtures import described, land, land_lookup_csv, line, request
 from hitloom import session
 from hitloom.operators import sinks
-from hitloom.plans import pipeline
+from hitloom.plans import full_run
 from hitloom.sources.silver import read_silver
 
 
@@ -83,14 +83,14 @@ def test_the_whole_run(spark, tmp_path):
     land(landing, [line(clock=f"22/Jan/2019:10:00:{i:02d}", status=str(200 + 204 * (i % 2)))
                    for i in range(10)])
     places = (str(landing), str(tmp_path / "silver"), str(tmp_path / "warehouse"))
-    first = pipeline.run(spark, *places)
+    first = full_run.run(spark, *places)
     assert first.rows_by_stage["written"] == 10
     assert len(first.tables) == 13
     assert first.checks.filter("not passed").count() == 0
     before = rows(first.tables["kpi_summary"])
     assert before[0][0] == 10 and before[0][2] == 50.0
     assert {r["status"] for r in first.registered.collect()} == {"registered"}
-    again = pipeline.run(spark, *places)
+    again = full_run.run(spark, *places)
     assert again.rows_by_stage["written"] == 0
     assert rows(again.tables["kpi_summary"]) == before
     assert rows(spark.table("kpi_summary")) == before
