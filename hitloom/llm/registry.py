@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import bpe, packing, token_files
+from hitloom.llm import bpe, fingerprint, packing, quality, sharding, token_files, toxicity
+from hitloom.llm.labelled import held_out
+from hitloom.llm.oracle import ORACLE_SQL
 from hitloom.llm.tables import read_table
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_documents(read_table(spark, sf_dir, "documents"))
@@ -21,6 +25,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_bottom_k_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_next(read_table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     folder = token_files.token_file_folder(documents)
@@ -29,14 +37,43 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def _predicted(scored: DataFrame, folds: int, remainder: int, threshold: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        held_out("doc_id", folds, remainder).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op4_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, read_table(spark, sf_dir, "labels"))
+    return _predicted(toxicity.score_documents(documents, model),
+                      toxicity.FOLDS, toxicity.REMAINDER, toxicity.THRESHOLD)
+
+
+def op5_discriminant_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    model = quality.fit(documents, read_table(spark, sf_dir, "labels"))
+    return _predicted(quality.score_documents(documents, model),
+                      quality.FOLDS, quality.REMAINDER, quality.THRESHOLD)
+
+
 def op6_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op9_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_bottom_k_fingerprint": op2_bottom_k_fingerprint,
     "op3_token_files": op3_token_files,
+    "op4_nnpu_toxicity": op4_nnpu_toxicity,
+    "op5_discriminant_quality": op5_discriminant_quality,
     "op6_pattern_packing": op6_pattern_packing,
+    "op9_extendible_shards": op9_extendible_shards,
 }
-
-ORACLE_SQL: dict[str, str] = {}
