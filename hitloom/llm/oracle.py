@@ -31,6 +31,41 @@ JOIN prefixes p ON p.key = f.key AND p.depth = f.depth
 JOIN buckets b ON b.depth = p.depth AND b.shard = p.shard
 """
 
+_REACH = """
+reach(a, b) AS (
+    SELECT {key}, {key} FROM {table}
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+"""
+
+OP10 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), grams AS (
+    SELECT DISTINCT doc_id, w[i : i + 3] AS gram
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i
+          FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), common_grams AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM grams x JOIN grams y ON x.gram = y.gram AND x.doc_id <> y.doc_id
+    GROUP BY x.doc_id, y.doc_id
+), links AS (
+    SELECT a, b FROM common_grams
+    JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), """ + _REACH.format(key="doc_id", table="documents") + """
+SELECT a AS doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(b) AS component_id
+FROM reach LEFT JOIN sizes ON sizes.doc_id = a
+GROUP BY a
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op10_ngram_join": OP10,
     "op9_extendible_shards": OP9,
 }

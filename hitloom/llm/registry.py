@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import bpe, fingerprint, packing, quality, sharding, token_files, toxicity
+from hitloom.llm import (
+    bpe,
+    fingerprint,
+    ngram_join,
+    packing,
+    quality,
+    sharding,
+    token_files,
+    toxicity,
+)
 from hitloom.llm.labelled import held_out
 from hitloom.llm.oracle import ORACLE_SQL
 from hitloom.llm.tables import read_table
@@ -68,6 +77,11 @@ def op9_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(
+        read_table(spark, sf_dir, "documents"), width=4, num=85, den=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_bottom_k_fingerprint": op2_bottom_k_fingerprint,
@@ -76,4 +90,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_discriminant_quality": op5_discriminant_quality,
     "op6_pattern_packing": op6_pattern_packing,
     "op9_extendible_shards": op9_extendible_shards,
+    "op10_ngram_join": op10_ngram_join,
 }
