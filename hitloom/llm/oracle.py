@@ -65,7 +65,25 @@ FROM reach LEFT JOIN sizes ON sizes.doc_id = a
 GROUP BY a
 """
 
+OP8 = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL
+      AND NOT list_contains([coalesce(isfinite(x), false) for x in embedding], false)
+      AND list_contains([x <> 0 for x in embedding], true)
+), links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b
+    FROM usable x JOIN usable y ON x.label = y.label AND x.vec_id <> y.vec_id
+    WHERE list_cosine_similarity(x.v, y.v) >= 0.93
+), """ + _REACH.format(key="vec_id", table="embeddings") + """
+SELECT r.a AS vec_id, any_value(coalesce(c.n, 0))::BIGINT AS n_links,
+       min(r.b) AS component_id, min(r.b) = r.a AS kept
+FROM reach r LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) c ON c.a = r.a
+GROUP BY r.a
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op8_pigeonhole_dedup": OP8,
     "op10_ngram_join": OP10,
     "op9_extendible_shards": OP9,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hitloom.llm import (
     bpe,
+    embedding_dedup,
     fingerprint,
     ngram_join,
     packing,
@@ -73,6 +74,10 @@ def op6_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op8_pigeonhole_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_table(spark, sf_dir, "documents"))
 
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_nnpu_toxicity": op4_nnpu_toxicity,
     "op5_discriminant_quality": op5_discriminant_quality,
     "op6_pattern_packing": op6_pattern_packing,
+    "op8_pigeonhole_dedup": op8_pigeonhole_dedup,
     "op9_extendible_shards": op9_extendible_shards,
     "op10_ngram_join": op10_ngram_join,
 }
