@@ -13,6 +13,7 @@ from hitloom.llm import (
     fingerprint,
     ngram_join,
     packing,
+    pii,
     quality,
     sharding,
     token_files,
@@ -74,6 +75,15 @@ def op6_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    found = pii.find_spans(documents.select("doc_id", "text"), pii.fit(documents))
+    counts = [F.size(F.expr(f"filter(__base, s -> s.kind = '{kind}')")).cast("bigint")
+              .alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.span_text("__base"), 256).alias("base_sha256"),
+                        pii.span_text("__spans").alias("spans"))
+
+
 def op8_pigeonhole_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
@@ -94,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_nnpu_toxicity": op4_nnpu_toxicity,
     "op5_discriminant_quality": op5_discriminant_quality,
     "op6_pattern_packing": op6_pattern_packing,
+    "op7_boosted_pii": op7_boosted_pii,
     "op8_pigeonhole_dedup": op8_pigeonhole_dedup,
     "op9_extendible_shards": op9_extendible_shards,
     "op10_ngram_join": op10_ngram_join,
