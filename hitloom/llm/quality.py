@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hitloom.llm.labelled import bounded_labels
 from hitloom.llm.tables import bounded_slices, texts_of
@@ -187,19 +188,24 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, remainder:
     return train_model(rows, table["label"].to_numpy().astype(np.int64))
 
 
-def score_documents(documents: DataFrame, model: QualityModel, text: str = "text",
-                    keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep`` and ``score`` of every whole text."""
-    kept = documents.select(*keep, F.col(text).alias("__text"))
-    names = list(keep)
+def score_rows(documents: DataFrame, model: QualityModel, text: str = "text",
+               keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``row``, a struct of the columns to keep, and ``score`` of every whole text."""
+    kept = documents.select(F.struct(*keep).alias("row"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column(len(names)))
+            texts = texts_of(batch.column(1))
             scores = [model.score(statistics(texts[some])) for some in bounded_slices(texts)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(np.concatenate([*scores, np.empty(0)]))],
-                names=[*names, "score"])
+                [batch.column(0), pa.array(np.concatenate([*scores, np.empty(0)]))],
+                names=["row", "score"])
+
+    return kept.mapInArrow(run, T.StructType([kept.schema["row"],
+                                              T.StructField("score", T.DoubleType())]))
 
-    fields = ", ".join(f"`{name}` {kind}" for name, kind in kept.dtypes[:-1])
-    return kept.mapInArrow(run, f"{fields}, score double")
+
+def score_documents(documents: DataFrame, model: QualityModel, text: str = "text",
+                    keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``keep`` and ``score`` of every whole text."""
+    return score_rows(documents, model, text, keep).select("row.*", "score")

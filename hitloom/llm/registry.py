@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from hitloom.llm import (
     bpe,
     embedding_dedup,
@@ -108,4 +109,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pigeonhole_dedup": op8_pigeonhole_dedup,
     "op9_extendible_shards": op9_extendible_shards,
     "op10_ngram_join": op10_ngram_join,
+    "pipeline": corpus_pipeline.run,
 }

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hitloom.llm.labelled import bounded_labels, held_out
 from hitloom.llm.tables import texts_of
@@ -196,17 +197,23 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, remainder:
     return train_model(partial(chosen, "toxic"), partial(chosen, "drawn"), float(prior))
 
 
-def score_documents(documents: DataFrame, model: ToxicityModel, text: str = "text",
-                    keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep`` and ``score`` of every whole text."""
-    kept = documents.select(*keep, F.col(text).alias("__text"))
-    shared, names = documents.sparkSession.sparkContext.broadcast(model), list(keep)
+def score_rows(documents: DataFrame, model: ToxicityModel, text: str = "text",
+               keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``row``, a struct of the columns to keep, and ``score`` of every whole text."""
+    kept = documents.select(F.struct(*keep).alias("row"), F.col(text).alias("text"))
+    shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = list(map(shared.value.score, texts_of(batch.column(len(names)))))
+            scores = list(map(shared.value.score, texts_of(batch.column(1))))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*names, "score"])
+                [batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"])
+
+    return kept.mapInArrow(run, T.StructType([kept.schema["row"],
+                                              T.StructField("score", T.DoubleType())]))
 
-    fields = ", ".join(f"`{name}` {kind}" for name, kind in kept.dtypes[:-1])
-    return kept.mapInArrow(run, f"{fields}, score double")
+
+def score_documents(documents: DataFrame, model: ToxicityModel, text: str = "text",
+                    keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``keep`` and ``score`` of every whole text."""
+    return score_rows(documents, model, text, keep).select("row.*", "score")
