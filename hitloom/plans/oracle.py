@@ -75,50 +75,44 @@ silver AS (
 )"""
 
 
-# The star and the summaries are stated straight over silver, each in its own terms, so
-# that keys and joins of the Spark side are checked against something without them.
+# Keys, columns and types of the star as its tables are specified.
 STAR = """
-keyed AS (
-  SELECT *,
-    md5(remote_addr || strftime("timestamp", '%Y-%m-%d %H:%M:%S') || method || url)
+stg AS (
+  SELECT
+    md5(CAST(remote_addr AS VARCHAR) || CAST("timestamp" AS VARCHAR) || method || url)
       AS request_id,
-    md5(remote_addr) AS ip_sk,
-    md5(strftime("timestamp", '%Y-%m-%d')) AS date_sk,
-    md5(format('{}', status)) AS status_sk,
-    md5(method || url || protocol) AS request_sk
+    remote_addr, client_hostname, "timestamp" AS request_timestamp,
+    CAST("timestamp" AS DATE) AS request_date, method, url, protocol, status, status_class,
+    is_error, body_bytes_sent, http_referer, user_agent
   FROM silver
 ),
-stg AS (
-  SELECT request_id, remote_addr, client_hostname, "timestamp" AS request_timestamp,
-    "timestamp"::DATE AS request_date, method, url, protocol, status, status_class, is_error,
-    body_bytes_sent, http_referer, user_agent
-  FROM keyed
-),
 dim_ip AS (
-  SELECT any_value(ip_sk) AS ip_sk, remote_addr AS ip_address, client_hostname
-  FROM keyed GROUP BY remote_addr, client_hostname
+  SELECT DISTINCT md5(remote_addr) AS ip_sk, remote_addr AS ip_address, client_hostname FROM stg
 ),
 dim_status AS (
-  SELECT any_value(status_sk) AS status_sk, status AS status_code,
-    any_value(status_class) AS status_class, any_value(is_error) AS is_error
-  FROM keyed GROUP BY status
+  SELECT DISTINCT md5(CAST(status AS VARCHAR)) AS status_sk, status AS status_code,
+    status_class, is_error
+  FROM stg
 ),
 dim_request AS (
-  SELECT any_value(request_sk) AS request_sk, method, url, protocol
-  FROM keyed GROUP BY method, url, protocol
+  SELECT DISTINCT md5(method || url || protocol) AS request_sk, method, url, protocol FROM stg
 ),
 dim_date AS (
-  SELECT any_value(date_sk) AS date_sk, full_date, date_part('year', full_date) AS "year",
-    date_part('month', full_date) AS "month", date_part('day', full_date) AS "day",
-    strftime(full_date, '%A') AS day_name, isodow(full_date) >= 6 AS is_weekend
-  FROM (SELECT date_sk, "timestamp"::DATE AS full_date FROM keyed) GROUP BY full_date
+  SELECT DISTINCT md5(CAST(request_date AS VARCHAR)) AS date_sk, request_date AS full_date,
+    extract(year FROM request_date) AS "year", extract(month FROM request_date) AS "month",
+    extract(day FROM request_date) AS "day", dayname(request_date) AS day_name,
+    extract(dayofweek FROM request_date) IN (0, 6) AS is_weekend
+  FROM stg
 ),
 fact_requests AS (
-  SELECT request_id, ip_sk, date_sk, status_sk, request_sk, "timestamp" AS request_timestamp,
-    body_bytes_sent, http_referer, user_agent
-  FROM keyed
+  SELECT request_id, md5(remote_addr) AS ip_sk, md5(CAST(request_date AS VARCHAR)) AS date_sk,
+    md5(CAST(status AS VARCHAR)) AS status_sk, md5(method || url || protocol) AS request_sk,
+    request_timestamp, body_bytes_sent, http_referer, user_agent
+  FROM stg
 )"""
 
+# The summaries are stated straight over silver, so that keys and joins of the Spark side
+# are checked against something without them.
 _WITH_STATUS = "FROM silver WHERE status IS NOT NULL"
 # Method, URL and protocol are known together or not at all.
 _WITH_REQUEST = "FROM silver WHERE url IS NOT NULL"
@@ -197,8 +191,8 @@ def _rows(stage: str, query: str) -> str:
     return f"SELECT '{stage}' AS stage, count(*) AS \"rows\" FROM ({query})"
 
 
-def _registered(table: str, query: str) -> str:
-    return (f"SELECT '{table}' AS \"table\", 'registered' AS status, "
+def _registered(table: str, status: str, query: str) -> str:
+    return (f"SELECT '{table}' AS \"table\", '{status}' AS status, "
             f"count(*) AS row_count FROM ({query})")
 
 
@@ -219,9 +213,23 @@ untimed AS (
   FROM access_log
 )"""
 
-_REGISTERED = [("silver", "SELECT * FROM silver")]
-_REGISTERED += [(t, f"SELECT * FROM {t}") for t in STAR_TABLES]
-_REGISTERED += list(SUMMARIES.items())
+_MODELS = [(t, f"SELECT * FROM {t}") for t in STAR_TABLES] + list(SUMMARIES.items())
+
+# The reading order of each summary.
+_ORDERS = (
+    ("agg_hourly_traffic", "hour", "ASC"), ("agg_status_breakdown", "request_count", "DESC"),
+    ("agg_top_endpoints", "request_count", "DESC"), ("agg_method_split", "request_count", "DESC"),
+    ("agg_error_detail", "error_count", "DESC"), ("agg_day_of_week", "day_order", "ASC"),
+    ("agg_daily_bytes", "full_date", "ASC"),
+)
+
+
+def _placed(summary: str, column: str, direction: str) -> str:
+    return f"""
+SELECT '{summary}' AS summary, row_number() OVER (ORDER BY "{column}" {direction}) AS position,
+  CAST("{column}" AS VARCHAR) AS value
+FROM ({SUMMARIES[summary]})"""
+
 
 ORACLE_SQL: dict[str, str] = {
     "parse_access_log": f"{_LOG} SELECT {REQUEST_COLUMNS} FROM access_log",
@@ -241,6 +249,7 @@ FROM described GROUP BY 1, 2, 3""",
         _rows("with_address", "SELECT * FROM access_log WHERE remote_addr IS NOT NULL"),
         _rows("newer", "SELECT * FROM access_log"),
         _rows("written", "SELECT * FROM silver"),
+        _rows("silver_total", "SELECT * FROM silver"),
     )),
     "high_water_mark": f'{_SILVER} SELECT max("timestamp") AS max_timestamp FROM silver',
     "incremental_new_rows": f"""{_LOG} SELECT {REQUEST_COLUMNS} FROM access_log
@@ -264,6 +273,13 @@ WHERE method <> 'PUT' OR "timestamp" > (
 WHERE ip_sk IS NOT NULL
   AND ip_sk NOT IN (SELECT ip_sk FROM dim_ip WHERE client_hostname IS NOT NULL)
 GROUP BY ip_sk""",
+    "enrich_hostnames_mixed_headers": f"{_SILVER} SELECT * FROM enriched",
+    "silver_audit": f"""{_SILVER}
+SELECT DISTINCT "year", "month", "day", true AS has_files FROM silver""",
+    "summaries_in_order": _STAR + " " + " UNION ALL ".join(_placed(*o) for o in _ORDERS),
     "register_tables": _STAR + " " + " UNION ALL ".join(
-        _registered(t, q) for t, q in _REGISTERED),
+        [_registered("silver", "present", "SELECT * FROM silver")]
+        + [_registered(t, "registered", q) for t, q in _MODELS]),
+    "model_tables": _STAR + " " + " UNION ALL ".join(
+        _registered(t, "replaced", q) for t, q in _MODELS),
 }

@@ -5,30 +5,26 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from hitloom.plans.oracle import ORACLE_SQL
+from hitloom.plans.registry import QUERIES
 from conftest import TESTDATA
 from oracle_compare import connect, difference
 
-NO_SQL = {"silver_audit"}
-
-
 @pytest.fixture(scope="module")
 def duck():
     return connect(f"{TESTDATA}/sf0.001")
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - NO_SQL))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, duck, name):
-    df = contract.queries()[name](spark, sf_dir)
-    assert difference(df, duck, contract.oracle_sql()[name]) is None
-
-
-def test_only_file_sizes_lack_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == NO_SQL
+    df = QUERIES[name](spark, sf_dir)
+    assert difference(df, duck, ORACLE_SQL[name]) is None
 
 
-def test_audit_counts_files(spark, sf_dir):
-    row = contract.queries()["silver_audit"](spark, sf_dir).first()
-    assert row["file_count"] >= 30 and row["total_bytes"] > 0 and row["passed"]
+def test_every_query_has_sql_and_is_handed_out():
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE_SQL) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_is_one_row_of_key_figures(spark):
