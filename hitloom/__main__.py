@@ -1,58 +1,104 @@
-"""Jobs from the command line: ``load``, ``stream``, ``build`` and ``run``."""
+"""Jobs from the command line: ``load``, ``stream``, ``build``, ``run`` and ``show``.
+
+``build`` and ``run`` exit with 1 when a check fails, before anything is published;
+``--severity warn`` reports failures and publishes all the same.
+"""
 
 from __future__ import annotations
 
 import argparse
+import sys
 
-from hitloom.operators.quality import all_checks
-from hitloom.plans.ingest import load_increment
+from pyspark.sql import Row, SparkSession
+
+from hitloom.operators.quality import QualityError
+from hitloom.operators.summaries import presented
 from hitloom.plans.full_run import run
-from hitloom.plans.warehouse import build_warehouse
-from hitloom.session import GIB, build_session
+from hitloom.plans.ingest import load_increment
+from hitloom.plans.warehouse import SUMMARIES, build_checked, newest_build
+from hitloom.session import GIB, build_session, size_to_input
+from hitloom.sources.folders import folder_bytes
 from hitloom.sources.silver import silver_view
 from hitloom.streaming.file_ingest import ingest_new_files
 
+# What each job is given, and which of it is read and so sizes the shuffles.
+JOBS = {
+    "load": (("landing", "silver"), "landing"),
+    "stream": (("landing", "silver", "checkpoint"), "landing"),
+    "build": (("silver", "warehouse"), "silver"),
+    "run": (("landing", "silver", "warehouse"), "landing"),
+    "show": (("warehouse", "summary"), None),
+}
+
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="hitloom", description=__doc__)
-    parser.add_argument("--input-gib", type=int, default=0, help="log text to read, for sizing")
+    parser.add_argument("--input-gib", type=int,
+                        help="log text to read, for sizing; else the size of the folder read")
     jobs = parser.add_subparsers(dest="job", required=True)
-    for name, places in {
-        "load": ("landing", "silver"),
-        "stream": ("landing", "silver", "checkpoint"),
-        "build": ("silver", "warehouse"),
-        "run": ("landing", "silver", "warehouse"),
-    }.items():
+    for name, (places, _) in JOBS.items():
         job = jobs.add_parser(name)
         for place in places:
-            job.add_argument(place)
+            job.add_argument(place, choices=sorted(SUMMARIES) if place == "summary" else None)
         if name == "stream":
             job.add_argument("--dedup-across-batches", action="store_true")
             job.add_argument("--max-files", type=int, help="log files per batch")
+        if name in ("build", "run"):
+            job.add_argument("--severity", choices=("error", "warn"), default="error",
+                             help="what a failed check is")
+        if name == "run":
+            job.add_argument("--stream", metavar="CHECKPOINT",
+                             help="bring in new files only, remembered in this folder")
     return parser
 
 
-def main(arguments: list[str] | None = None) -> None:
+def size_session(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Settings for the size given, or for that of the folder the job reads."""
+    read = JOBS[args.job][1]
+    if args.input_gib:
+        size_to_input(spark, args.input_gib * GIB)
+    elif read:
+        size_to_input(spark, folder_bytes(spark, getattr(args, read)))
+
+
+def _print_checks(rows: list[Row]) -> None:
+    for row in rows:
+        print(*(row[c] for c in ("check", "table", "column", "failures")),
+              "ok" if row["passed"] else "FAILED")
+
+
+def main(arguments: list[str] | None = None) -> int:
     args = _parser().parse_args(arguments)
-    spark = build_session(input_bytes=args.input_gib * GIB)
-    if args.job == "load":
-        print(load_increment(spark, args.landing, args.silver))
-    elif args.job == "stream":
-        print(ingest_new_files(
-            spark, args.landing, args.silver, args.checkpoint,
-            dedup_across_batches=args.dedup_across_batches,
-            max_files_per_trigger=args.max_files,
-        ))
-    elif args.job == "build":
-        silver = silver_view(spark, args.silver)
-        tables = build_warehouse(silver, args.warehouse)
-        all_checks({"silver": silver, **tables}).show(100, truncate=False)
-    else:
-        result = run(spark, args.landing, args.silver, args.warehouse)
-        print(result.rows_by_stage)
-        result.checks.show(100, truncate=False)
-        result.registered.show(100, truncate=False)
+    spark = build_session()
+    size_session(spark, args)
+    try:
+        if args.job == "load":
+            print(load_increment(spark, args.landing, args.silver))
+        elif args.job == "stream":
+            print(ingest_new_files(
+                spark, args.landing, args.silver, args.checkpoint,
+                dedup_across_batches=args.dedup_across_batches,
+                max_files_per_trigger=args.max_files,
+            ))
+        elif args.job == "build":
+            silver = silver_view(spark, args.silver)
+            _, checks, published = build_checked(silver, args.warehouse, args.severity)
+            _print_checks(checks)
+            published.show(100, truncate=False)
+        elif args.job == "show":
+            table = spark.read.parquet(f"{newest_build(spark, args.warehouse)}/{args.summary}")
+            presented(table, args.summary).show(1000, truncate=False)
+        else:
+            result = run(spark, args.landing, args.silver, args.warehouse, args.stream,
+                         args.severity)
+            print(result.rows_by_stage)
+            _print_checks(result.checks)
+            result.published.show(100, truncate=False)
+    except QualityError as error:
+        _print_checks(error.failed)
+        return 1
+    return 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

@@ -39,7 +39,10 @@ def not_yet_stored(requests: DataFrame, stored: DataFrame) -> DataFrame:
     larger than the calendar.
     """
     days = requests.select(F.collect_set(day_number())).scalar()
-    same_days = stored.filter(F.array_contains(days, day_number())).select(
+    # The bounds drop most partitions before the days are searched one by one.
+    at_hand = (day_number().between(F.array_min(days), F.array_max(days))
+               & F.array_contains(days, day_number()))
+    same_days = stored.filter(at_hand).select(
         *(F.col(c).alias(f"stored_{c}") for c in REQUEST_KEY)
     )
     same_key = reduce(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from hitloom.schemas import conform
+from hitloom.sources.lookup import path_missing
 
 # Which checks are declared for which columns.
 UNIQUE = (
@@ -66,19 +68,22 @@ def check_not_null(df: DataFrame, table: str, columns: tuple[str, ...],
     return _result(counts.unpivot([], list(columns), "column", "failures"), check, table)
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame) -> DataFrame:
+def orphans(child: DataFrame, column: str, parent: DataFrame,
+            counted: bool = False) -> DataFrame:
     """Child keys that no parent row has, with their row count ``n``.
 
-    Keys are counted before the join, so a hot key costs one row in it.
+    Keys are counted before the join, so a hot key costs one row in it. ``counted`` says
+    that each child row already stands for ``n`` rows.
     """
-    keys = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    n = F.sum("n") if counted else F.count("*")
+    keys = child.filter(F.col(column).isNotNull()).groupBy(column).agg(n.alias("n"))
     return keys.join(parent.select(column), column, "left_anti")
 
 
-def check_relationship(child: DataFrame, table: str, column: str,
-                       parent: DataFrame) -> DataFrame:
+def check_relationship(child: DataFrame, table: str, column: str, parent: DataFrame,
+                       counted: bool = False) -> DataFrame:
     """Failures are child rows whose key is in no parent row; nulls are ignored."""
-    failures = orphans(child, column, parent).agg(
+    failures = orphans(child, column, parent, counted).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("failures")
     )
     return _result(failures.withColumn("column", F.lit(column)), "relationships", table)
@@ -103,30 +108,73 @@ def not_null_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return _all(checks)
 
 
-def relationship_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    return _all([check_relationship(tables[t], t, c, tables[p]) for t, c, p in RELATIONSHIPS])
+def relationship_checks(tables: dict[str, DataFrame],
+                        counted: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``counted`` may hold, by key column, stored rows with ``n`` requests each; such a
+    key is checked over the counts instead of the fact."""
+    counted = counted or {}
+    return _all([
+        check_relationship(counted.get(c, tables[t]), t, c, tables[p], c in counted)
+        for t, c, p in RELATIONSHIPS
+    ])
 
 
-def all_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    return _all([unique_checks(tables), not_null_checks(tables), relationship_checks(tables)])
+def all_checks(tables: dict[str, DataFrame],
+               counted: dict[str, DataFrame] | None = None) -> DataFrame:
+    return _all([unique_checks(tables), not_null_checks(tables),
+                 relationship_checks(tables, counted)])
 
 
-def silver_files(stored: DataFrame) -> DataFrame:
-    """One row per data file: path and size, without reading any data column."""
-    return stored.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_size").alias("file_bytes"),
-    ).distinct()
+class QualityError(RuntimeError):
+    """Checks failed; ``failed`` holds their rows."""
 
+    def __init__(self, failed: list[Row]):
+        super().__init__("; ".join(
+            f"{r['check']} {r['table']}.{r['column']}: {r['failures']}" for r in failed))
+        self.failed = failed
 
-def silver_audit(stored: DataFrame) -> DataFrame:
+
+def gate(results: list[Row], severity: str = "error") -> list[Row]:
+    """The failed rows; an error unless ``severity`` is ``warn``."""
+    failed = [row for row in results if not row["passed"]]
+    if failed and severity == "error":
+        raise QualityError(failed)
+    return failed
+
+
+def silver_files(spark: SparkSession, root: str) -> DataFrame:
+    """One row per data file: path and size, from the listing; no file is opened."""
+    try:
+        files = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+            .load(root)
+        )
+    except AnalysisException as error:
+        if not path_missing(error):
+            raise
+        return spark.createDataFrame([], "file_path STRING, file_bytes BIGINT")
+    return files.select(F.col("path").alias("file_path"), F.col("length").alias("file_bytes"))
+
+
+def silver_audit(files: DataFrame) -> DataFrame:
     """File count and volume of a stored dataset; fails when there is no file."""
-    return silver_files(stored).agg(
+    return files.agg(
         F.count("*").alias("file_count"),
         F.coalesce(F.sum("file_bytes"), F.lit(0)).alias("total_bytes"),
     ).withColumn("passed", F.col("file_count") > 0)
 
 
+def audited_days(files: DataFrame) -> DataFrame:
+    """(year, month, day, has_files) of every stored day; null for requests without a time."""
+    parts = [
+        F.expr(f"try_cast(regexp_extract(file_path, '/{name}=([^/]+)/', 1) AS INT)").alias(name)
+        for name in ("year", "month", "day")
+    ]
+    return files.select(*parts, "file_bytes").groupBy("year", "month", "day").agg(
+        (F.sum("file_bytes") > 0).alias("has_files"))
+
+
 def time_range(requests: DataFrame) -> DataFrame:
     """Row count with first and last event time, in one pass."""
     return requests.agg(

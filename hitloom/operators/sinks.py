@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hitloom.operators.increment import PARTITION_COLUMNS
 from hitloom.schemas import conform
+from hitloom.sources.folders import qualified
 
 
 def write_silver(requests: DataFrame, root: str, mode: str = "append") -> None:
@@ -33,34 +34,72 @@ def store(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Store a model as a catalog table, replaced on each run."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
-
-
 def save_view(df: DataFrame, name: str) -> DataFrame:
     """Publish a model as a view that stores nothing."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
 
 
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """Where a catalog table keeps its files; None for a view or a missing table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+    row = described.where("col_name = 'Location'").first()
+    return qualified(spark, row["data_type"]) if row else None
+
+
+def _find_partitions(spark: SparkSession, name: str) -> None:
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+
+
 def register_table(spark: SparkSession, name: str, path: str) -> str:
-    """Point a catalog name at stored Parquet unless the name is already taken."""
+    """Point a catalog name at stored Parquet unless the name is already taken.
+
+    A name that already points there is ``present`` and gets the partitions and files
+    added since; one that points elsewhere is left alone and reported as ``conflict``.
+    """
     if spark.catalog.tableExists(name):
+        if table_location(spark, name) != qualified(spark, path):
+            return "conflict"
         # Its files may have been replaced since this session listed them.
         spark.catalog.refreshTable(name)
+        _find_partitions(spark, name)
         return "present"
     spark.catalog.createTable(name, path, "parquet")
-    if any(column.isPartition for column in spark.catalog.listColumns(name)):
-        spark.catalog.recoverPartitions(name)
+    _find_partitions(spark, name)
     return "registered"
 
 
+def publish_table(spark: SparkSession, name: str, path: str) -> str:
+    """Point a model's catalog table at a new build; readers never see a part of one."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path, "parquet")
+        return "registered"
+    if table_location(spark, name) is None:
+        return "conflict"
+    stored = spark.read.parquet(path).schema
+    if [(f.name, f.dataType) for f in spark.table(name).schema] == [
+            (f.name, f.dataType) for f in stored]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{qualified(spark, path)}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE {name}")
+        spark.catalog.createTable(name, path, "parquet")
+    return "replaced"
+
+
+def _each(spark: SparkSession, paths: dict[str, str], act) -> DataFrame:
+    rows = [(name, act(spark, name, path)) for name, path in paths.items()]
+    return spark.createDataFrame(rows, "table STRING, status STRING")
+
+
 def register_tables(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Register each name; one row per table with what was done."""
-    rows = [(name, register_table(spark, name, path)) for name, path in paths.items()]
-    return spark.createDataFrame(rows, "table STRING, status STRING")
+    return _each(spark, paths, register_table)
+
+
+def publish_tables(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Publish each model; one row per table with what was done."""
+    return _each(spark, paths, publish_table)

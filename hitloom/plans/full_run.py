@@ -1,16 +1,16 @@
-"""The whole run: landed logs to checked, registered tables."""
+"""The whole run: landed logs to checked, published tables."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
-from hitloom.operators.quality import all_checks, silver_audit
-from hitloom.operators.sinks import register_tables
+from hitloom.operators.quality import silver_audit, silver_files
 from hitloom.plans.ingest import load_increment
-from hitloom.plans.warehouse import build_warehouse
+from hitloom.plans.warehouse import build_checked
 from hitloom.sources.silver import read_silver
+from hitloom.streaming.file_ingest import ingest_new_files
 
 
 @dataclass(frozen=True)
@@ -18,20 +18,25 @@ class RunResult:
     rows_by_stage: dict[str, int]
     tables: dict[str, DataFrame]
     audit: DataFrame
-    checks: DataFrame
-    registered: DataFrame
-
-
-def run(spark: SparkSession, landing: str, silver_root: str, warehouse_root: str) -> RunResult:
-    """Load new rows, rebuild the tables, check and register them."""
-    rows_by_stage = load_increment(spark, landing, silver_root)
-    silver = read_silver(spark, silver_root)
-    audit = silver_audit(silver)
+    checks: list[Row]
+    published: DataFrame
+
+
+def run(spark: SparkSession, landing: str, silver_root: str, warehouse_root: str,
+        checkpoint: str | None = None, severity: str = "error") -> RunResult:
+    """Load new rows, rebuild the tables, check them and then publish them.
+
+    With a ``checkpoint`` the stream brings in new files only; without one every landed
+    log is read for rows above the mark.
+    """
+    if checkpoint:
+        batches = ingest_new_files(spark, landing, silver_root, checkpoint)
+        rows_by_stage = {"batches": batches}
+    else:
+        rows_by_stage = load_increment(spark, landing, silver_root)
+    audit = silver_audit(silver_files(spark, silver_root))
     if not audit.first()["passed"]:
         raise RuntimeError(f"no data files below {silver_root}")
-    tables = build_warehouse(silver, warehouse_root)
-    checks = all_checks({"silver": silver, **tables})
-    registered = register_tables(
-        spark, {name: f"{warehouse_root}/{name}" for name in tables}
-    )
-    return RunResult(rows_by_stage, tables, audit, checks, registered)
+    silver = read_silver(spark, silver_root)
+    tables, checks, published = build_checked(silver, warehouse_root, severity)
+    return RunResult(rows_by_stage, tables, audit, checks, published)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hitloom.operators.dedup import dedup_requests
 from hitloom.operators.enrich import enrich_hostnames
-from hitloom.operators.increment import high_water_mark, newer_than
+from hitloom.operators.increment import newer_than, stored_high_water_mark
 from hitloom.operators.parse import describe_requests, parse_requests
 from hitloom.operators.sinks import write_silver
 from hitloom.sources.lookup import read_lookup
@@ -38,7 +38,10 @@ def _rows(observation: Observation) -> int | None:
     """The count, or None when Spark dropped the counting step from an empty plan."""
     try:
         return observation.get["rows"]
-    except Py4JJavaError:
+    except Py4JJavaError as error:
+        # What Spark raises for a metric that no plan reported.
+        if error.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
         return None
 
 
@@ -52,17 +55,18 @@ def new_requests(spark: SparkSession, landing: str, mark: datetime | None,
 
 
 def load_increment(spark: SparkSession, landing: str, silver: str) -> dict[str, int]:
-    """Append the landed rows newer than silver; returns rows per stage.
+    """Append the landed rows newer than silver; returns rows per stage and silver's total.
 
     The counts ride on the write itself, and only a load that finds nothing new
     scans again for them. They are for monitoring: a task that is run again after
     an executor is lost may count twice, while the rows written stay right.
     """
     seen = {stage: Observation(stage) for stage in STAGES}
-    mark = high_water_mark(read_silver(spark, silver))
+    mark = stored_high_water_mark(spark, silver, read_silver(spark, silver))
     write_silver(new_requests(spark, landing, mark, seen), silver)
     rows = {stage: _rows(observation) for stage, observation in seen.items()}
     if None in rows.values():
         lines = read_access_logs(spark, landing).agg(F.count("*"), F.count("_c0")).first()
         rows = dict(zip(STAGES, (*lines, 0, 0)))
-    return rows
+    stored = read_silver(spark, silver)
+    return {**rows, "silver_total": 0 if stored is None else stored.count()}

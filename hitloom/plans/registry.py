@@ -3,21 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitloom.operators import quality
 from hitloom.operators.dedup import dedup_requests
 from hitloom.operators.enrich import enrich_hostnames
-from hitloom.operators.increment import high_water_mark, latest_event_time, newer_than
+from hitloom.operators.increment import (
+    high_water_mark,
+    latest_event_time,
+    newer_than,
+    newest_day,
+)
 from hitloom.operators.parse import describe_requests, parse_requests
 from hitloom.operators.sinks import register_tables as register
 from hitloom.operators.sinks import store
 from hitloom.operators.star import STAR, stg_requests
+from hitloom.operators.summaries import PRESENTATION, presented
 from hitloom.plans.ingest import load_increment, refine
-from hitloom.plans.warehouse import SUMMARIES, build_warehouse, star_tables, summary_over
+from hitloom.plans.warehouse import (
+    SUMMARIES,
+    build_checked,
+    build_warehouse,
+    star_tables,
+    summary_over,
+)
 from hitloom.session import fresh_folder
 from hitloom.sources.derived_logs import (
     access_log,
@@ -26,6 +38,7 @@ from hitloom.sources.derived_logs import (
     land_lookup,
     log_lines,
 )
+from hitloom.sources.lookup import read_lookup
 from hitloom.sources.raw_logs import fields_of_lines, read_access_logs
 from hitloom.sources.silver import read_silver, silver_view
 from hitloom.streaming.file_ingest import ingest_new_files
@@ -84,6 +97,15 @@ def enriched_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_hostnames(access_log(spark, sf_dir), hostname_lookup(spark, sf_dir))
 
 
+def enriched_by_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows by two lookups whose columns stand in different orders."""
+    lookup, landing = hostname_lookup(spark, sf_dir), fresh_folder(spark, "landing")
+    even = F.pmod(F.hash("client_ip"), F.lit(2)) == 0
+    land_lookup(lookup.filter(even), landing, 2024, 1)
+    land_lookup(lookup.filter(~even).select("hostname", "client_ip"), landing, 2024, 2)
+    return enrich_hostnames(access_log(spark, sf_dir), read_lookup(spark, landing))
+
+
 def enriched_by_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows by the join that a lookup too large to broadcast takes."""
     return enrich_hostnames(
@@ -113,7 +135,10 @@ def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_event_time(read_silver(spark, _stored_silver(spark, sf_dir)))
+    root = _stored_silver(spark, sf_dir)
+    silver = read_silver(spark, root)
+    day = newest_day(spark, root, silver)
+    return latest_event_time(silver.limit(0) if day is None else day)
 
 
 def incremental_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,28 +226,82 @@ def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.silver_audit(read_silver(spark, _stored_silver(spark, sf_dir)))
+    """The stored days and whether each has data, from the listing of files."""
+    return quality.audited_days(quality.silver_files(spark, _stored_silver(spark, sf_dir)))
+
+
+def summaries_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every summary in its reading order: place and ordering value of each row."""
+    silver = store(silver_requests(spark, sf_dir), fresh_folder(spark, "ordered"))
+    placed = []
+    for name, (column, _) in PRESENTATION.items():
+        # Sorted partitions follow one another, so this number rises with the order.
+        rows = presented(summary_over(name, silver), name).select(
+            F.lit(name).alias("summary"), F.col(column).cast("string").alias("value"),
+            F.monotonically_increasing_id().alias("place"))
+        placed.append(rows)
+    every = reduce(DataFrame.unionByName, placed)
+    in_order = Window.partitionBy("summary").orderBy("place")
+    return every.select(
+        "summary", F.row_number().over(in_order).cast("bigint").alias("position"), "value")
+
+
+def _counted(spark: SparkSession, database: str, done: DataFrame) -> DataFrame:
+    """Name, status and rows, as read by name, of the tables of a database made for this
+    query, which is then dropped; the files stay."""
+    rows = [
+        (row["table"].rsplit(".", 1)[-1], row["status"], spark.table(row["table"]).count())
+        for row in done.collect()
+    ]
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.createDataFrame(rows, "table STRING, status STRING, row_count BIGINT")
+
+
+def _new_database(spark: SparkSession) -> str:
+    folder = fresh_folder(spark, "database")
+    database = f"hits_{folder.rsplit('-', 1)[1]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    return database
+
+
+def _half_silver(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Landing and silver after the first of two uploads."""
+    lines = log_lines(access_log(spark, sf_dir).filter(F.col("timestamp") <= _cut()))
+    landing, silver = _landing(spark, sf_dir, lines), fresh_folder(spark, "silver")
+    load_increment(spark, landing, silver)
+    return landing, silver
+
+
+def _load_other_half(spark: SparkSession, sf_dir: str, landing: str, silver: str) -> None:
+    later = access_log(spark, sf_dir).filter(F.col("timestamp") > _cut())
+    land_lines(log_lines(later), landing, 2024, 2)
+    load_increment(spark, landing, silver)
 
 
 def register_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Build and register silver, star and summaries; rows as read by name."""
-    silver = _stored_silver(spark, sf_dir)
+    """Register silver, load more, then register it again with star and summaries."""
+    database = _new_database(spark)
+    landing, silver = _half_silver(spark, sf_dir)
+    register(spark, {f"{database}.silver": silver})
+    _load_other_half(spark, sf_dir, landing, silver)
     warehouse = fresh_folder(spark, "warehouse")
     tables = build_warehouse(read_silver(spark, silver), warehouse)
     paths = {"silver": silver, **{name: f"{warehouse}/{name}" for name in tables}}
-    database = warehouse.rsplit("-", 1)[1]
-    spark.sql(f"CREATE DATABASE `hits_{database}` LOCATION '{warehouse}/managed'")
-    done = register(spark, {f"hits_{database}.{name}": path for name, path in paths.items()})
-    counts = None
-    for name in paths:
-        counted = spark.table(f"hits_{database}.{name}").agg(
-            F.lit(name).alias("name"), F.count("*").alias("row_count")
-        )
-        counts = counted if counts is None else counts.unionByName(counted)
-    short = F.substring_index("table", ".", -1)
-    return done.withColumn("table", short).join(counts, short == F.col("name")).select(
-        "table", "status", "row_count"
-    )
+    done = register(spark, {f"{database}.{name}": path for name, path in paths.items()})
+    return _counted(spark, database, done)
+
+
+def model_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build and publish the models, load more, and replace them by a second build.
+
+    The derived logs hold requests without URL or status, so failed checks only warn.
+    """
+    database, warehouse = _new_database(spark), fresh_folder(spark, "warehouse")
+    landing, silver = _half_silver(spark, sf_dir)
+    build_checked(read_silver(spark, silver), warehouse, "warn", database)
+    _load_other_half(spark, sf_dir, landing, silver)
+    _, _, done = build_checked(read_silver(spark, silver), warehouse, "warn", database)
+    return _counted(spark, database, done)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -232,6 +311,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "status_class_flags": status_class_flags,
     "enrich_hostnames": enriched_requests,
     "enrich_hostnames_shuffled": enriched_by_shuffle,
+    "enrich_hostnames_mixed_headers": enriched_by_mixed_headers,
     "dedup_requests": deduplicated,
     "silver_requests": silver_requests,
     "silver_roundtrip": silver_roundtrip,
@@ -250,5 +330,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_relationships": dq_relationships,
     "dq_orphans": dq_orphans,
     "silver_audit": silver_audit,
+    "summaries_in_order": summaries_in_order,
     "register_tables": register_tables,
+    "model_tables": model_tables,
 }

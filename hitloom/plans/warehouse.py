@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections import Counter
+import time
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from hitloom.operators import summaries
-from hitloom.operators.sinks import save_view, store
+from hitloom.operators.quality import all_checks, gate
+from hitloom.operators.sinks import publish_tables, save_view, store
 from hitloom.operators.star import STAR, stg_requests
+from hitloom.sources.folders import matching, remove
 
 
 # Hit counts of the fact that the summaries share.
@@ -18,6 +21,14 @@ HITS = {
     "hits_by_request": summaries.hits_by_request,
 }
 
+# For a single summary, counts by its own key alone cost less than counts that are shared.
+OWN_HITS = {
+    "agg_status_breakdown": "status_sk",
+    "agg_error_detail": "status_sk",
+    "agg_day_of_week": "date_sk",
+    "agg_daily_bytes": "date_sk",
+}
+
 # Each summary with the hit counts and the dimension it reads.
 SUMMARIES = {
     "kpi_summary": (summaries.kpi_summary, "hits_by_ip", "dim_status"),
@@ -41,27 +52,67 @@ def summary_over(name: str, silver: DataFrame) -> DataFrame:
     """One summary straight from silver, nothing stored on the way."""
     model, counted, dimension = SUMMARIES[name]
     staged = stg_requests(silver)
-    return model(HITS[counted](STAR["fact_requests"](staged)), STAR[dimension](staged))
+    key = OWN_HITS.get(name)
+    count = HITS[counted] if key is None else (lambda fact: summaries.hits(fact, key))
+    return model(count(STAR["fact_requests"](staged)), STAR[dimension](staged))
 
 
 def build_warehouse(silver: DataFrame, root: str) -> dict[str, DataFrame]:
-    """Store every model below ``root``; returns the stored tables by name.
+    """Store every model below ``root``, a folder of its own for each build; returns the
+    stored tables by name.
 
-    The fact is scanned three times, each for one to four columns: hit counts that
-    several summaries read are stored first.
+    The fact is scanned three times, each for one to four columns, for the hit counts,
+    which are stored first: several summaries and checks read them.
     """
     save_view(stg_requests(silver), "stg_requests")
     star = {
         name: store(model, f"{root}/{name}") for name, model in star_tables(silver).items()
     }
     counts = {name: count(star["fact_requests"]) for name, count in HITS.items()}
-    readers = Counter(counted for _, counted, _ in SUMMARIES.values())
-    counts |= {
-        name: store(count, f"{root}/{name}")
-        for name, count in counts.items() if readers[name] > 1
-    }
+    counts = {name: store(count, f"{root}/{name}") for name, count in counts.items()}
     summary = {
         name: store(model(counts[counted], star[dimension]), f"{root}/{name}")
         for name, (model, counted, dimension) in SUMMARIES.items()
     }
     return {**star, **summary}
+
+
+# The stored hit counts that hold each key of the fact.
+COUNTED_KEYS = {"ip_sk": "hits_by_ip", "status_sk": "hits_by_hour", "date_sk": "hits_by_hour",
+                "request_sk": "hits_by_request"}
+
+
+def check_warehouse(silver: DataFrame, tables: dict[str, DataFrame], root: str) -> list[Row]:
+    """The results of all declared checks over one build, computed."""
+    read = silver.sparkSession.read.parquet
+    counted = {key: read(f"{root}/{name}") for key, name in COUNTED_KEYS.items()}
+    return all_checks({"silver": silver, **tables}, counted).collect()
+
+
+def build_checked(silver: DataFrame, root: str, severity: str = "error",
+                  database: str | None = None) -> tuple[dict[str, DataFrame], list[Row], DataFrame]:
+    """A new build below ``root/builds``, its checks, and its tables as published.
+
+    The catalog's tables point at the new build only after its checks passed (or
+    ``severity`` is ``warn``); a build that dies or fails leaves the earlier one in place.
+    Of the builds before it the last is kept for readers that still have it open.
+    """
+    spark = silver.sparkSession
+    build = f"{root}/builds/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    tables = build_warehouse(silver, build)
+    results = check_warehouse(silver, tables, build)
+    gate(results, severity)
+    prefix = f"{database}." if database else ""
+    published = publish_tables(
+        spark, {f"{prefix}{name}": f"{build}/{name}" for name in tables})
+    for old in sorted(matching(spark, f"{root}/builds/*"))[:-2]:
+        remove(spark, old)
+    return tables, results, published
+
+
+def newest_build(spark: SparkSession, root: str) -> str:
+    """The folder of the newest build below ``root``."""
+    builds = sorted(matching(spark, f"{root}/builds/*"))
+    if not builds:
+        raise FileNotFoundError(f"{root}/builds")
+    return builds[-1]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
 import tempfile
 import uuid
 
@@ -15,13 +17,15 @@ _local_folder: str | None = None
 
 
 def sizing(input_bytes: int) -> dict[str, str]:
-    """Partition settings for a job that reads ``input_bytes`` of log text.
+    """Partition settings for a job that reads ``input_bytes`` of log text; none for 0.
 
     Scan splits grow from 128 MiB to 512 MiB, so that 100 TB takes about 200,000 map
-    tasks and each sorts its split in memory. Shuffles start with one partition per 256 MiB to 4 GiB of input, which
-    keeps 100 TB near 25,000 partitions and their blocks large enough to fetch;
-    AQE merges small ones towards the advisory size afterwards.
+    tasks and each sorts its split in memory. Shuffles start with one partition per
+    256 MiB to 4 GiB of input, which keeps 100 TB near 25,000 partitions and their blocks
+    large enough to fetch; AQE merges small ones towards the advisory size afterwards.
     """
+    if not input_bytes:
+        return {}
     split = min(max(128 * MIB, input_bytes // 200_000), 512 * MIB)
     reduce_bytes = min(max(256 * MIB, input_bytes // 25_000), 4 * GIB)
     return {
@@ -49,6 +53,14 @@ def build_session(app_name: str = "hitloom", master: str | None = None,
     return builder.getOrCreate()
 
 
+def size_to_input(spark: SparkSession, input_bytes: int) -> None:
+    """Apply ``sizing`` to a running session, but for what its user has set."""
+    given = spark.sparkContext.getConf()
+    for key, value in sizing(input_bytes).items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -63,6 +75,7 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="hitloom-")
+        atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
     return _local_folder
 
 

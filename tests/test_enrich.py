@@ -52,6 +52,14 @@ def test_missing_lookup_is_none_but_present_is_read(spark, tmp_path):
     assert rows(read_lookup(spark, str(tmp_path))) == [("1.1.1.1", "one")]
 
 
+def test_lookups_of_different_header_orders(spark, tmp_path):
+    land_lookup_csv(tmp_path, "client_ip,hostname\n1.1.1.1,one\n")
+    land_lookup_csv(tmp_path, "hostname,client_ip\ntwo,2.2.2.2\n", month=2)
+    land_lookup_csv(tmp_path, "a,b\n3.3.3.3,three\n", month=3)
+    names = address_names(read_lookup(spark, str(tmp_path)))
+    assert rows(names) == [("1.1.1.1", "one"), ("2.2.2.2", "two")]
+
+
 def test_size_decides_between_broadcast_and_shuffle(spark):
     log = requests(spark, request("a"))
     table = lookup(spark, ("a", "one"), ("b", "two"))

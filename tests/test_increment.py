@@ -1,14 +1,21 @@
 from __future__ import annotations
 
+import glob
 from datetime import datetime
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from conftest import plan, rows
-from fixtures import described, land, land_lookup_csv, line, request
-from hitloom.operators.increment import high_water_mark, latest_event_time, newer_than
+from fixtures import described, land, land_lookup_csv, line, request, spoil
+from hitloom.operators.increment import (
+    high_water_mark,
+    newer_than,
+    stored_days,
+    stored_high_water_mark,
+)
 from hitloom.operators.sinks import write_silver
 from hitloom.plans.ingest import STAGES, load_increment, new_requests
 from hitloom.sources.silver import read_silver, silver_view
@@ -41,16 +48,34 @@ def test_other_read_errors_pass_through(spark):
         error.value.getCondition() != "PATH_NOT_FOUND")
 
 
-def test_mark_reads_only_the_newest_day(spark, tmp_path):
+def mark_of(spark, root):
+    return stored_high_water_mark(spark, root, read_silver(spark, root))
+
+
+def test_mark_opens_only_the_newest_day(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    # Day 10 comes after day 9, whose folder name sorts after it.
+    write_silver(described(spark, request(at=3 * 86_400), request(at=4 * 86_400),
+                           request(at=4 * 86_400 + 5), request(addr="b", time=False)), root)
+    for folder in glob.glob(f"{root}/*/*/*"):
+        if not folder.endswith("/day=10"):
+            spoil(folder)
+    assert mark_of(spark, root) == datetime(2024, 1, 10, 10, 0, 5)
+
+
+def test_mark_falls_back_and_sees_batches(spark, tmp_path):
     root = str(tmp_path / "silver")
-    write_silver(described(spark, request(), request(at=86_400), request(at=86_405),
-                           request(addr="b", time=False)), root)
-    silver = read_silver(spark, root)
-    assert high_water_mark(silver) == datetime(2024, 1, 7, 10, 0, 5)
-    text = plan(latest_event_time(silver))
-    # The newest day filters partitions; finding it reads no data column.
-    assert "Subquery" in text.split("PartitionFilters: [")[1].split("DataFilters")[0]
-    assert "ReadSchema: struct<>" in text
+    write_silver(described(spark, request(addr="b", time=False)), root)
+    assert stored_days(spark, root) == [] and mark_of(spark, root) is None
+    write_silver(described(spark, request(at=5)), root)
+    write_silver(described(spark, request(at=86_400)).withColumn(
+        "timestamp", F.lit(None).cast("timestamp_ntz")), root)
+    assert mark_of(spark, root) == datetime(2024, 1, 6, 10, 0, 5)
+    batches = str(tmp_path / "batches")
+    for i in range(2):
+        write_silver(described(spark, request(at=i)), f"{batches}/batch_id={i}", mode="overwrite")
+    assert stored_days(spark, batches) == [(2024, 1, 6)]
+    assert mark_of(spark, batches) == datetime(2024, 1, 6, 10, 0, 1)
 
 
 def test_newer_is_strict_and_drops_untimed_only_with_a_mark(spark):
@@ -75,14 +100,14 @@ def test_loads_append_only_newer_rows(spark, places):
     landing, silver = places
     land(landing, [*DAY1, DAY1[0], UNTIMED, ""])
     assert load_increment(spark, str(landing), silver) == {
-        "raw_lines": 7, "with_address": 7, "newer": 7, "written": 6}
+        "raw_lines": 7, "with_address": 7, "newer": 7, "written": 6, "silver_total": 6}
     # The same files again add nothing.
     assert load_increment(spark, str(landing), silver)["written"] == 0
     assert read_silver(spark, silver).count() == 6
     # A second upload adds its newer rows; the late one and the untimed one stay out.
     land(landing, [*DAY2, LATE, UNTIMED], month=2)
     assert load_increment(spark, str(landing), silver) == {
-        "raw_lines": 14, "with_address": 14, "newer": 5, "written": 5}
+        "raw_lines": 14, "with_address": 14, "newer": 5, "written": 5, "silver_total": 11}
     stored = read_silver(spark, silver)
     assert stored.count() == 11
     assert "/late" not in {r["url"] for r in stored.collect()}

@@ -16,7 +16,21 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     main(["stream", str(landing), streamed, str(tmp_path / "state"),
           "--dedup-across-batches", "--max-files", "1"])
     assert rows(read_silver(spark, streamed)) == rows(read_silver(spark, silver))
-    main(["build", silver, str(tmp_path / "warehouse")])
+    warehouse = str(tmp_path / "warehouse")
+    assert main(["build", silver, warehouse]) == 0
     assert "relationships" in capsys.readouterr().out
-    total = spark.read.parquet(str(tmp_path / "warehouse" / "kpi_summary")).first()[0]
-    assert total == 3
+    assert spark.table("kpi_summary").first()[0] == 3
+    assert main(["show", warehouse, "agg_method_split"]) == 0
+    assert "GET" in capsys.readouterr().out
+
+
+def test_failed_checks_fail_the_job(spark, tmp_path, capsys):
+    landing = tmp_path / "raw"
+    landing.mkdir()
+    land(landing, [line(), line(clock="22/Jan/2019:10:00:01", status="abc")])
+    places = [str(landing), str(tmp_path / "silver"), str(tmp_path / "warehouse")]
+    assert main(["run", *places]) == 1
+    assert "status_sk 1 FAILED" in capsys.readouterr().out
+    assert main(["run", *places, "--severity", "warn"]) == 0
+    assert "status_sk 1 FAILED" in capsys.readouterr().out
+    assert spark.table("fact_requests").count() == 2

@@ -1,10 +1,15 @@
 from __future__ import annotations
 
+import glob
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan, rows
-from fixtures import described, request
+from fixtures import described, request, spoil
 from hitloom.operators import quality
+from hitloom.operators.sinks import write_silver
 from hitloom.plans.ingest import refine
 from hitloom.plans.warehouse import star_tables
 from hitloom.sources.derived_logs import access_log, hostname_lookup
@@ -73,18 +78,40 @@ def test_null_checks_of_a_table_are_one_pass(spark):
 
 def test_audit_of_no_files_fails(spark, tmp_path):
     (tmp_path / "empty").mkdir()
-    empty = spark.read.schema("a INT").parquet(str(tmp_path / "empty"))
-    assert rows(quality.silver_audit(empty)) == [(0, 0, False)]
-
-
-def test_audit_sees_every_file(spark, tmp_path):
-    path = tmp_path / "files"
-    spark.range(100).repartition(7).write.parquet(str(path))
-    sizes = [p.stat().st_size for p in path.glob("*.parquet")]
-    stored = spark.read.parquet(str(path))
-    assert rows(quality.silver_audit(stored)) == [(7, sum(sizes), True)]
-    assert "ReadSchema: struct<>" in plan(quality.silver_audit(stored))
-    assert quality.silver_files(stored).count() == 7
+    for folder in ("empty", "none"):
+        files = quality.silver_files(spark, str(tmp_path / folder))
+        assert rows(quality.silver_audit(files)) == [(0, 0, False)]
+
+
+def test_audit_sees_every_file_and_opens_none(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    write_silver(described(spark, request(), request(at=86_400), request(time=False)), root)
+    paths = glob.glob(f"{root}/*/*/*/*.parquet")
+    for path in paths:
+        spoil(os.path.dirname(path))
+    files = quality.silver_files(spark, root)
+    assert rows(quality.silver_audit(files)) == [(3, 3 * len(b"not parquet"), True)]
+    assert rows(quality.audited_days(files)) == [
+        (2024, 1, 6, True), (2024, 1, 7, True), (None, None, None, True)]
+
+
+def test_relationships_over_counts_equal_those_over_rows(spark):
+    star = tables(spark, request(), request(at=1, status=500), request(at=2, status=500))
+    some = {**star, "dim_status": star["dim_status"].filter("status_code = 200")}
+    counted = {"status_sk": star["fact_requests"].groupBy("status_sk", "date_sk")
+               .agg(F.count("*").alias("n"))}
+    assert rows(quality.relationship_checks(some, counted)) == rows(
+        quality.relationship_checks(some))
+    assert failures(quality.relationship_checks(some, counted)) == {
+        ("relationships", "fact_requests", "status_sk"): 2}
+
+
+def test_gate(spark):
+    star = tables(spark, request(status=None))
+    results = quality.all_checks(star).collect()
+    with pytest.raises(quality.QualityError):
+        quality.gate(results)
+    assert {r["column"] for r in quality.gate(results, "warn")} == {"status", "status_sk"}
 
 
 @pytest.mark.parametrize("count, expected", [(0, (0, None, None)), (2, None)])

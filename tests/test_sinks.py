@@ -7,9 +7,13 @@ import pytest
 
 from conftest import plan, rows
 from fixtures import described, land, land_lookup_csv, line, request
+from pyspark.sql import functions as F
+
 from hitloom import session
-from hitloom.operators import sinks
-from hitloom.plans import full_run
+from hitloom.operators import quality, sinks
+from hitloom.plans import full_run, warehouse
+from hitloom import __main__ as cli
+from hitloom.sources import folders
 from hitloom.sources.silver import read_silver
 
 
@@ -62,13 +66,51 @@ def test_register_skips_known_tables_and_finds_partitions(spark, tmp_path):
     assert rows(sinks.register_tables(spark, paths), "status") == [("present",), ("present",)]
     assert spark.table("reg_test.requests").count() == 2
     assert spark.table("reg_test.numbers").count() == 3
+    # A day loaded since is found, and a name taken by another folder is reported.
+    sinks.write_silver(described(spark, request(at=2 * 86_400)), root)
+    elsewhere = str(tmp_path / "elsewhere")
+    sinks.store(spark.range(9), elsewhere)
+    again = sinks.register_tables(spark, {**paths, "reg_test.numbers": elsewhere})
+    assert rows(again, "status") == [("conflict",), ("present",)]
+    assert spark.table("reg_test.requests").count() == 3
+    assert spark.table("reg_test.numbers").count() == 3
+
+
+def test_published_tables_follow_the_newest_build(spark, tmp_path):
+    for build, table in (("a", spark.range(3)), ("b", spark.range(2)),
+                         ("c", spark.range(4).withColumn("more", F.lit(1)))):
+        sinks.store(table, str(tmp_path / build))
+        done = sinks.publish_tables(spark, {"a_model": str(tmp_path / build)})
+        assert rows(done, "status") == [("registered" if build == "a" else "replaced",)]
+        assert spark.table("a_model").columns == table.columns
+        assert spark.table("a_model").count() == table.count()
+    sinks.save_view(spark.range(1), "a_taken_name")
+    assert rows(sinks.publish_tables(spark, {"a_taken_name": str(tmp_path / "a")}),
+                "status") == [("conflict",)]
+
+
+def test_a_failed_build_leaves_the_last_one_readable(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "warehouse")
+    silver = described(spark, request(), request(at=1))
+    warehouse.build_checked(silver, root)
+    before = rows(spark.table("kpi_summary"))
+    dirty = described(spark, request(), request(at=1, status=None))
+    with pytest.raises(quality.QualityError, match="status_sk: 1"):
+        warehouse.build_checked(dirty, root)
+    assert rows(spark.table("kpi_summary")) == before
 
+    def broken(*_):
+        raise OSError("disk")
 
-def test_models_as_tables_are_replaced(spark, tmp_path):
-    sinks.save_table(spark.range(3), "replaced_model", str(tmp_path / "model"))
-    assert sinks.save_table(spark.range(2), "replaced_model", str(tmp_path / "model")).count() == 2
-    sinks.save_table(spark.range(4), "managed_model")
-    assert spark.table("managed_model").count() == 4
+    monkeypatch.setitem(warehouse.SUMMARIES, "agg_daily_bytes", (broken, "hits_by_hour", "dim_date"))
+    with pytest.raises(OSError):
+        warehouse.build_checked(described(spark, request()), root)
+    monkeypatch.undo()
+    assert rows(spark.table("kpi_summary")) == before
+    warehouse.build_checked(dirty, root, "warn")
+    assert spark.table("fact_requests").filter("status_sk IS NULL").count() == 1
+    # The builds before the last two are gone.
+    assert len(glob.glob(f"{root}/builds/*")) == 2
 
 
 def test_models_as_views(spark):
@@ -86,20 +128,24 @@ def test_the_whole_run(spark, tmp_path):
     first = full_run.run(spark, *places)
     assert first.rows_by_stage["written"] == 10
     assert len(first.tables) == 13
-    assert first.checks.filter("not passed").count() == 0
+    assert len(first.checks) == 21 and all(row["passed"] for row in first.checks)
     before = rows(first.tables["kpi_summary"])
     assert before[0][0] == 10 and before[0][2] == 50.0
-    assert {r["status"] for r in first.registered.collect()} == {"registered"}
+    assert {r["status"] for r in first.published.collect()} <= {"registered", "replaced"}
     again = full_run.run(spark, *places)
     assert again.rows_by_stage["written"] == 0
     assert rows(again.tables["kpi_summary"]) == before
     assert rows(spark.table("kpi_summary")) == before
-    assert {r["status"] for r in again.registered.collect()} == {"present"}
+    assert {r["status"] for r in again.published.collect()} == {"replaced"}
     assert spark.table("stg_requests").count() == 10
+    streamed = full_run.run(spark, str(landing), str(tmp_path / "streamed"),
+                            str(tmp_path / "other"), checkpoint=str(tmp_path / "state"))
+    assert streamed.rows_by_stage == {"batches": 1}
+    assert rows(streamed.tables["kpi_summary"]) == before
 
 
 @pytest.mark.parametrize("size, split, partitions", [
-    (0, 128 * session.MIB, 8),
+    (session.GIB, 128 * session.MIB, 8),
     (100 * session.GIB, 128 * session.MIB, 400),
     (100 * 1024 * session.GIB, 512 * session.MIB, 25_600),
 ])
@@ -109,6 +155,32 @@ def test_sizing(size, split, partitions):
     assert int(conf["spark.sql.shuffle.partitions"]) == partitions
 
 
+def test_no_size_leaves_the_settings_alone():
+    assert session.sizing(0) == {}
+
+
+def test_jobs_are_sized_by_the_folder_they_read(spark, tmp_path, monkeypatch):
+    args = cli._parser().parse_args(["build", "some/silver", "some/warehouse"])
+    asked = []
+    monkeypatch.setattr(cli, "folder_bytes",
+                        lambda _, folder: asked.append(folder) or 100 * 1024 * session.GIB)
+    set_to = {}
+    given = {"spark.sql.shuffle.partitions"}
+    stub = SimpleNamespace(
+        conf=SimpleNamespace(set=set_to.__setitem__),
+        sparkContext=SimpleNamespace(getConf=lambda: SimpleNamespace(
+            contains=lambda key: key in given)))
+    cli.size_session(stub, args)
+    # The user's own setting wins.
+    assert asked == ["some/silver"] and not given & set(set_to)
+    given.clear()
+    cli.size_session(stub, args)
+    assert set_to["spark.sql.shuffle.partitions"] == "25600"
+    assert folders.folder_bytes(spark, str(tmp_path / "none")) == 0
+    (tmp_path / "some").write_bytes(b"12345")
+    assert folders.folder_bytes(spark, str(tmp_path)) == 5
+
+
 def test_shared_folder_is_the_configured_one(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     a, b = session.fresh_folder(spark, "x"), session.fresh_folder(spark, "x")
