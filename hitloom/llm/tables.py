@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterable
 
 import numpy as np
@@ -13,7 +16,29 @@ from pyspark.sql import functions as F
 from hitloom.session import fresh_folder
 
 
+_shipped_to: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that their Python
+    workers can import it wherever it was started from."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped_to:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(prefix="hitloom-package-"), "hitloom.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(os.path.join(root, "hitloom")):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    archive.write(file, os.path.relpath(file, root))
+    context.addPyFile(path)
+    _shipped_to.add(context.applicationId)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -22,6 +47,7 @@ def written(frame: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage without blocks that die with an executor.
     """
+    ship_package(frame.sparkSession)
     folder = fresh_folder(frame.sparkSession, label)
     frame.write.parquet(folder)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
