@@ -151,6 +151,21 @@ def test_model_adds_what_resembles_base_spans_only(spark, hard):
     assert rows[HARD.index("date 2024-05-17 10:22 and 12345678")].spans == ""
 
 
+def test_generators_propose_parts_of_long_runs_and_chained_addresses(spark):
+    texts = {
+        "4465758382889437 4465758382889437": {(0, 16), (17, 33)},
+        "4111-1111-1111-1111 4111111111111112": {(0, 19), (20, 36)},
+        "+1 (269) 555-3296 4524132264652876": {(0, 17), (18, 34)},
+        "4111111111111111 2nd": {(0, 16)},
+        "a (at) b (at) host (dot) com": {(7, 28)},
+    }
+    rows = pii.base_spans(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    for r in rows:
+        spans = {(s.start, s.end) for s in r["__wide"]}
+        assert texts[r.text] <= spans, r.text
+        assert all(r.text[s.start : s.end] == s.text for s in r["__wide"])
+
+
 def test_redaction(spark, hard, odd_documents, no_documents):  # noqa: F811
     texts = {r.doc_id: r.text for r in pii.redact(hard, pii.SpanModel()).collect()}
     assert texts[0] is None and texts[1] == ""
