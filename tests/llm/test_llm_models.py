@@ -106,7 +106,7 @@ HARD = [
     "4111  1111 1111 1111", "+1 (555) 123-4567", "++1 23 456 789 0+12345678", "+1234567 8",
     "🙂 é me@x.org +49 30 1234567, 10.0.0.1!", "1 " * 300, "+" + "1" * 400, "9" * 2000 + ".1.1.1",
     "a" * 5000 + "@b.co", "no pii here", "anna.b7 (at) mail3 (dot) example (dot) com", "call 988-555-2485 now",
-    "date 2024-05-17 10:22 and 12345678",
+    "date 2024-05-17 10:22 and 12345678", "name (at) host (dot) com",
 ]
 
 
@@ -166,6 +166,23 @@ def test_generators_propose_parts_of_long_runs_and_chained_addresses(spark):
         assert all(r.text[s.start : s.end] == s.text for s in r["__wide"])
 
 
+def test_model_adds_numbers_side_by_side_and_other_notations(spark):
+    model = pii.fit(spark.read.parquet(f"{SF_MIDDLE}/documents.parquet"))
+    texts = {
+        "4465758382889437 4465758382889437": "card:0:16,card:17:33",
+        "4111 1111 1111 1111 4111 1111 1111 1111": "card:0:19,card:20:39",
+        "4111-1111-1111-1111 4111111111111112": "card:0:19",
+        "+1 (269) 555-3296 4524132264652876 and": "card:18:34,phone:0:17",
+        "+1 (269) 555-3296 (269) 555-3291": "phone:0:17,phone:18:32",
+        "call 988-555-2485 now": "phone:5:17",
+        "name (at) host (dot) com": "email:0:24",
+        "on 2024-05-17 10 and 100 200 300 400": "",
+    }
+    rows = pii.find_spans(spark.createDataFrame([(t,) for t in texts], "text string"), model).select(
+        "text", pii.span_text("__spans").alias("spans")).collect()
+    assert {r.text: r.spans for r in rows} == texts
+
+
 def test_redaction(spark, hard, odd_documents, no_documents):  # noqa: F811
     texts = {r.doc_id: r.text for r in pii.redact(hard, pii.SpanModel()).collect()}
     assert texts[0] is None and texts[1] == ""
