@@ -131,33 +131,39 @@ def prefix_postings(documents: DataFrame, often: Membership, width: int, num: in
         run, "gram bigint, set_id bigint, place int")
 
 
-def fragments(documents: DataFrame, wanted: Membership, often: Membership, numbers: list[int],
-              width: int, text: str, key: str) -> DataFrame:
-    """(doc_id, fragment, grams) of the documents that ``wanted`` may hold."""
-    shared = documents.sparkSession.sparkContext.broadcast((wanted, often))
+def fragments(documents: DataFrame, wanted: Membership, sets: Membership, often: Membership,
+              numbers: list[int], width: int, text: str, key: str) -> DataFrame:
+    """(set_id, fragment, grams) of the documents that ``wanted`` may hold, with sets that
+    ``sets`` may hold. A set comes once a batch."""
+    shared = documents.sparkSession.sparkContext.broadcast((wanted, sets, often))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, often = shared.value
+        wanted, sets, often = shared.value
         cuts = np.array([int(cut * 2**64) for cut in CUTS], np.uint64)
         for batch in batches:
             keep = np.flatnonzero(wanted.holds(batch.column(0).to_numpy().view(np.uint64)))
             some = batch.take(pa.array(keep))
-            parts = []
+            parts, ids, seen = [], [], set()
             for s in _sets_of(texts_of(some.column(1)), width):
+                own = xxhash.xxh3_64_intdigest(s.tobytes())
+                if own in seen or not sets.holds(np.array([own], np.uint64))[0]:
+                    continue
+                seen.add(own)
+                ids.append(own)
                 common = often.holds(s)
                 rare = s[~common]
                 cut = [*np.split(rare, np.searchsorted(rare, cuts)), s[common]]
                 parts += [cut[number] for number in numbers]
             offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
             flat = np.concatenate([*parts, np.empty(0, np.uint64)])
-            keys = np.repeat(some.column(0).to_numpy(), len(numbers))
+            keys = np.repeat(np.array(ids, np.uint64), len(numbers))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(np.tile(np.array(numbers, np.int32), len(some))),
+                [_signed(keys), pa.array(np.tile(np.array(numbers, np.int32), len(ids))),
                  pa.ListArray.from_arrays(pa.array(offsets), _signed(flat))],
-                names=["doc_id", "fragment", "grams"])
+                names=["set_id", "fragment", "grams"])
 
     return _keyed(documents, text, key).where(F.col("doc_id").isNotNull()).mapInArrow(
-        run, "doc_id bigint, fragment int, grams array<bigint>")
+        run, "set_id bigint, fragment int, grams array<bigint>")
 
 
 def _comparable(num: int, den: int) -> Column:
@@ -177,13 +183,13 @@ def _may_link(num: int, den: int) -> Column:
 
 
 def _sketches(heads: DataFrame, key: str, mark: str) -> DataFrame:
-    return heads.select(F.col("head").alias(key), *(F.col(w).alias(f"{mark}_{w}") for w in SKETCH))
+    return heads.select(F.col("set_id").alias(key), *(F.col(w).alias(f"{mark}_{w}") for w in SKETCH))
 
 
 def _partial(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """The pairs with, per fragment, the overlap and how many n-grams only one has."""
-    one = parts.select(F.col("doc_id").alias("a"), "fragment", F.col("grams").alias("grams_a"))
-    other = parts.select(F.col("doc_id").alias("b"), "fragment", F.col("grams").alias("grams_b"))
+    one = parts.select(F.col("set_id").alias("a"), "fragment", F.col("grams").alias("grams_a"))
+    other = parts.select(F.col("set_id").alias("b"), "fragment", F.col("grams").alias("grams_b"))
     return (
         pairs.join(one, "a").join(other, ["b", "fragment"])
         .select(*pairs.columns, F.size(F.array_intersect("grams_a", "grams_b")).alias("part"),
@@ -192,21 +198,29 @@ def _partial(pairs: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 class _Verifier:
-    """Verifies candidate pairs (a, b, n_a, n_b) by the texts of their documents."""
+    """Verifies candidate pairs (a, b, n_a, n_b) of sets by the texts of their documents."""
 
-    def __init__(self, documents: DataFrame, often: Membership, width: int, num: int, den: int,
+    def __init__(self, documents: DataFrame, heads: DataFrame, often: Membership, width: int, num: int, den: int,
                  text: str, key: str):
         self.documents, self.often, self.width = documents, often, width
+        self.heads = heads.select("set_id", "head")
         self.num, self.den, self.text, self.key = num, den, text, key
 
     def _parts(self, pairs: DataFrame, numbers: list[int]) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-        return written(
-            fragments(self.documents, Membership.of(ids, "id"), self.often, numbers,
-                      self.width, self.text, self.key), "fragments")
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+        found = self.heads.join(ids, "set_id")
+        parts = written(
+            fragments(self.documents, Membership.of(found, "head"), Membership.of(ids, "set_id"),
+                      self.often, numbers, self.width, self.text, self.key), "fragments")
+        repeated = parts.groupBy("set_id", "fragment").count().where("count > 1")
+        repeated = repeated.select("set_id").distinct()
+        if repeated.isEmpty():
+            return parts
+        once = parts.join(repeated, "set_id", "left_semi").dropDuplicates(["set_id", "fragment"])
+        return parts.join(repeated, "set_id", "left_anti").unionByName(once)
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        """The linked pairs (a, b), stored."""
+        """The linked pairs (a, b), as the documents that head their sets, stored."""
         pairs = pairs.withColumn("needed", _needed(self.num, self.den))
         apart = F.col("sizes") - 2 * F.col("part")
         first = written(
@@ -218,12 +232,17 @@ class _Verifier:
             _partial(first, self._parts(first, [*range(1, len(CUTS) + 2)]))
             .groupBy(*pair).agg(F.sum("part").alias("parts"))
         )
-        return written(more.where(F.col("overlap") + F.col("parts") >= F.col("needed"))
-                       .select("a", "b"), "links")
+        linked = more.where(F.col("overlap") + F.col("parts") >= F.col("needed"))
+        for side in ("a", "b"):
+            named = self.heads.select(F.col("set_id").alias(side), F.col("head").alias(f"h_{side}"))
+            linked = linked.join(named, side)
+        return written(linked.where("h_a <> h_b").select(F.least("h_a", "h_b").alias("a"),
+                                                          F.greatest("h_a", "h_b").alias("b")),
+                       "links")
 
 
 def _ordered(one: tuple[str, str], other: tuple[str, str]) -> list[Column]:
-    """a, b, n_a and n_b of two (document, size) columns, the smaller document first."""
+    """a, b, n_a and n_b of two (set, size) columns, the smaller set first."""
     (x, n_x), (y, n_y) = one, other
     first = F.col(x) < F.col(y)
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b"),
@@ -253,18 +272,18 @@ def ngram_components(documents: DataFrame, width: int = 5, num: int = 80, den: i
     )
     met = written(
         postings.join(leaders, "gram").join(heads.select("set_id", "head", "n"), "set_id")
-        .select("gram", "head", "n", "place", (F.col("turn") == F.col("first")).alias("leads")),
+        .select("gram", "set_id", "head", "n", "place", (F.col("turn") == F.col("first")).alias("leads")),
         "met-postings")
-    lead = met.where("leads").select("gram", F.col("head").alias("lead"), F.col("n").alias("n_lead"))
+    lead = met.where("leads").select("gram", F.col("set_id").alias("lead"), F.col("n").alias("n_lead"))
     led = (
-        met.join(lead, "gram").where("head <> lead")
-        .select(*_ordered(("head", "n"), ("lead", "n_lead")))
+        met.join(lead, "gram").where("set_id <> lead")
+        .select(*_ordered(("set_id", "n"), ("lead", "n_lead")))
         .where(_comparable(num, den)).distinct()
     )
     pairs = written(
         led.join(_sketches(heads, "a", "x"), "a").join(_sketches(heads, "b", "y"), "b")
         .where(_may_link(num, den)).select("a", "b", "n_a", "n_b"), "leader-pairs")
-    verify = _Verifier(documents, often, width, num, den, text, key)
+    verify = _Verifier(documents, heads, often, width, num, den, text, key)
     links = verify.links(pairs)
     joined = written(connected_components(links), "components")
     rest = written(_pairs_apart(met, heads, joined, num, den).join(pairs, ["a", "b"], "left_anti"),
@@ -292,7 +311,7 @@ def _pairs_apart(met: DataFrame, heads: DataFrame, joined: DataFrame, num: int,
     from there to its end; a pair that fails this elsewhere also meets earlier.
     """
     placed = (
-        met.select("gram", "n", "place", "head")
+        met.select("gram", "set_id", "n", "place", "head")
         .join(joined.withColumnRenamed("id", "head"), "head", "left")
         .withColumn("component", F.coalesce("component", "head"))
     )
@@ -300,12 +319,12 @@ def _pairs_apart(met: DataFrame, heads: DataFrame, joined: DataFrame, num: int,
                                         F.max("component").alias("high"))
              .where("low <> high").select("gram"))
     left = written(
-        placed.join(split, "gram", "left_semi").join(heads.select("head", *SKETCH), "head"),
+        placed.join(split, "gram", "left_semi").join(heads.select("set_id", *SKETCH), "set_id"),
         "postings-apart")
 
     def side(name: str, mark: str) -> DataFrame:
         return left.select(
-            "gram", F.col("head").alias(name), F.col("n").alias(f"n_{name}"),
+            "gram", F.col("set_id").alias(name), F.col("n").alias(f"n_{name}"),
             F.col("place").alias(f"place_{name}"), F.col("component").alias(f"c_{name}"),
             *(F.col(w).alias(f"{mark}_{w}") for w in SKETCH))
 

@@ -105,6 +105,18 @@ def test_ngram_join_of_edited_copies_chains_and_shared_passages(spark):
         check_ngrams(frame, width, num, 100)
 
 
+def test_repeated_long_rows_just_below_the_threshold_do_not_link(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(4000)]
+    rng.shuffle(words)
+    below = [(4, " ".join(words[:2000])), (9, " ".join(words[240:2240]))]  # 1760 / 2240
+    above = [(5, " ".join(words[:2000]).upper()), (3, " ".join(words[100:2100]))]
+    frame = spark.createDataFrame(below * 3, "doc_id bigint, text string").repartition(4)
+    check_ngrams(frame, 1, 80, 100)
+    assert {r.component_id for r in ngram_join.ngram_components(frame, 1, 80, 100).collect()} == {4, 9}
+    check_ngrams(spark.createDataFrame(above * 3, "doc_id bigint, text string").repartition(4), 1, 80, 100)
+
+
 # Embeddings
 
 
