@@ -82,8 +82,96 @@ FROM reach r LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) c ON c.a
 GROUP BY r.a
 """
 
+# The crc32 runs over the bytes of a run with the table of its polynomial. Two words are one
+# edit apart when dropping a letter of one, or the letter at one place of both, makes them meet.
+OP11 = r"""
+WITH RECURSIVE runs AS MATERIALIZED (
+    SELECT doc_id, run, len(run) AS size, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[A-Za-z\x{C0}-\x{FF}]{7,}')) AS run
+        FROM documents)
+    GROUP BY ALL
+), crc_steps(b, c, step) AS (
+    SELECT b, b, 0 FROM (SELECT unnest(range(0, 256)) AS b)
+    UNION ALL
+    SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1
+    FROM crc_steps WHERE step < 8
+), crc_table AS MATERIALIZED (
+    SELECT list(c ORDER BY b) AS crc FROM crc_steps WHERE step = 8
+), hashed AS (
+    SELECT run, size, n, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+        string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+        lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]
+                       ELSE [195::BIGINT, (unicode(x) - 64)::BIGINT] END))),
+        lambda c, x: xor(c >> 8, crc[xor(c, x) % 256 + 1])), 4294967295::BIGINT) AS h
+    FROM runs, crc_table
+), results AS (
+    SELECT CASE WHEN h % 31 = 0
+                THEN substr(run, 1, (h % size)::BIGINT) || substr(run, (h % size + 2)::BIGINT)
+                ELSE run END AS word, n
+    FROM hashed
+), words AS MATERIALIZED (
+    SELECT word, sum(n)::BIGINT AS n FROM results WHERE len(word) >= 7
+    GROUP BY word HAVING sum(n) >= 2
+), dropped AS MATERIALIZED (
+    SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, len(word) + 1)) AS i FROM words)
+), near AS MATERIALIZED (
+    SELECT DISTINCT x.word, x.n, y.word AS other, y.n AS other_n
+    FROM dropped x JOIN dropped y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+    UNION
+    SELECT x.word, x.n, y.word, y.n FROM dropped x JOIN words y ON x.rest = y.word
+    UNION
+    SELECT y.word, y.n, x.word, x.n FROM dropped x JOIN words y ON x.rest = y.word
+), best AS (
+    SELECT word, count(*) AS n_near,
+           min(ROW(-other_n, other)) AS least
+    FROM near GROUP BY word
+), forms AS MATERIALIZED (
+    SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+           CASE WHEN -least[1] >= 10 * w.n THEN least[2] END AS form,
+           CASE WHEN -least[1] >= 10 * w.n THEN -least[1] END AS form_n
+    FROM words w LEFT JOIN best b ON b.word = w.word
+), steps(word, here, depth) AS (
+    SELECT word, word, 0 FROM forms
+    UNION ALL
+    SELECT s.word, f.form, depth + 1 FROM steps s JOIN forms f ON f.word = s.here
+    WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n::BIGINT AS form_n, s.root
+FROM forms f JOIN (SELECT word, arg_max(here, depth) AS root FROM steps GROUP BY word) s
+  ON s.word = f.word
+"""
+
+OP13 = """
+WITH vectors AS MATERIALIZED (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE) for x in embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND NOT list_contains([coalesce(isfinite(x), false) for x in embedding], false)
+), scores AS MATERIALIZED (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+           list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, positive_id
+                           ORDER BY s.score DESC, s.other_id))::INTEGER AS rank,
+       s.other_id AS negative_id, positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op8_pigeonhole_dedup": OP8,
     "op10_ngram_join": OP10,
     "op9_extendible_shards": OP9,
+    "op11_spelling_variants": OP11,
+    "op13_hard_negatives": OP13,
 }

@@ -12,11 +12,14 @@ from hitloom.llm import (
     bpe,
     embedding_dedup,
     fingerprint,
+    hard_negatives,
+    main_text,
     ngram_join,
     packing,
     pii,
     quality,
     sharding,
+    spelling,
     token_files,
     toxicity,
 )
@@ -98,6 +101,22 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "documents"), width=4, num=85, den=100)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(read_table(spark, sf_dir, "documents"), drop_one_in=31)
+
+
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_texts(read_table(spark, sf_dir, "pages"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = read_table(spark, sf_dir, "embeddings")
+    # Some labels are moved on by one, as if they had been given wrongly.
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10)
+    labelled = embeddings.withColumn("label", moved.otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(labelled, F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_bottom_k_fingerprint": op2_bottom_k_fingerprint,
@@ -109,5 +128,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pigeonhole_dedup": op8_pigeonhole_dedup,
     "op9_extendible_shards": op9_extendible_shards,
     "op10_ngram_join": op10_ngram_join,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_main_text": op12_main_text,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
