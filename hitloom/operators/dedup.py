@@ -34,14 +34,14 @@ def dedup_requests(requests: DataFrame) -> DataFrame:
 def not_yet_stored(requests: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows of deduplicated requests whose key stored silver does not hold.
 
-    Equal keys lie on the same day, so only the days at hand are read from silver,
-    and only its key columns. The set of days is a subquery of one value; it is no
+    Equal keys lie on the same day, so only the days at hand, and rows without a time, are
+    read from silver, and only its key columns. The set of days is a subquery of one value; it is no
     larger than the calendar.
     """
     days = requests.select(F.collect_set(day_number())).scalar()
     # The bounds drop most partitions before the days are searched one by one.
     at_hand = (day_number().between(F.array_min(days), F.array_max(days))
-               & F.array_contains(days, day_number()))
+               & F.array_contains(days, day_number())) | F.col("year").isNull()
     same_days = stored.filter(at_hand).select(
         *(F.col(c).alias(f"stored_{c}") for c in REQUEST_KEY)
     )

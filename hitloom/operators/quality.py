@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from hitloom.schemas import conform
+from hitloom.sources.commits import data_folders, loads_since, numbers
 from hitloom.sources.lookup import path_missing
 
 # Which checks are declared for which columns.
@@ -143,12 +144,20 @@ def gate(results: list[Row], severity: str = "error") -> list[Row]:
 
 
 def silver_files(spark: SparkSession, root: str) -> DataFrame:
-    """One row per data file: path and size, from the listing; no file is opened."""
+    """One row per data file: path and size, from the listing; no file is opened.
+
+    Where loads were committed, files of these only.
+    """
+    folders = [root]
+    if numbers(spark, root):
+        folders = data_folders(spark, root, loads_since(spark, root))
+        if not folders:
+            return spark.createDataFrame([], "file_path STRING, file_bytes BIGINT")
     try:
         files = (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-            .load(root)
+            .load(folders)
         )
     except AnalysisException as error:
         if not path_missing(error):

@@ -1,4 +1,4 @@
-"""Landed logs to silver, in one scan and one write."""
+"""Landed logs to silver: one scan of the new files, one write, one commit."""
 
 from __future__ import annotations
 
@@ -8,13 +8,14 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.operators.dedup import dedup_requests
+from hitloom.operators.dedup import dedup_requests, not_yet_stored
 from hitloom.operators.enrich import enrich_hostnames
-from hitloom.operators.increment import newer_than, stored_high_water_mark
+from hitloom.operators.increment import newer_than
 from hitloom.operators.parse import describe_requests, parse_requests
 from hitloom.operators.sinks import write_silver
+from hitloom.sources import commits
 from hitloom.sources.lookup import read_lookup
-from hitloom.sources.raw_logs import read_access_logs
+from hitloom.sources.raw_logs import landed_files, read_access_logs
 from hitloom.sources.silver import read_silver
 
 # Counted stages of a load, in order.
@@ -45,28 +46,58 @@ def _rows(observation: Observation) -> int | None:
         return None
 
 
-def new_requests(spark: SparkSession, landing: str, mark: datetime | None,
-                 seen: dict[str, Observation]) -> DataFrame:
-    """Silver rows of the landed requests newer than the mark, counted on the way."""
-    raw = _counted(read_access_logs(spark, landing), seen["raw_lines"])
-    parsed = _counted(parse_requests(raw), seen["with_address"])
-    newer = _counted(newer_than(parsed, mark), seen["newer"])
-    return _counted(refine(newer, read_lookup(spark, landing)), seen["written"])
+def unread_files(spark: SparkSession, landing: str, silver: str,
+                 before: commits.Commit | None) -> DataFrame:
+    """Landed files that no load has read as they are now: new ones and changed ones."""
+    known = commits.known_files(spark, silver, before)
+    return landed_files(spark, landing).join(known, known.columns, "left_anti")
 
 
-def load_increment(spark: SparkSession, landing: str, silver: str) -> dict[str, int]:
-    """Append the landed rows newer than silver; returns rows per stage and silver's total.
+def new_requests(spark: SparkSession, landing: str, mark: datetime | None,
+                 seen: dict[str, Observation], files: list[str] | None = None,
+                 keep_late: bool = False, stored: DataFrame | None = None) -> DataFrame:
+    """Silver rows of the landed requests newer than the mark, counted on the way.
 
-    The counts ride on the write itself, and only a load that finds nothing new
-    scans again for them. They are for monitoring: a task that is run again after
-    an executor is lost may count twice, while the rows written stay right.
+    With ``keep_late`` rows of any time are new, but for those whose key ``stored`` holds.
+    """
+    raw = _counted(read_access_logs(spark, landing, files), seen["raw_lines"])
+    parsed = _counted(parse_requests(raw), seen["with_address"])
+    newer = _counted(newer_than(parsed, None if keep_late else mark), seen["newer"])
+    refined = refine(newer, read_lookup(spark, landing))
+    if keep_late and stored is not None:
+        refined = not_yet_stored(refined, stored)
+    return _counted(refined, seen["written"])
+
+
+def load_increment(spark: SparkSession, landing: str, silver: str,
+                   keep_late: bool = False) -> dict[str, int]:
+    """Load the new and changed files of the landing folder; returns rows per stage and
+    silver's total.
+
+    Files that a load has read are not opened again unless they changed. Of the files at
+    hand rows newer than silver's latest time are loaded; with ``keep_late`` older ones too,
+    but for those whose key silver holds. The rows become visible in one commit, and a load
+    that dies before it is simply run again (``hitloom.sources.commits``).
+
+    The counts of the stages ride on the write itself. They are for monitoring: a task that
+    is run again after an executor is lost may count twice. Silver's total comes from the
+    rows as stored.
     """
-    seen = {stage: Observation(stage) for stage in STAGES}
-    mark = stored_high_water_mark(spark, silver, read_silver(spark, silver))
-    write_silver(new_requests(spark, landing, mark, seen), silver)
-    rows = {stage: _rows(observation) for stage, observation in seen.items()}
-    if None in rows.values():
-        lines = read_access_logs(spark, landing).agg(F.count("*"), F.count("_c0")).first()
-        rows = dict(zip(STAGES, (*lines, 0, 0)))
-    stored = read_silver(spark, silver)
-    return {**rows, "silver_total": 0 if stored is None else stored.count()}
+    before = commits.settle(spark, silver)
+    files = unread_files(spark, landing, silver, before).collect()  # as many as Spark lists
+    rows = dict.fromkeys(STAGES, 0)
+    total = before.total_rows if before else 0
+    if files:
+        seen = {stage: Observation(stage) for stage in STAGES}
+        folder, paths = commits.new_folder(), [file["path"] for file in files]
+        mark = before.mark if before else None
+        stored = read_silver(spark, silver) if keep_late else None
+        write_silver(new_requests(spark, landing, mark, seen, paths, keep_late, stored),
+                     commits.staged(silver, folder))
+        rows = {stage: _rows(observation) for stage, observation in seen.items()}
+        if None in rows.values():
+            lines = read_access_logs(spark, landing, paths).agg(F.count("*"), F.count("_c0"))
+            rows = dict(zip(STAGES, (*lines.first(), 0, 0)))
+        noted = spark.createDataFrame(files, commits.LEDGER)
+        total = commits.commit_load(spark, silver, before, folder, noted).total_rows
+    return {**rows, "silver_total": total}

@@ -1,7 +1,10 @@
-"""Folders as the cluster's file systems see them; only names and sizes, no content."""
+"""Folders as the cluster's file systems see them: names, sizes and small notes."""
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -31,3 +34,49 @@ def folder_bytes(spark: SparkSession, folder: str) -> int:
 def remove(spark: SparkSession, folder: str) -> None:
     path, system = _path(spark, folder)
     system.delete(path, True)
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    path, system = _path(spark, folder)
+    return system.exists(path)
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder; False if it is gone or the new name is taken."""
+    path, system = _path(spark, source)
+    return not exists(spark, target) and system.rename(path, _path(spark, target)[0])
+
+
+def read_text(spark: SparkSession, file: str) -> str:
+    path, system = _path(spark, file)
+    stream = system.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text_once(spark: SparkSession, file: str, text: str) -> None:
+    """A small file under a name that nobody took before; readers never see a part of it.
+
+    Raises FileExistsError when the name is taken.
+    """
+    if exists(spark, file):
+        raise FileExistsError(file)
+    folder, _, name = file.rpartition("/")
+    draft, system = _path(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    stream = system.create(draft)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        system.getUri(), spark._jsc.hadoopConfiguration())
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    try:
+        context.rename(draft, _path(spark, file)[0], spark.sparkContext._gateway.new_array(rename, 0))
+    except Py4JJavaError as error:
+        system.delete(draft, False)
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            raise FileExistsError(file) from error
+        raise

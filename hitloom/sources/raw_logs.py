@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitloom.schemas import RAW
+from hitloom.sources.folders import matching
 
 # Where logs land, and how a line is delimited.
 LOG_GLOB = "*/*/logs/access.log"
@@ -18,9 +19,21 @@ def log_paths(landing: str) -> str:
     return f"{landing.rstrip('/')}/{LOG_GLOB}"
 
 
-def read_access_logs(spark: SparkSession, landing: str) -> DataFrame:
-    """All landed logs; short lines are padded with nulls, blank lines skipped."""
-    return spark.read.schema(RAW).options(**LINE_OPTIONS).csv(log_paths(landing))
+def landed_files(spark: SparkSession, landing: str) -> DataFrame:
+    """(path, length, modified) of every landed log, from listings; none is opened."""
+    if not matching(spark, log_paths(landing)):
+        return spark.createDataFrame([], "path STRING, length BIGINT, modified BIGINT")
+    listed = spark.read.format("binaryFile").load(log_paths(landing))
+    return listed.select(
+        "path", "length", F.unix_micros("modificationTime").alias("modified"))
+
+
+def read_access_logs(spark: SparkSession, landing: str,
+                     files: list[str] | None = None) -> DataFrame:
+    """All landed logs, or some of their files; short lines are padded with nulls, blank
+    lines skipped."""
+    paths = log_paths(landing) if files is None else files
+    return spark.read.schema(RAW).options(**LINE_OPTIONS).csv(paths)
 
 
 def stream_access_logs(spark: SparkSession, landing: str,

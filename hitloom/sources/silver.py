@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitloom.schemas import SILVER
+from hitloom.sources.commits import loads_since, numbers, read_loads
 from hitloom.sources.lookup import path_missing
 
 
@@ -14,10 +15,12 @@ def read_silver(spark: SparkSession, root: str,
                 except_batch: int | None = None) -> DataFrame | None:
     """Silver with its partition columns, or None where nothing was ever written.
 
-    The schema is given, so no file is opened to infer it. Batches written by the
+    Where loads were committed, the rows of just these are read. The schema is given, so no file is opened to infer it. Batches written by the
     stream lie below ``batch_id=`` folders; one may be left out, and selecting by
     name hides that column.
     """
+    if numbers(spark, root):
+        return read_loads(spark, root, loads_since(spark, root))
     try:
         stored = spark.read.schema(SILVER).parquet(root)
     except AnalysisException as error:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import os
 from datetime import datetime
 
 import pytest
@@ -17,7 +18,9 @@ from hitloom.operators.increment import (
     stored_high_water_mark,
 )
 from hitloom.operators.sinks import write_silver
+from hitloom.plans import ingest
 from hitloom.plans.ingest import STAGES, load_increment, new_requests
+from hitloom.sources import commits
 from hitloom.sources.silver import read_silver, silver_view
 
 DAY1 = [line(clock=f"22/Jan/2019:10:00:{i:02d}", request=f"GET /{i} HTTP/1.1") for i in range(5)]
@@ -104,10 +107,10 @@ def test_loads_append_only_newer_rows(spark, places):
     # The same files again add nothing.
     assert load_increment(spark, str(landing), silver)["written"] == 0
     assert read_silver(spark, silver).count() == 6
-    # A second upload adds its newer rows; the late one and the untimed one stay out.
+    # A second upload is read alone; its newer rows are added, the late and untimed stay out.
     land(landing, [*DAY2, LATE, UNTIMED], month=2)
     assert load_increment(spark, str(landing), silver) == {
-        "raw_lines": 14, "with_address": 14, "newer": 5, "written": 5, "silver_total": 11}
+        "raw_lines": 7, "with_address": 7, "newer": 5, "written": 5, "silver_total": 11}
     stored = read_silver(spark, silver)
     assert stored.count() == 11
     assert "/late" not in {r["url"] for r in stored.collect()}
@@ -145,3 +148,146 @@ def test_a_load_scans_the_log_once_and_shuffles_it_once(spark, places):
     log, lookup = text.split("BroadcastExchange")
     assert log.count("Exchange hashpartitioning") == 1
     assert "BroadcastHashJoin" in log and "_c1" not in log
+
+
+class Died(RuntimeError):
+    """Stands for a driver that is lost."""
+
+
+def dying(*_, **__):
+    raise Died
+
+
+@pytest.mark.parametrize("at", ["_days_of", "write_text_once", "move"])
+@pytest.mark.parametrize("keep_late", [False, True])
+def test_a_load_that_dies_is_run_again(spark, places, tmp_path, monkeypatch, at, keep_late):
+    """Killed after the write, before the commit, or before the renaming: no row is lost
+    and none stands twice, for readers of commits and for plain ones."""
+    landing, silver = places
+    land(landing, DAY1)
+    load_increment(spark, str(landing), silver)
+    land(landing, [*DAY2, DAY1[0]], month=2)
+    with monkeypatch.context() as patch:
+        patch.setattr(commits, at, dying)
+        with pytest.raises(Died):
+            load_increment(spark, str(landing), silver, keep_late)
+    committed = at == "move"
+    assert read_silver(spark, silver).count() == (10 if committed else 5)
+    assert load_increment(spark, str(landing), silver, keep_late)["silver_total"] == 10
+    assert rows(read_silver(spark, silver), "url") == sorted([(f"/{i}",) for i in range(5)] * 2)
+    assert spark.read.parquet(silver).count() == 10  # a reader that knows no commits
+    left = commits.remove_abandoned(spark, silver)
+    assert len(left) == (0 if committed else 1)
+    assert read_silver(spark, silver).count() == 10
+
+
+def test_a_write_that_fails_half_way_leaves_nothing_to_readers(spark, places, monkeypatch):
+    """Some tasks have written their files when the job fails."""
+    landing, silver = places
+    land(landing, [*DAY1, *DAY2])
+
+    def half(requests, folder):
+        from hitloom.operators.sinks import write_silver
+        write_silver(requests.where("day = 22"), folder)
+        raise Died
+
+    with monkeypatch.context() as patch:
+        patch.setattr("hitloom.plans.ingest.write_silver", half)
+        with pytest.raises(Died):
+            load_increment(spark, str(landing), silver)
+    assert read_silver(spark, silver).count() == 0
+    assert load_increment(spark, str(landing), silver)["silver_total"] == 10
+    assert read_silver(spark, silver).count() == 10
+
+
+def test_known_files_are_not_opened_again(spark, places):
+    """Old logs and old silver files are made unreadable, and later loads still work."""
+    landing, silver = places
+    land(landing, DAY1)
+    load_increment(spark, str(landing), silver)
+    old = landing / "year=2024" / "month=01" / "logs" / "access.log"
+    stat, text = old.stat(), old.read_bytes()
+    old.write_bytes(b"\xff" * len(text))
+    os.utime(old, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    for folder in glob.glob(f"{silver}/load=*/*/*/*"):
+        spoil(folder)
+    land(landing, DAY2, month=2)
+    assert load_increment(spark, str(landing), silver) == {
+        "raw_lines": 5, "with_address": 5, "newer": 5, "written": 5, "silver_total": 10}
+    assert load_increment(spark, str(landing), silver) == {
+        "raw_lines": 0, "with_address": 0, "newer": 0, "written": 0, "silver_total": 10}
+    state = commits.newest(spark, silver)
+    assert state.mark == datetime(2019, 1, 23, 6, 30, 4) and state.number == 2
+    assert [(d.day, d.rows) for load in commits.loads_since(spark, silver) for d in load.days] == [
+        (22, 5), (23, 5)]
+
+
+def test_a_grown_file_is_read_again_for_its_new_rows(spark, places):
+    landing, silver = places
+    land(landing, DAY1)
+    load_increment(spark, str(landing), silver)
+    land(landing, [LATE, *DAY1, *DAY2])
+    assert load_increment(spark, str(landing), silver)["written"] == 5
+
+
+def test_late_rows_are_kept_on_demand_but_never_twice(spark, places):
+    landing, silver = places
+    land(landing, [*DAY1, UNTIMED])
+    load_increment(spark, str(landing), silver)
+    land(landing, [*DAY2, LATE, DAY1[0], LATE, UNTIMED], month=2)
+    assert load_increment(spark, str(landing), silver, keep_late=True)["written"] == 6
+    stored = read_silver(spark, silver)
+    assert stored.count() == 12 and stored.where("url = '/late'").count() == 1
+    assert stored.where("remote_addr = '9.9.9.9'").count() == 1
+
+
+def test_many_loads_fold_into_one_commit(spark, places, monkeypatch):
+    landing, silver = places
+    monkeypatch.setattr(commits, "FOLD", 3)
+    for i in range(7):
+        land(landing, [line(clock=f"{10 + i}/Jan/2019:10:00:00")], month=i + 1)
+        assert load_increment(spark, str(landing), silver)["silver_total"] == i + 1
+    opened = []
+    read = commits.read_text
+    monkeypatch.setattr(commits, "read_text", lambda s, f: opened.append(f) or read(s, f))
+    assert [load.number for load in commits.loads_since(spark, silver)] == [1, 2, 3, 4, 5, 6, 7]
+    assert len(opened) == 2  # the last, and the fold before it
+    assert [load.number for load in commits.loads_since(spark, silver, 4)] == [5, 6, 7]
+    assert len(commits.newest(spark, silver).ledgers) == 2
+    assert read_silver(spark, silver).count() == 7
+    assert load_increment(spark, str(landing), silver)["raw_lines"] == 0
+
+
+def test_of_two_loads_at_once_one_commits(spark, places, monkeypatch):
+    landing, silver = places
+    land(landing, DAY1)
+    write = ingest.write_silver
+
+    def overtaken(requests, folder):
+        write(requests, folder)
+        monkeypatch.setattr(ingest, "write_silver", write)
+        load_increment(spark, str(landing), silver)
+
+    monkeypatch.setattr(ingest, "write_silver", overtaken)
+    with pytest.raises(commits.ConcurrentLoad):
+        load_increment(spark, str(landing), silver)
+    assert read_silver(spark, silver).count() == 5
+
+
+def test_a_load_leaves_files_of_others_alone(spark, places):
+    landing, silver = places
+    land(landing, DAY1)
+    write_silver(described(spark, request()), silver)
+    with pytest.raises(ValueError, match="no commit"):
+        load_increment(spark, str(landing), silver)
+
+
+def test_a_load_without_rows_or_files(spark, places):
+    landing, silver = places
+    none = {"raw_lines": 0, "with_address": 0, "newer": 0, "written": 0, "silver_total": 0}
+    assert load_increment(spark, str(landing), silver) == none
+    land(landing, ["- - - [x +0330]"][:0])
+    assert load_increment(spark, str(landing), silver) == none
+    assert read_silver(spark, silver) is None
+    land(landing, DAY1, month=3)
+    assert load_increment(spark, str(landing), silver)["silver_total"] == 5
