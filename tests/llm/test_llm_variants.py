@@ -1,0 +1,313 @@
+"""Spelling variants, main text and hard negatives against brute force."""
+
+from __future__ import annotations
+
+import html
+import random
+import re
+import time
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_fixtures import SF, no_documents, odd_documents  # noqa: F401
+from pyspark.sql import functions as F
+
+from hitloom.llm import hard_negatives, main_text, spelling
+from hitloom.llm.registry import QUERIES
+
+# Spelling variants
+
+
+def one_edit(a: str, b: str) -> bool:
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) - len(short) == 1 and any(
+        long[:i] + long[i + 1:] == short for i in range(len(long)))
+
+
+def brute_groups(counts: dict[str, int], times: int = 10) -> set[tuple]:
+    near = {w: [v for v in counts if one_edit(w, v)] for w in counts}
+    form = {}
+    for w, others in near.items():
+        if others:
+            best = min(others, key=lambda v: (-counts[v], v))
+            if counts[best] >= times * counts[w]:
+                form[w] = best
+    out = set()
+    for w, n in counts.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.add((w, n, len(near[w]), form.get(w), counts.get(form.get(w)), root))
+    return out
+
+
+def brute_counts(rows, min_chars, min_count, drop_one_in):
+    found = Counter()
+    for key, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if h % drop_one_in == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            if len(run) >= min_chars:
+                found[run] += 1
+    return {w: n for w, n in found.items() if n >= min_count}
+
+
+words = st.text(alphabet="abé", min_size=6, max_size=11)
+
+
+@settings(max_examples=300, deadline=None)
+@given(words, st.integers(0, 11), st.sampled_from("abé"), st.integers(0, 2),
+       st.sets(st.text(alphabet="abé", min_size=2, max_size=3), max_size=12))
+def test_words_one_edit_apart_share_a_key(word, place, letter, kind, frequent):
+    """Whatever the dictionary holds."""
+    place %= len(word)
+    other = (word[:place] + letter + word[place + 1:], word[:place] + letter + word[place:],
+             word[:place] + word[place + 1:])[kind]
+    if not one_edit(word, other) or len(other) < 6:
+        return
+    one, two = spelling.edit_keys(word, frequent), spelling.edit_keys(other, frequent)
+    meets = {(0, 0), (1, 2), (2, 1)}
+    assert any(k == j and (r, s) in meets for k, r in one for j, s in two)
+
+
+@settings(max_examples=200, deadline=None)
+@given(words, st.sets(st.text(alphabet="abé", min_size=2, max_size=3), max_size=12))
+def test_every_edit_leaves_a_gram_alone(word, frequent):
+    grams, looked = spelling.decompose(word, frequent)
+    for place in range(len(word) + 1):
+        assert len(spelling.affected(looked, place)) <= spelling.LONGEST
+        assert len(spelling.affected(looked, place)) < len(grams)
+
+
+def test_groups_equal_brute_force(spark):
+    rng = random.Random(3)
+    counts = {"".join(rng.choice("abc") for _ in range(rng.randint(6, 9))): rng.choice(
+        [2, 3, 20, 30, 300, 3000, 30000]) for _ in range(500)}
+    counts |= {"éaéaéa": 2, "éaéaéaé": 20, "xéaéaéaé": 200, "xéaéaéaéx": 200}
+    frame = spark.createDataFrame(list(counts.items()), "word string, n bigint").repartition(3)
+    got = {tuple(r) for r in spelling.group_variants(frame).collect()}
+    assert got == brute_groups(counts)
+    assert any(row[5] != row[0] and row[5] != row[3] for row in got)  # a chain of forms
+
+
+def test_words_of_odd_documents(spark, odd_documents, no_documents):
+    rows = [(r.doc_id, r.text) for r in odd_documents.collect()]
+    rows += [(None, "Abcdefg ABCDEFG ÀBCDEFG abcdefg×÷ abcdefg×÷"), (7, None), (8, "abcdefh " * 50)]
+    # A text of 2 MB, and one id with a third of all rows.
+    rows += [(9, "".join(f"wörter{chr(97 + i % 26)}{'' if i % 3 else 'x'} " for i in range(200_000)))]
+    rows += [(5, "sameword sameward")] * (len(rows) // 2)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "*", "text AS word", "1 AS n", "'x' AS form").repartition(3)
+    got = {tuple(r) for r in spelling.variant_groups(frame, drop_one_in=3).collect()}
+    assert got == brute_groups(brute_counts(rows, 7, 2, 3))
+    assert spelling.variant_groups(no_documents).count() == 0
+    with pytest.raises(ValueError):
+        spelling.variant_groups(frame, min_chars=5)
+
+
+def test_query_equals_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet")
+            .select("doc_id", "text").collect()]
+    counts = brute_counts(rows, 7, 2, 31)
+    got = {tuple(r) for r in QUERIES["op11_spelling_variants"](spark, SF).collect()}
+    assert {r[:2] for r in got} == set(counts.items())
+    drops = {}
+    for w in counts:
+        for i in range(len(w)):
+            drops.setdefault(w[:i] + w[i + 1:], set()).add(w)
+    for word, _, n_near, *_ in got:
+        around = set().union(*(drops.get(word[:i] + word[i + 1:], ()) for i in range(len(word))),
+                             drops.get(word, ()), {word[:i] + word[i + 1:] for i in range(len(word))})
+        assert n_near == sum(one_edit(word, v) for v in around if v in counts)
+
+
+# Main text
+
+ARTICLE = ("<article><h1>Title &amp; more</h1><p>A first paragraph that has some  length\n"
+           "to it, <b>bold</b> and <a href=x>linked</a>.<p>Short.</p><ul><li>one<li>two</ul>"
+           "<p>caf&eacute;&nbsp;&#x263A; &lt;p&gt;</p></article>")
+TEXT = ("Title & more\nA first paragraph that has some length to it, bold and linked.\nShort.\n"
+        "one\ntwo\ncafé ☺ <p>")
+
+
+@pytest.mark.parametrize("page", [
+    ARTICLE,
+    f"<html><head><title>T</title><style>p{{}}</style><script>if (a<b) '</p>'</script></head>"
+    f"<body><nav><ul><li><a href=/>Home</a></ul></nav>{ARTICLE}<footer>&copy; us</footer>",
+    f"<header><h1>Site</h1></header><aside>Side text that goes on for quite a while here</aside>"
+    f"<main>{ARTICLE}<div class='ad'>Buy this long advert text now and here</div></main>",
+    f"<div class=cookie-notice><p>We use cookies for a long list of purposes, see here.</div>"
+    f"{ARTICLE}<section id=comments><article class=comment><p>I think that this is a very long "
+    f"comment by a reader of this page</article></section>",
+    f"<form id=aspnet><div>Search <input name=q></div>{ARTICLE}<select><option>a<option>b</form>",
+    f"<!-- {ARTICLE} --><div hidden>{ARTICLE}</div>{ARTICLE}<div style='display: none'>no</div>",
+    f"<div role=navigation>menu menu menu menu menu</div>{ARTICLE}<![if x]><svg><text>no</svg>",
+    ARTICLE.replace("<article>", "<article><header>").replace(
+        "</h1>", "</h1><p>by a writer</p></header>").replace("</article>", "<footer>f</footer>"),
+    ARTICLE.replace("article>", "div>").replace("<div>", "<div id=menu><a>a</a> <a>b</a></div>"
+                                                "<div id=content>")
+    + "<div class=sidebar>Some other text that is long enough to look like content</div>",
+    f"<body class='has-sidebar'><div class='no-ads with-comments'>{ARTICLE}</div>",
+    f"<article class=teaser><a>x</a></article>{ARTICLE}<article><a>y</a> <a>z</a></article>",
+])
+def test_article_of_a_page(page):
+    assert main_text.extract(page) == TEXT
+
+
+def test_page_without_any_marks():
+    page = ("<p><a>Home</a> <a>News</a> <a>Contact</a><p><a>in</a> <a>out</a><h2>Head</h2>"
+            "<p>A paragraph with enough words in it to be the content of this page.<p>Short.<p>"
+            "Another paragraph with enough words in it to be the content.<p><a>a</a><a>b</a>")
+    assert main_text.extract(page).split("\n")[:3] == [
+        "Head", "A paragraph with enough words in it to be the content of this page.", "Short."]
+    assert "Home" not in main_text.extract(page)
+
+
+@pytest.mark.parametrize("page", [
+    "<!--" * 50_000, "<div>" * 50_000 + "x", "<ul>" * 9_000 + "<p>x</p>" * 9_000, "</p " * 50_000,
+    "<a b='" * 40_000, "<" * 200_000, "&#" * 100_000, "<script>" + "</" * 100_000,
+    "<p>" + "word " * 300_000, "<td>x" * 50_000, "<![x" * 50_000, "<? " * 50_000,
+])
+def test_work_grows_with_the_page(page):
+    began = time.time()
+    main_text.extract(page)
+    assert time.time() - began < 10
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="<>/!-pdiv article&;#\"' =x", max_size=80))
+def test_any_markup_is_read(page):
+    text = main_text.extract(page)
+    assert text == text.strip() and "\n\n" not in text
+
+
+def test_pages_with_odd_rows(spark):
+    rows = [(1, "u", None), (2, None, ""), (None, "v", ARTICLE), (4, "w", ARTICLE), (4, "w", ARTICLE),
+            (5, "x", "<nav>only a menu</nav>"), (6, "y", ARTICLE * 2000)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr(
+        "*", "'clash' AS text", "0 AS n_chars").repartition(2)
+    got = sorted((tuple(r) for r in main_text.main_texts(frame).collect()), key=repr)
+    long = "\n".join([TEXT] * 2000)
+    assert got == sorted([
+        (1, "u", "", 0), (2, None, "", 0), (None, "v", TEXT, len(TEXT)), (5, "x", "", 0),
+        (4, "w", TEXT, len(TEXT)), (4, "w", TEXT, len(TEXT)), (6, "y", long, len(long))], key=repr)
+    assert main_text.main_texts(frame.limit(0)).count() == 0
+
+
+def test_main_text_of_the_table(spark):
+    """The pages of the table hold one article of headings and paragraphs each."""
+    got = {r.page_id: r for r in QUERIES["op12_main_text"](spark, SF).collect()}
+    pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    assert len(got) == len(pages)
+    for page in pages:
+        article = re.search(r"<article>(.*)</article>", page.html, re.S).group(1)
+        blocks = re.split(r"</?(?:p|h1)>", article.replace("<br>", " "))
+        plain = [" ".join(html.unescape(re.sub(r"<[^>]+>", "", b)).split()) for b in blocks]
+        text = "\n".join(b for b in plain if b)
+        assert (got[page.page_id].text, got[page.page_id].n_chars) == (text, len(text))
+
+
+# Hard negatives
+
+
+def brute_negatives(rows, anchor, positives=5, negatives=3, low=50, high=95):
+    whole = {(i, lab, tuple(int(np.floor(256 * x)) for x in v)) for i, lab, v in rows
+             if i is not None and lab is not None and v is not None
+             and all(x is not None and np.isfinite(x) for x in v)}
+    out = []
+    for one in whole:
+        if not anchor(one[0]):
+            continue
+        scored = [(sum(x * y for x, y in zip(one[2], o[2])), o[0], o[1]) for o in whole
+                  if o != one and len(o[2]) == len(one[2])]
+        same = sorted((-s, i) for s, i, lab in scored if lab == one[1])[:positives]
+        for p, pid in same:
+            fits = sorted((-s, i) for s, i, lab in scored
+                          if lab != one[1] and low * -p <= 100 * s <= high * -p)[:negatives]
+            out += [(one[0], pid, n + 1, i, -p, -s) for n, (s, i) in enumerate(fits)]
+    return sorted(out)
+
+
+def mined(frame):
+    found = hard_negatives.hard_negatives(frame, F.col("vec_id") % 5 == 0)
+    return sorted(tuple(r) for r in found.collect())
+
+
+@pytest.mark.parametrize("tile,block,sample,per", [(8192, 16384, 16384, 32), (7, 9, 20, 2), (3, 50, 1, 1)])
+def test_negatives_equal_brute_force(spark, monkeypatch, tile, block, sample, per):
+    """Over odd rows, ties, a hot vector, several tiles and blocks, and a small sample."""
+    for name, value in (("TILE", tile), ("BLOCK", block), ("SAMPLE", sample), ("PER_CENTRE", per)):
+        monkeypatch.setattr(hard_negatives, name, value)
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((6, 8))
+    rows = []
+    for i in range(240):
+        v = centres[rng.integers(6)] + 0.3 * rng.standard_normal(8)
+        rows.append((i, int(rng.integers(3)), (v / np.linalg.norm(v)).astype(np.float32).tolist()))
+    rows += [(300 + i, i % 2, rows[0][2]) for i in range(120)]  # a third holds one vector
+    rows += [rows[5], (10, 2, rows[11][2]), (None, 1, rows[0][2]), (505, None, rows[0][2]),
+             (510, 1, None), (515, 1, [float("nan")] * 8), (520, 1, [None] + [1.0] * 7),
+             (525, 1, [float("inf")] * 8), (530, 0, [0.0] * 8), (531, 0, [-0.0] * 8),
+             (535, 1, []), (536, 1, []), (540, 1, [1.0, 0.5]), (541, 1, [1.0, 0.25]),
+             (542, 0, [0.75, 0.25]), (543, 0, [0.5, 0.5]),
+             (545, 1, [3e4] * 8), (546, 1, [2e4] * 8), (547, 0, [1.5e4] * 8)]
+    frame = spark.createDataFrame(
+        rows, "vec_id bigint, label int, embedding array<float>").selectExpr(
+        "*", "1 AS rank", "2 AS row", "'x' AS dims").repartition(3)
+    assert mined(frame) == brute_negatives(rows, lambda i: i % 5 == 0)
+    assert mined(frame.limit(0)) == []
+    assert mined(frame.where("vec_id % 5 <> 0")) == []
+
+
+def test_members_stop_where_the_bound_says_so():
+    """A list walked to its end and one walked until certified hold the same."""
+    rng = np.random.default_rng(1)
+    vectors = np.floor(256 * rng.standard_normal((2000, 6)))
+    def side(rows, start):
+        return hard_negatives.Side(pa.table({
+            "vec_id": np.arange(start, start + len(rows)), "label": np.zeros(len(rows), np.int64),
+            "row": np.arange(start, start + len(rows)), "dims": np.full(len(rows), 6),
+            "vec": pa.array(list(rows))}))
+
+    items = side(vectors, 0)
+    members = side(vectors[:40] * 0.5 // 1 + 1, 5000)
+    walked = []
+    score = hard_negatives.products
+
+    def counted(one, other, longest):
+        walked.append(len(one) * len(other))
+        return score(one, other, longest)
+
+    hard_negatives.products = counted
+    try:
+        held = hard_negatives.Held(3, np.full(40, -hard_negatives._TOP))
+        centres = hard_negatives.fit_centres(np.repeat(members.vec, 4, axis=0))
+        nearest = (members.direction @ centres.T).argmax(axis=1)
+        hard_negatives.meet(members, nearest, items, centres, held,
+                            np.full((40, 1), hard_negatives._TOP), True)
+    finally:
+        hard_negatives.products = score
+    assert sum(walked) < 40 * 2000
+    exact = members.vec @ items.vec.T
+    for m in range(40):
+        best = sorted((-s, i) for i, s in enumerate(exact[m].tolist()))[:3]
+        got = held.owner == m
+        assert sorted(zip((-held.score[got]).tolist(), held.key[got].tolist())) == best
+
+
+def test_huge_components_are_exact():
+    big = np.array([[2.0**40, 3.0], [-(2.0**40), 1.0]])
+    got = hard_negatives.products(big, big, 2.0**82)
+    assert got.tolist() == [[hard_negatives._TOP, -hard_negatives._TOP],
+                            [-hard_negatives._TOP, hard_negatives._TOP]]
+    wide = np.array([[2.0**30, 1.0]])
+    assert hard_negatives.products(wide, wide, 2.0**61).tolist() == [[2**60 + 1]]
