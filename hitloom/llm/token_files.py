@@ -35,8 +35,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.llm.tables import bounded_slices, partitions_for, texts_of, written
-from hitloom.llm.word_cache import library_cache, lower_case_chunks
+from hitloom.llm.tables import bounded_slices, in_arrow, partitions_for, texts_of, written
+from hitloom.llm.word_cache import library_cache, lower_case_chunks, vocabulary_size
 from hitloom.session import fresh_folder
 
 VOCABULARY = "word_bpe_49k.json"
@@ -67,6 +67,9 @@ class TokenFileWriter:
         self.lengths: list[int] = []
 
     def add(self, key: int | None, ids: np.ndarray) -> None:
+        """Raises OverflowError for an id that the file's width cannot hold."""
+        if len(ids) and (ids.max() > np.iinfo(self.kind).max or ids.min() < 0):
+            raise OverflowError(f"ids up to {ids.max()} do not fit {self.kind.itemsize} bytes")
         self.keys.append(key)
         self.frames.append(len(self.seek))
         self.lengths.append(len(ids))
@@ -167,14 +170,16 @@ def _encoder(path: str):
 
 def write_token_files(documents: DataFrame, folder: str, text: str = "text",
                       key: str = "doc_id", path: str | None = None, end_id: int = END_ID,
-                      wide: bool = False) -> DataFrame:
+                      wide: bool | None = None) -> DataFrame:
     """Encodes every whole text, appends ``end_id`` and writes the ids in order of ``key``.
 
     Returns the manifest, one row per file in order. The texts are shuffled once, by
     ranges of the key. ``folder`` must be one that pyarrow can open on every executor;
-    ``wide`` stores 32 bits an id, for vocabularies of over 65,536.
+    ``wide`` stores 32 bits an id, else 16; by default as the vocabulary and ``end_id`` need.
     """
     path = path or public_tokenizers.path(VOCABULARY)
+    if wide is None:
+        wide = max(vocabulary_size(path) - 1, end_id) > np.iinfo(np.uint16).max
     ordered = (
         documents.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
         .repartitionByRange("key")
@@ -204,7 +209,7 @@ def write_token_files(documents: DataFrame, folder: str, text: str = "text",
                                                 strict=True)],
                 names=["part", "file", "n_docs", "n_tokens", "n_bytes"])
 
-    return written(ordered.mapInArrow(write, MANIFEST), "token-manifest")
+    return written(in_arrow(ordered, write, MANIFEST), "token-manifest")
 
 
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
@@ -237,8 +242,8 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                         ], names=["doc_id", "start", "n_tokens", "ids"])
 
     files = partitions_for(manifest.count(), 1)
-    return based.repartition(files, "part").mapInArrow(
-        read, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return in_arrow(
+        based.repartition(files, "part"), read, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def token_file_folder(documents: DataFrame) -> str:

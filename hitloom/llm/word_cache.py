@@ -44,42 +44,58 @@ def lower_case_chunks(text: str) -> list[str] | None:
 class ChunkCache:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
-    ``capacity`` bounds each of the two generations of cached chunks and with them
-    the memory of a worker; it has no effect on the ids.
+    ``capacity`` bounds each of the two generations of cached chunks, and chunks of over
+    ``longest`` characters are never kept, so both bound the bytes that a worker holds;
+    they have no effect on the ids.
     """
 
     def __init__(self, chunks: Callable[[str], list[str] | None], encode: EncodeMany,
-                 encode_whole: EncodeMany, capacity: int = 400_000):
+                 encode_whole: EncodeMany, capacity: int = 300_000, longest: int = 64):
         self.chunks, self.encode, self.encode_whole = chunks, encode, encode_whole
-        self.capacity = capacity
+        self.capacity, self.longest = capacity, longest
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
-    def _fill(self, words: set[str]) -> None:
+    def _fill(self, words: set[str]) -> dict[str, bytes]:
+        """Puts all words into the young generation but the long ones, which it returns."""
         if len(self.young) > self.capacity:
             self.old, self.young = self.young, {"": b""}
+        if max(map(len, words), default=0) > self.longest:
+            long = [w for w in words if len(w) > self.longest]
+            self._fill(words.difference(long))
+            return dict(zip(long, self.encode_whole(long), strict=True))
         missing = words.difference(self.young)
         self.young.update((w, self.old[w]) for w in missing if w in self.old)
         fresh = [w for w in missing if w not in self.old]
         if not fresh:
-            return
+            return {}
         # A full stop or comma after a letter is a pre-token by itself.
         ended = {w for w in fresh if w[-1] in ".," and w[-2:-1].isascii() and w[-2:-1].isalpha()}
         bases = {w[:-1] for w in ended} | ({".", ","} if ended else set())
         plain = list(bases.difference(self.young).union(w for w in fresh if w not in ended))
         self.young.update(zip(plain, self.encode(plain), strict=True))
         self.young.update((w, self.young[w[:-1]] + self.young[w[-1]]) for w in ended)
+        return {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [self.chunks(text) for text in texts]
-        self._fill({word for words in cut if words for word in words})
+        long = self._fill({word for words in cut if words for word in words})
         found = self.young.__getitem__
+        if long:
+            found = lambda word: long[word] if word in long else self.young[word]
         whole = [i for i, words in enumerate(cut) if words is None]
         encoded = dict(zip(whole, self.encode_whole([texts[i] for i in whole]), strict=True))
         return [encoded[i] if words is None else b"".join(map(found, words))
                 for i, words in enumerate(cut)]
 
 
+def vocabulary_size(path: str) -> int:
+    """One more than the largest id of the tokenizers vocabulary file at ``path``."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), default=0) + 1
+
+
 def _bytes(ids: list[int]) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
