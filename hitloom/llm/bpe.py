@@ -22,7 +22,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from hitloom.llm.tables import bounded_slices, mix64, texts_of
+from hitloom.llm.tables import bounded_slices, in_arrow, mix64, texts_of
 from hitloom.llm.word_cache import ChunkCache, byte_level_chunks
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -181,7 +181,7 @@ def encode_documents(documents: DataFrame, text: str = "text", key: str = "doc_i
                      pa.ListArray.from_arrays(offsets.astype(np.int32), ids)],
                     names=[key, "ids"])
 
-    return kept.mapInArrow(encode, f"`{key}` {dict(kept.dtypes)[key]}, ids array<int>")
+    return in_arrow(kept, encode, f"`{key}` {dict(kept.dtypes)[key]}, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, key: str = "doc_id", ids: str = "ids",
@@ -201,5 +201,5 @@ def decode_documents(encoded: DataFrame, key: str = "doc_id", ids: str = "ids",
                 [batch.column(0), batch.column(1), pa.array(decoded, pa.binary())],
                 names=[key, ids, "decoded"])
 
-    return kept.mapInArrow(
-        decode, f"`{key}` {dict(kept.dtypes)[key]}, `{ids}` array<int>, decoded binary")
+    return in_arrow(
+        kept, decode, f"`{key}` {dict(kept.dtypes)[key]}, `{ids}` array<int>, decoded binary")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.llm.components import connected_components
-from hitloom.llm.tables import written
+from hitloom.llm.tables import in_arrow, ship_package, written
 
 BLOCK = 8
 GRID = 1
@@ -89,8 +89,8 @@ def cells(vectors: DataFrame, threshold: float, block: int, grid: int) -> DataFr
                         ], names=["label", "dims", "block", "cell", "home", "head", "weight",
                                   "vec"])
 
-    return vectors.mapInArrow(
-        run, "label int, dims int, block int, cell string, home boolean, head bigint, "
+    return in_arrow(
+        vectors, run, "label int, dims int, block int, cell string, home boolean, head bigint, "
              "weight bigint, vec array<float>")
 
 
@@ -145,6 +145,7 @@ def _linked(one: np.ndarray, other: np.ndarray, number: int, parts: list[slice],
 
 def join_cells(spread: DataFrame, threshold: float, block: int, chunk: int) -> DataFrame:
     """(head, links, root) for every vector and chunk pair in which it has links."""
+    ship_package(spread.sparkSession)
     keys = ["label", "dims", "block", "cell"]
     sizes = spread.groupBy(*keys).agg(F.count("*").alias("n"))
     chunks = F.ceil(F.col("n") / chunk).cast("int")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.llm.tables import mix64, partitions_for, texts_of
+from hitloom.llm.tables import in_arrow, mix64, partitions_for, texts_of
 
 K = 128
 WIDTH = 8
@@ -129,8 +129,8 @@ def fingerprint_documents(documents: DataFrame, text: str = "text", key: str = "
                  pa.array([to_text(sketch(t, k, width)) for t in texts], pa.string())],
                 names=[key, "n_chars", "fingerprint"])
 
-    return kept.mapInArrow(
-        run, f"`{key}` {dict(kept.dtypes)[key]}, n_chars bigint, fingerprint string")
+    return in_arrow(
+        kept, run, f"`{key}` {dict(kept.dtypes)[key]}, n_chars bigint, fingerprint string")
 
 
 def merge_fingerprints(fingerprints: DataFrame, group: str, k: int = K,
@@ -156,10 +156,10 @@ def merge_fingerprints(fingerprints: DataFrame, group: str, k: int = K,
     schema = "group string, fingerprint string"
     merged = fingerprints.select(F.col(group).cast("string").alias("group"), "fingerprint")
     for places in rounds:
-        merged = merged.mapInArrow(fold, schema)
+        merged = in_arrow(merged, fold, schema)
         salt = F.pmod(F.xxhash64("fingerprint"), F.lit(places))
         merged = merged.repartition("group", salt)
-    return merged.mapInArrow(fold, schema).withColumnRenamed("group", group)
+    return in_arrow(merged, fold, schema).withColumnRenamed("group", group)
 
 
 def compare_with_next(documents: DataFrame, text: str = "text", key: str = "doc_id",
@@ -196,7 +196,7 @@ def compare_with_next(documents: DataFrame, text: str = "text", key: str = "doc_
                 names=["part", "doc_id", "text", "ahead"]).to_batches()
 
     ordered = (
-        kept.mapInArrow(route, "part int, doc_id bigint, text string, ahead boolean")
+        in_arrow(kept, route, "part int, doc_id bigint, text string, ahead boolean")
         .repartitionById(parts, F.col("part"))
         .sortWithinPartitions("part", "ahead", F.desc_nulls_last("doc_id"), "text")
     )
@@ -221,7 +221,7 @@ def compare_with_next(documents: DataFrame, text: str = "text", key: str = "doc_
             rows.append(_compared(*waiting[1:], waiting[2], waiting[3], k, width))
         yield _batch(rows)
 
-    return ordered.mapInArrow(compare, ", ".join(f"{n} {t}" for n, t, _ in _COMPARED))
+    return in_arrow(ordered, compare, ", ".join(f"{n} {t}" for n, t, _ in _COMPARED))
 
 
 _COMPARED = (

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.llm.tables import ship_package, written
+from hitloom.llm.tables import in_arrow, ship_package, written
 
 #: Rows that the centres and the thresholds are taken from, about so many at most.
 SAMPLE = 16_384
@@ -222,7 +222,7 @@ def placed(rows: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
                             .append_column("length", pa.array(side.length)).to_batches())
 
     kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
-    return rows.mapInArrow(run, f"{kinds}, centre int, away double, length double")
+    return in_arrow(rows, run, f"{kinds}, centre int, away double, length double")
 
 
 def _high(positives: np.ndarray, percent: int) -> np.ndarray:
@@ -255,7 +255,7 @@ def with_windows(anchors: DataFrame, slots: int, low: int, high: int) -> DataFra
                 [*batch.columns, *lists], names=[*batch.schema.names, "least", "high"])
 
     kinds = ", ".join(f"{name} {kind}" for name, kind in anchors.dtypes)
-    return anchors.mapInArrow(run, f"{kinds}, least array<bigint>, high array<bigint>")
+    return in_arrow(anchors, run, f"{kinds}, least array<bigint>, high array<bigint>")
 
 
 def _goals(table: pa.Table, slots: int) -> tuple[np.ndarray, np.ndarray]:
@@ -281,7 +281,7 @@ def with_thresholds(anchors: DataFrame, sample: dict[int, pa.Table], k: int, slo
                 yield from table.set_column(
                     table.schema.get_field_index("least"), "least", raised).to_batches()
 
-    return anchors.mapInArrow(run, anchors.schema)
+    return in_arrow(anchors, run, anchors.schema)
 
 
 def _tiled(anchors: DataFrame) -> DataFrame:

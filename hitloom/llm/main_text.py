@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.llm.tables import bounded_slices, ship_package, texts_of
+from hitloom.llm.tables import bounded_slices, in_arrow, texts_of
 
 #: Width of the smoothing, in lines, and the share of the content a region must hold.
 SIGMA, SHARE = 1.0, 0.6
@@ -350,7 +350,6 @@ def _densest(page: _Lines, keep: np.ndarray, weight: np.ndarray) -> list[int]:
 def main_texts(pages: DataFrame, html: str = "html", key: str = "page_id",
                url: str = "url") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    ship_package(pages.sparkSession)
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"),
                         F.col(html).cast("string").alias("html"))
 
@@ -365,5 +364,5 @@ def main_texts(pages: DataFrame, html: str = "html", key: str = "page_id",
                     names=["page_id", "url", "text", "n_chars"])
 
     kinds = dict(rows.dtypes)
-    return rows.mapInArrow(
-        run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars bigint")
+    return in_arrow(
+        rows, run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars bigint")

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from hitloom.llm.components import connected_components
 from hitloom.llm.shingles import shingle_sets
-from hitloom.llm.tables import Membership, bounded_slices, texts_of, written
+from hitloom.llm.tables import Membership, bounded_slices, in_arrow, texts_of, written
 
 #: An n-gram of so many documents, counted where a batch holds it more than twice, is often.
 OFTEN = 16
@@ -94,8 +94,9 @@ def document_sets(documents: DataFrame, width: int, text: str, key: str) -> Data
                   for i in range(WORDS)),
             ], names=["doc_id", "set_id", "n", "gram", "df", *SKETCH]).combine_chunks().to_batches()
 
-    return _keyed(documents, text, key).mapInArrow(
-        run, "doc_id bigint, set_id bigint, n int, gram bigint, df int, "
+    return in_arrow(
+        _keyed(documents, text, key), run,
+        "doc_id bigint, set_id bigint, n int, gram bigint, df int, "
         + ", ".join(f"{name} bigint" for name in SKETCH))
 
 
@@ -109,8 +110,9 @@ def prefix_postings(documents: DataFrame, often: Membership, width: int, num: in
     shared = documents.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # of one task's rows
         for batch in batches:
-            grams, ids, seen = [], [], set()
+            grams, ids = [], []
             for s in _sets_of(texts_of(batch.column(1)), width):
                 own = xxhash.xxh3_64_intdigest(s.tobytes())
                 if not len(s) or own in seen:
@@ -127,23 +129,25 @@ def prefix_postings(documents: DataFrame, often: Membership, width: int, num: in
                 pa.array(np.concatenate([*map(np.arange, each), np.empty(0)]).astype(np.int32)),
             ], names=["gram", "set_id", "place"])
 
-    return _keyed(documents, text, key).where(F.col("doc_id").isNotNull()).mapInArrow(
-        run, "gram bigint, set_id bigint, place int")
+    return in_arrow(
+        _keyed(documents, text, key).where(F.col("doc_id").isNotNull()), run,
+        "gram bigint, set_id bigint, place int")
 
 
 def fragments(documents: DataFrame, wanted: Membership, sets: Membership, often: Membership,
               numbers: list[int], width: int, text: str, key: str) -> DataFrame:
     """(set_id, fragment, grams) of the documents that ``wanted`` may hold, with sets that
-    ``sets`` may hold. A set comes once a batch."""
+    ``sets`` may hold. A set comes once a task."""
     shared = documents.sparkSession.sparkContext.broadcast((wanted, sets, often))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, sets, often = shared.value
         cuts = np.array([int(cut * 2**64) for cut in CUTS], np.uint64)
+        seen: set[int] = set()  # of one task's rows
         for batch in batches:
             keep = np.flatnonzero(wanted.holds(batch.column(0).to_numpy().view(np.uint64)))
             some = batch.take(pa.array(keep))
-            parts, ids, seen = [], [], set()
+            parts, ids = [], []
             for s in _sets_of(texts_of(some.column(1)), width):
                 own = xxhash.xxh3_64_intdigest(s.tobytes())
                 if own in seen or not sets.holds(np.array([own], np.uint64))[0]:
@@ -162,8 +166,9 @@ def fragments(documents: DataFrame, wanted: Membership, sets: Membership, often:
                  pa.ListArray.from_arrays(pa.array(offsets), _signed(flat))],
                 names=["set_id", "fragment", "grams"])
 
-    return _keyed(documents, text, key).where(F.col("doc_id").isNotNull()).mapInArrow(
-        run, "set_id bigint, fragment int, grams array<bigint>")
+    return in_arrow(
+        _keyed(documents, text, key).where(F.col("doc_id").isNotNull()), run,
+        "set_id bigint, fragment int, grams array<bigint>")
 
 
 def _comparable(num: int, den: int) -> Column:

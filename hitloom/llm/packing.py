@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.llm.tables import bounded_slices, partitions_for, texts_of, written
+from hitloom.llm.tables import bounded_slices, in_arrow, partitions_for, texts_of, written
 from hitloom.llm.word_cache import byte_level_chunks, library_cache
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -70,8 +70,8 @@ def document_pieces(documents: DataFrame, text: str = "text", key: str = "doc_id
                     [pa.array(v, t) for v, t in zip(rows, kinds, strict=True)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return (documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-            .mapInArrow(cut, PIECES))
+    kept = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    return in_arrow(kept, cut, PIECES)
 
 
 def exact_patterns(most: int) -> np.ndarray:
@@ -249,7 +249,7 @@ def pack_pieces(pieces: DataFrame, most: int = SEQUENCE,
                 names=[*names, "sequence_id", "offset"])
 
     fields = ", ".join(f"`{name}` {kind}" for name, kind in pieces.dtypes)
-    return ranked.mapInArrow(assign, f"{fields}, sequence_id bigint, offset bigint")
+    return in_arrow(ranked, assign, f"{fields}, sequence_id bigint, offset bigint")
 
 
 def pack_documents(documents: DataFrame, most: int = SEQUENCE, **options: object) -> DataFrame:

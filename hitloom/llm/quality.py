@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitloom.llm.labelled import bounded_labels
-from hitloom.llm.tables import bounded_slices, texts_of
+from hitloom.llm.tables import bounded_slices, in_arrow, row_texts, rows_with_text, texts_of
 
 FOLDS, REMAINDER = 5, 0
 MOST_LABELLED = 20_000
@@ -183,7 +183,7 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, remainder:
                 [pa.array(list(statistics(texts_of(batch.column(0)))), pa.list_(pa.float64())),
                  batch.column(1)], names=["statistics", "label"])
 
-    table = sample.mapInArrow(measure, "statistics array<double>, label int").toArrow()
+    table = in_arrow(sample, measure, "statistics array<double>, label int").toArrow()
     rows = table["statistics"].combine_chunks().flatten().to_numpy().reshape(-1, N_STATISTICS)
     return train_model(rows, table["label"].to_numpy().astype(np.int64))
 
@@ -191,17 +191,17 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, remainder:
 def score_rows(documents: DataFrame, model: QualityModel, text: str = "text",
                keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``row``, a struct of the columns to keep, and ``score`` of every whole text."""
-    kept = documents.select(F.struct(*keep).alias("row"), F.col(text).alias("text"))
+    kept = rows_with_text(documents, text, keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column(1))
+            texts = row_texts(batch, text)
             scores = [model.score(statistics(texts[some])) for some in bounded_slices(texts)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.concatenate([*scores, np.empty(0)]))],
                 names=["row", "score"])
 
-    return kept.mapInArrow(run, T.StructType([kept.schema["row"],
+    return in_arrow(kept, run, T.StructType([kept.schema["row"],
                                               T.StructField("score", T.DoubleType())]))
 
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.llm.tables import bounded_slices, ship_package, texts_of, written
+from hitloom.llm.tables import bounded_slices, in_arrow, texts_of, written
 
 #: Letters of the shortest and longest grams; a gram is frequent above words / PARTS.
 SHORTEST, LONGEST, PARTS = 2, 4, 2000
@@ -50,7 +50,6 @@ def word_counts(documents: DataFrame, min_chars: int, min_count: int,
     With ``drop_one_in`` a run loses one code point where that number divides the crc32 of
     ``<doc_id>:<run>``, which plants misspellings; lengths and counts are those after it.
     """
-    ship_package(documents.sparkSession)
 
     def count(ids: list, texts: list[str]) -> Counter:
         found: Counter = Counter()
@@ -78,9 +77,9 @@ def word_counts(documents: DataFrame, min_chars: int, min_count: int,
                     [pa.array(found, pa.string()), pa.array(found.values(), pa.int64())],
                     names=["word", "n"])
 
+    texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     return (
-        documents.select("doc_id", F.col("text").cast("string").alias("text"))
-        .mapInArrow(run, "word string, n bigint")
+        in_arrow(texts, run, "word string, n bigint")
         .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
     )
 
@@ -144,7 +143,6 @@ def edit_keys(word: str, frequent: set[str]) -> list[tuple[int, int]]:
 
 def gram_index(words: DataFrame, frequent: set[str]) -> DataFrame:
     """(key, role, word, n): every word under the keys of its edits."""
-    ship_package(words.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,7 +156,7 @@ def gram_index(words: DataFrame, frequent: set[str]) -> DataFrame:
                      pa.array(columns[2], pa.string()), pa.array(columns[3], pa.int64())],
                     names=["key", "role", "word", "n"])
 
-    return words.mapInArrow(run, "key bigint, role tinyint, word string, n bigint")
+    return in_arrow(words, run, "key bigint, role tinyint, word string, n bigint")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hitloom.session import fresh_folder
 
+ArrowFunction = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+#: Batches that a worker takes at a time; one row may be larger.
+BATCH_BYTES = 8 << 20
 
 _shipped_to: set[str] = set()
 
@@ -37,6 +43,42 @@ def ship_package(spark: SparkSession) -> None:
     _shipped_to.add(context.applicationId)
 
 
+def _halved(batch: pa.RecordBatch, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of about so many bytes, one row each at least."""
+    if batch.nbytes <= most_bytes or batch.num_rows < 2:
+        yield batch
+        return
+    middle = batch.num_rows // 2
+    yield from _halved(batch.slice(0, middle), most_bytes)
+    yield from _halved(batch.slice(middle), most_bytes)
+
+
+def _give_memory_back() -> None:
+    """Workers serve later stages too; what this one has freed should not stay theirs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
+def in_arrow(frame: DataFrame, run: ArrowFunction, schema: str | StructType,
+             most_bytes: int = BATCH_BYTES) -> DataFrame:
+    """``mapInArrow`` over batches of bounded size, by workers that have this package.
+
+    The package is sent first, since a worker gets what was sent before its function.
+    """
+    ship_package(frame.sparkSession)
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(part for batch in batches for part in _halved(batch, most_bytes))
+        finally:
+            _give_memory_back()
+
+    return frame.mapInArrow(bounded, schema)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -47,7 +89,6 @@ def written(frame: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage without blocks that die with an executor.
     """
-    ship_package(frame.sparkSession)
     folder = fresh_folder(frame.sparkSession, label)
     frame.write.parquet(folder)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
@@ -63,6 +104,20 @@ def texts_of(column: pa.Array) -> list[str]:
     return ["" if text is None else text for text in column.to_pylist()]
 
 
+def rows_with_text(documents: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
+    """``row``, a struct of the columns to keep, and the text where it is none of them, so
+    that no text goes to a worker twice."""
+    row = F.struct(*keep).alias("row")
+    return documents.select(row, *([] if text in keep else [F.col(text).alias("text")]))
+
+
+def row_texts(batch: pa.RecordBatch, text: str) -> list[str]:
+    """The texts of a batch of ``rows_with_text``; null counts as empty."""
+    if batch.num_columns > 1:
+        return texts_of(batch.column(1))
+    return texts_of(batch.column(0).field(text))
+
+
 def bounded_slices(texts: list[str], most_chars: int = 2_000_000) -> Iterable[slice]:
     """Slices of consecutive texts of about ``most_chars``, at least one text each."""
     start = size = 0

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitloom.llm.labelled import bounded_labels, held_out
-from hitloom.llm.tables import texts_of
+from hitloom.llm.tables import in_arrow, row_texts, rows_with_text, texts_of
 
 FOLDS, REMAINDER = 4, 2
 MOST_POSITIVE = 8_000
@@ -186,7 +186,7 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, remainder:
                 [pa.array(found, pa.string()), *batch.columns[1:]],
                 names=["words", "toxic", "drawn"])
 
-    table = sample.mapInArrow(words, "words string, toxic boolean, drawn boolean").toArrow()
+    table = in_arrow(sample, words, "words string, toxic boolean, drawn boolean").toArrow()
 
     def chosen(column: str) -> Iterator[list[str]]:
         for batch in table.select(["words", column]).to_batches():
@@ -200,16 +200,16 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, remainder:
 def score_rows(documents: DataFrame, model: ToxicityModel, text: str = "text",
                keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``row``, a struct of the columns to keep, and ``score`` of every whole text."""
-    kept = documents.select(F.struct(*keep).alias("row"), F.col(text).alias("text"))
+    kept = rows_with_text(documents, text, keep)
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = list(map(shared.value.score, texts_of(batch.column(1))))
+            scores = list(map(shared.value.score, row_texts(batch, text)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"])
 
-    return kept.mapInArrow(run, T.StructType([kept.schema["row"],
+    return in_arrow(kept, run, T.StructType([kept.schema["row"],
                                               T.StructField("score", T.DoubleType())]))
 
 
