@@ -223,3 +223,16 @@ def test_stages_take_odd_and_no_documents(spark, odd_documents, no_documents):
             assert result.count() >= 0
             if name != "packing":
                 assert result.columns == frame.columns
+
+
+def test_near_duplicates_of_one_id_with_different_texts(spark):
+    """No text is lost because of another text of the same id, and runs agree."""
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    a, b, c = (" ".join(f"{mark}{i}" for i in range(30)) for mark in "abc")
+    rows = [(3, a, "x"), (5, a, "y"), (5, b, "z"), (5, b, "y"), (5, c, "w"), (6, c, "v"),
+            (None, a, "n"), (None, a, "n"), (7, None, "k"), (7, None, "k"), (7, "", "k")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, _document string")
+    for _ in range(2):
+        got = sorted(map(tuple, stage(spark, frame.repartition(3), SF).collect()), key=repr)
+        assert got == sorted([(3, a, "x"), (5, b, "y"), (5, c, "w"), (None, a, "n"), (None, a, "n"),
+                              (7, None, "k"), (7, "", "k")], key=repr)

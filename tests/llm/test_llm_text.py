@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -15,7 +19,7 @@ from llm_fixtures import SF, TEXTS, documents, no_documents, odd_documents  # no
 from pyarrow import fs
 from tokenizers import Tokenizer
 
-from hitloom.llm import bpe, fingerprint, packing, token_files
+from hitloom.llm import bpe, fingerprint, packing, token_files, word_cache
 from hitloom.llm.registry import QUERIES
 
 
@@ -273,3 +277,58 @@ def test_plan_uses_every_length_up_and_wastes_little():
         sequences = sum(times for _, times in plan)
         assert sequences <= -(-int(lengths.sum()) // most) * (1.02 if n > 100 else 1.2)
     assert packing.pack_histogram(np.zeros(17, np.int64)) == []
+
+
+def test_ids_that_do_not_fit_are_refused():
+    """They were cut to 16 bits silently."""
+    writer = token_files.TokenFileWriter(io.BytesIO())
+    with pytest.raises(OverflowError):
+        writer.add(1, np.array([70_000, 5], np.uint32))
+    out = io.BytesIO()
+    wide = token_files.TokenFileWriter(out, wide=True)
+    wide.add(1, np.array([70_000, 5], np.uint32))
+    wide.finish()
+    (_, ids), = token_files.TokenFileReader(out).places(range(1))
+    assert ids.tolist() == [70_000, 5]
+    assert word_cache.vocabulary_size(public_tokenizers.path("word_bpe_49k.json")) < 65_536
+
+
+def test_long_chunks_are_encoded_but_not_kept():
+    """Texts without blanks are one chunk each; a worker would hold them all."""
+    encode = packing._encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [f"{i}" + "xyz" * 30_000 for i in range(20)] + ["a few words, then " + "q" * 500]
+    before = len(encode.young)
+    got = encode(texts)
+    assert max(map(len, encode.young)) <= encode.longest
+    assert len(encode.young) < before + 10
+    assert got == [encode.encode_whole([text])[0] for text in texts]
+
+
+OUTSIDE = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from hitloom.llm import bpe, hard_negatives, main_text, ngram_join, packing, spelling
+from pyspark.sql import functions as F
+spark = (SparkSession.builder.master("local-cluster[1,1,1024]").config("spark.ui.enabled", "false")
+         .config("spark.executor.memory", "1g").config("spark.sql.shuffle.partitions", "2")
+         .config("spark.checkpoint.dir", {shared!r}).getOrCreate())
+sys.path.remove({root!r})
+docs = spark.createDataFrame([(1, "some words here"), (2, "other words")], "doc_id long, text string")
+assert bpe.encode_documents(docs).count() == 2
+assert packing.pack_documents(docs).count() == 2
+assert spelling.variant_groups(docs).count() == 0
+assert ngram_join.ngram_components(docs).count() == 2
+print("all found the package")
+"""
+
+
+def test_workers_find_the_package_wherever_it_was_started(tmp_path):
+    """Executors that cannot see the repository, and no table read before."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    script = tmp_path / "outside.py"
+    script.write_text(OUTSIDE.format(root=root, shared=str(tmp_path / "shared")))
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, timeout=300,
+                          capture_output=True, text=True)
+    assert "all found the package" in done.stdout, done.stderr[-3000:]
