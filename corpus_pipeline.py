@@ -1,16 +1,16 @@
 """A training corpus from raw documents: quality, toxicity, near duplicates, PII, packing.
 
 Each stage takes all documents its predecessor kept, written as Parquet and read again.
-Nulls, empty texts, repeated rows and empty tables are handled as the operators state;
-a repeated ``doc_id`` counts as copies, of which one stays; further columns of the
-documents are kept up to the last stage.
+Nulls, empty texts, repeated rows and empty tables are handled as the operators state; of
+rows with the same ``doc_id`` and text one stays; further columns of the documents are kept
+up to the last stage.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitloom.llm import ngram_join, packing, pii, quality, toxicity
@@ -20,6 +20,13 @@ from hitloom.llm.tables import read_table, written
 WIDTH, SIMILARITY = 5, 80
 
 
+def _free_name(name: str, taken: list[str]) -> str:
+    """A column name that none of those taken equals."""
+    while name.lower() in {other.lower() for other in taken}:
+        name = f"_{name}"
+    return name
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: documents whose quality score reaches the threshold stay."""
     model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -37,18 +44,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: of every group of near duplicates the smallest ``doc_id`` stays.
 
-    Documents without ``doc_id`` are not compared and stay.
+    A document is an id with its text: rows of one id with different texts are compared
+    like any others, and of texts of the smallest id the one of the smaller hash stays. Of
+    rows with the same id and text the smallest by all columns stays. Documents without
+    ``doc_id`` are not compared and stay.
     """
+    names = docs.columns
+    key, place = _free_name("document", names), _free_name("place", names)
+    keyed = docs.withColumn(key, F.when(
+        F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
     groups = written(
-        ngram_join.ngram_components(docs, width=WIDTH, num=SIMILARITY, den=100)
-        .select("doc_id", "component_id"), "near-duplicates")
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+        ngram_join.ngram_components(keyed, width=WIDTH, num=SIMILARITY, den=100, key=key)
+        .select(F.col("doc_id").alias(key), "component_id").where(F.col(key).isNotNull())
+        .join(keyed.select(key, "doc_id").distinct(), key), "near-duplicates")
+    first = groups.groupBy("component_id").agg(F.min(F.struct("doc_id", key)).alias("first"))
+    gone = groups.select(key).distinct().join(first.select(f"first.{key}"), key, "left_anti")
+    kept = keyed.join(gone, key, "left_anti")
+    repeated = groups.groupBy(key).count().where("count > 1").select(key)
     if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+        return kept.select(*names)
+    ranked = Window.partitionBy(key).orderBy(F.to_json(F.struct(*names)))
+    once = (kept.join(repeated, key, "left_semi")
+            .withColumn(place, F.row_number().over(ranked)).where(F.col(place) == 1))
+    return kept.join(repeated, key, "left_anti").unionByName(once.drop(place)).select(*names)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
