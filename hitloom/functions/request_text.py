@@ -26,6 +26,12 @@ def utc_wall_clock(instant: Column) -> Column:
     return F.timestamp_add("SECOND", F.unix_seconds(instant), epoch)
 
 
+def instant(clock: Column) -> Column:
+    """The instant of a UTC clock reading; the inverse of ``utc_wall_clock``."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_seconds(F.timestamp_diff("SECOND", epoch, clock))
+
+
 def request_part(request: Column, position: int) -> Column:
     """Item ``position`` of the space-separated request line; null when absent."""
     return F.get(F.split(request, " "), F.lit(position))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitloom.functions import request_text
 from hitloom.functions.calendar import day_number
 
 # Time leads: logs arrive nearly in time order, which makes the sorts cheap.
@@ -31,17 +32,31 @@ def dedup_requests(requests: DataFrame) -> DataFrame:
     )
 
 
+def first_within(requests: DataFrame, delay: str) -> DataFrame:
+    """Of a stream's rows with equal keys the first to arrive, told by state.
+
+    A key is remembered until the watermark, ``delay`` behind the latest request seen, has
+    passed its time by ``delay``, so the state holds the keys of a stretch of time, however
+    much silver holds. Rows that are older than the watermark are left out, first ones too.
+    Rows without a time are compared within a batch only. Which of the rows that differ in
+    other columns comes first is not fixed.
+    """
+    timed = requests.withColumn("_instant", request_text.instant(F.col("timestamp")))
+    return timed.withWatermark("_instant", delay).dropDuplicatesWithinWatermark(
+        list(REQUEST_KEY)).drop("_instant")
+
+
 def not_yet_stored(requests: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows of deduplicated requests whose key stored silver does not hold.
 
-    Equal keys lie on the same day, so only the days at hand, and rows without a time, are
-    read from silver, and only its key columns. The set of days is a subquery of one value; it is no
+    Equal keys lie on the same day, so only the days at hand are read from silver,
+    and only its key columns. The set of days is a subquery of one value; it is no
     larger than the calendar.
     """
     days = requests.select(F.collect_set(day_number())).scalar()
     # The bounds drop most partitions before the days are searched one by one.
     at_hand = (day_number().between(F.array_min(days), F.array_max(days))
-               & F.array_contains(days, day_number())) | F.col("year").isNull()
+               & F.array_contains(days, day_number()))
     same_days = stored.filter(at_hand).select(
         *(F.col(c).alias(f"stored_{c}") for c in REQUEST_KEY)
     )

@@ -259,6 +259,11 @@ WHERE method <> 'PUT' OR "timestamp" > (
   SELECT max("timestamp") FROM access_log WHERE "timestamp" <= {_CUT} AND method <> 'PUT')""",
     "incremental_stream": f"{_SILVER} SELECT * FROM silver",
     "incremental_stream_dedup": f"{_SILVER} SELECT * FROM silver",
+    "incremental_stream_within": f"""{_SILVER}
+SELECT remote_addr, "timestamp", method, url FROM silver
+WHERE (method <> 'PUT' AND "timestamp" <= {_CUT}) OR "timestamp" > (
+  SELECT max("timestamp") - INTERVAL 1 DAY FROM access_log
+  WHERE "timestamp" <= {_CUT} AND method <> 'PUT')""",
     "time_range": f"""{_SILVER} SELECT count(*) AS row_count,
   min("timestamp") AS min_timestamp, max("timestamp") AS max_timestamp FROM silver""",
     "stg_requests": f"{_STAR} SELECT * FROM stg",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitloom.operators import quality
-from hitloom.operators.dedup import dedup_requests
+from hitloom.operators.dedup import REQUEST_KEY, dedup_requests
 from hitloom.operators.enrich import enrich_hostnames
 from hitloom.operators.increment import (
     high_water_mark,
@@ -41,7 +41,7 @@ from hitloom.sources.derived_logs import (
 from hitloom.sources.lookup import read_lookup
 from hitloom.sources.raw_logs import fields_of_lines, read_access_logs
 from hitloom.sources.silver import read_silver, silver_view
-from hitloom.streaming.file_ingest import ingest_new_files
+from hitloom.streaming.file_ingest import ingest_new_files, ingest_within
 
 
 def _cut() -> Column:
@@ -184,6 +184,23 @@ def incremental_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, silver)
 
 
+def incremental_stream_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests by their keys after two runs of the stateful stream.
+
+    The second upload brings the first once more, with its PUT requests, which are new:
+    those within a day of the latest request seen are kept, older ones are too late.
+    """
+    log = access_log(spark, sf_dir)
+    first = (F.col("timestamp") <= _cut()) & (F.col("method") != "PUT")
+    silver = fresh_folder(spark, "silver")
+    checkpoint = fresh_folder(spark, "stream-state")
+    landing = _landing(spark, sf_dir, log_lines(log.filter(first)))
+    ingest_within(spark, landing, silver, checkpoint, "1 day")
+    land_lines(log_lines(log), landing, 2024, 2)
+    ingest_within(spark, landing, silver, checkpoint, "1 day")
+    return read_silver(spark, silver).select(*REQUEST_KEY)
+
+
 def time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.time_range(silver_requests(spark, sf_dir))
 
@@ -321,6 +338,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_append": incremental_append,
     "incremental_stream": incremental_stream,
     "incremental_stream_dedup": incremental_stream_dedup,
+    "incremental_stream_within": incremental_stream_within,
     "time_range": time_range,
     "stg_requests": staged,
     **{name: partial(star_table, name) for name in STAR},

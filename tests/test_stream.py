@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import glob
+import os
+
 import pytest
 
 from conftest import plan, rows
@@ -11,7 +14,7 @@ from hitloom.plans.ingest import load_increment, refine
 from hitloom.sources.lookup import read_lookup
 from hitloom.sources.raw_logs import read_access_logs
 from hitloom.sources.silver import read_silver
-from hitloom.streaming.file_ingest import ingest_new_files
+from hitloom.streaming.file_ingest import ingest_new_files, ingest_within
 
 NEW = [line(clock=f"23/Jan/2019:10:00:{i:02d}") for i in range(4)]
 LATE = [line(clock=f"22/Jan/2019:10:00:{i:02d}") for i in range(3)]
@@ -95,3 +98,28 @@ def test_only_the_days_at_hand_are_read(spark, places):
     assert left.count() == 0
     schema = [part.split(">")[0] for part in plan(left).split("ReadSchema: struct<")[1:]]
     assert any("user_agent" not in columns and "timestamp" in columns for columns in schema)
+
+
+def test_state_remembers_keys_within_the_delay(spark, places):
+    """Duplicates inside the delay are told by state, older rows are too late; the third
+    run takes the state up from the checkpoint, and silver is never read."""
+    landing, silver, state = places
+    at = "{}/Jan/2019:{}:00:00".format
+    land(landing, [line(clock=at(22, 10)), line(clock=at(22, 11)), line(clock=at(22, 11), agent="b"),
+                   line(clock=at(23, 10)), UNTIMED])
+    assert ingest_within(spark, str(landing), silver, state, "2 hours").batches == 1
+    assert read_silver(spark, silver).count() == 4
+    for folder in glob.glob(f"{silver}/*/*/*/*"):
+        spoil(folder)
+    land(landing, [line(clock=at(23, 10), agent="c"), line(clock=at(23, "09")), line(clock=at(22, 11)),
+                   line(clock=at(22, 12)), line(clock=at(23, 11))], month=2)
+    second = ingest_within(spark, str(landing), silver, state, "2 hours")
+    assert (second.batches, second.too_late) == (1, 2)
+    kept = spark.read.parquet(f"{silver}/batch_id=2")
+    assert sorted(r.timestamp.hour for r in kept.collect()) == [5, 7]  # 9 and 11 o'clock at +0330
+    land(landing, [line(clock=at(23, 11)), line(clock=at(23, 10)), line(clock=at(25, 10))], month=3)
+    third = ingest_within(spark, str(landing), silver, state, "2 hours")
+    assert third.batches == 1 and third.remembered == 1
+    names = sorted(os.listdir(silver))
+    assert sum(spark.read.parquet(f"{silver}/{n}").count() for n in names[-1:]
+               if glob.glob(f"{silver}/{n}/*=*")) <= 1
