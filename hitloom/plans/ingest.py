@@ -12,7 +12,9 @@ from hitloom.operators.dedup import dedup_requests, not_yet_stored
 from hitloom.operators.enrich import enrich_hostnames
 from hitloom.operators.increment import newer_than
 from hitloom.operators.parse import describe_requests, parse_requests
+from hitloom.operators.quarantine import REASONS, bad_lines, reason_counts
 from hitloom.operators.sinks import write_silver
+from hitloom.schemas import TABLES, conform
 from hitloom.sources import commits
 from hitloom.sources.lookup import read_lookup
 from hitloom.sources.raw_logs import landed_files, read_access_logs
@@ -36,9 +38,14 @@ def _counted(df: DataFrame, observation: Observation) -> DataFrame:
 
 
 def _rows(observation: Observation) -> int | None:
-    """The count, or None when Spark dropped the counting step from an empty plan."""
+    metrics = _metrics(observation)
+    return None if metrics is None else metrics["rows"]
+
+
+def _metrics(observation: Observation) -> dict[str, int] | None:
+    """The counts, or None when Spark dropped the counting step from an empty plan."""
     try:
-        return observation.get["rows"]
+        return observation.get
     except Py4JJavaError as error:
         # What Spark raises for a metric that no plan reported.
         if error.java_exception.getClass().getName() != "java.lang.AssertionError":
@@ -55,12 +62,16 @@ def unread_files(spark: SparkSession, landing: str, silver: str,
 
 def new_requests(spark: SparkSession, landing: str, mark: datetime | None,
                  seen: dict[str, Observation], files: list[str] | None = None,
-                 keep_late: bool = False, stored: DataFrame | None = None) -> DataFrame:
+                 keep_late: bool = False, stored: DataFrame | None = None,
+                 bad: Observation | None = None) -> DataFrame:
     """Silver rows of the landed requests newer than the mark, counted on the way.
 
     With ``keep_late`` rows of any time are new, but for those whose key ``stored`` holds.
+    ``bad`` counts unreadable lines by reason on the same scan.
     """
-    raw = _counted(read_access_logs(spark, landing, files), seen["raw_lines"])
+    raw = _counted(read_access_logs(spark, landing, files, bad is not None), seen["raw_lines"])
+    if bad is not None:
+        raw = raw.observe(bad, *reason_counts())
     parsed = _counted(parse_requests(raw), seen["with_address"])
     newer = _counted(newer_than(parsed, None if keep_late else mark), seen["newer"])
     refined = refine(newer, read_lookup(spark, landing))
@@ -69,8 +80,20 @@ def new_requests(spark: SparkSession, landing: str, mark: datetime | None,
     return _counted(refined, seen["written"])
 
 
+def write_quarantine(spark: SparkSession, landing: str, files: list[str], counts: Observation,
+                     folder: str) -> dict[str, int]:
+    """Store the bad lines of these files, if any were counted; returns lines by reason."""
+    counted = _metrics(counts)
+    if counted is not None and not any(counted.values()):
+        return dict.fromkeys(REASONS, 0)
+    raw = read_access_logs(spark, landing, files, with_line=True)
+    conform(bad_lines(raw), "bad_lines").write.parquet(folder)
+    stored = spark.read.schema(TABLES["bad_lines"]).parquet(folder).groupBy("reason").count()
+    return {**dict.fromkeys(REASONS, 0), **{r["reason"]: r["count"] for r in stored.collect()}}
+
+
 def load_increment(spark: SparkSession, landing: str, silver: str,
-                   keep_late: bool = False) -> dict[str, int]:
+                   keep_late: bool = False, quarantine: bool = False) -> dict[str, int]:
     """Load the new and changed files of the landing folder; returns rows per stage and
     silver's total.
 
@@ -79,6 +102,11 @@ def load_increment(spark: SparkSession, landing: str, silver: str,
     but for those whose key silver holds. The rows become visible in one commit, and a load
     that dies before it is simply run again (``hitloom.sources.commits``).
 
+    With ``quarantine`` lines that could not be read in full are counted by reason, in
+    ``bad_...``, and kept as they came (``commits.read_quarantine``); what could be read of
+    them is loaded all the same. They are counted on the load's scan; only files with any
+    are read once more for them.
+
     The counts of the stages ride on the write itself. They are for monitoring: a task that
     is run again after an executor is lost may count twice. Silver's total comes from the
     rows as stored.
@@ -86,18 +114,23 @@ def load_increment(spark: SparkSession, landing: str, silver: str,
     before = commits.settle(spark, silver)
     files = unread_files(spark, landing, silver, before).collect()  # as many as Spark lists
     rows = dict.fromkeys(STAGES, 0)
+    found = dict.fromkeys(REASONS if quarantine else (), 0)
     total = before.total_rows if before else 0
     if files:
         seen = {stage: Observation(stage) for stage in STAGES}
         folder, paths = commits.new_folder(), [file["path"] for file in files]
         mark = before.mark if before else None
         stored = read_silver(spark, silver) if keep_late else None
-        write_silver(new_requests(spark, landing, mark, seen, paths, keep_late, stored),
+        bad = Observation("bad_lines") if quarantine else None
+        write_silver(new_requests(spark, landing, mark, seen, paths, keep_late, stored, bad),
                      commits.staged(silver, folder))
         rows = {stage: _rows(observation) for stage, observation in seen.items()}
         if None in rows.values():
             lines = read_access_logs(spark, landing, paths).agg(F.count("*"), F.count("_c0"))
             rows = dict(zip(STAGES, (*lines.first(), 0, 0)))
+        if quarantine:
+            found = write_quarantine(spark, landing, paths, bad, commits.quarantined(silver, folder))
         noted = spark.createDataFrame(files, commits.LEDGER)
-        total = commits.commit_load(spark, silver, before, folder, noted).total_rows
-    return {**rows, "silver_total": total}
+        some = {name: n for name, n in found.items() if n}
+        total = commits.commit_load(spark, silver, before, folder, noted, some).total_rows
+    return {**rows, "silver_total": total, **{f"bad_{name}": n for name, n in found.items()}}

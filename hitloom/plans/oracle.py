@@ -251,6 +251,24 @@ FROM described GROUP BY 1, 2, 3""",
         _rows("written", "SELECT * FROM silver"),
         _rows("silver_total", "SELECT * FROM silver"),
     )),
+    # A line has the first reason that applies. Lines with no URL have one word for a request.
+    "bad_line_counts": f"""WITH {ACCESS_LOG}, {_UNTIMED}, lines AS (
+  SELECT CASE
+      WHEN body_bytes_sent % 41 = 0 THEN 'short_line'
+      WHEN body_bytes_sent % 43 = 0 THEN 'surplus_fields'
+      WHEN body_bytes_sent % 47 = 0 THEN 'no_address'
+      WHEN "timestamp" IS NULL THEN 'time'
+      WHEN url IS NULL THEN 'request'
+      WHEN status IS NULL THEN 'status'
+      WHEN body_bytes_sent % 53 = 0 THEN 'size' END AS reason,
+    right(remote_addr, 1) IN ('1', '3', '5', '7', '9') AS load
+  FROM untimed
+)
+SELECT r.reason, count(l.reason) AS counted, nullif(count(l.reason), 0) AS stored,
+  nullif(count(DISTINCT l.load), 0) AS loads
+FROM (SELECT unnest(['no_address', 'short_line', 'surplus_fields', 'time', 'request', 'status',
+                     'size']) AS reason) r LEFT JOIN lines l ON l.reason = r.reason
+GROUP BY r.reason""",
     "high_water_mark": f'{_SILVER} SELECT max("timestamp") AS max_timestamp FROM silver',
     "incremental_new_rows": f"""{_LOG} SELECT {REQUEST_COLUMNS} FROM access_log
 WHERE "timestamp" > (SELECT max("timestamp") FROM access_log WHERE "timestamp" <= {_CUT})""",

@@ -18,6 +18,7 @@ from hitloom.operators.increment import (
     newest_day,
 )
 from hitloom.operators.parse import describe_requests, parse_requests
+from hitloom.operators.quarantine import REASONS
 from hitloom.operators.sinks import register_tables as register
 from hitloom.operators.sinks import store
 from hitloom.operators.star import STAR, stg_requests
@@ -31,6 +32,7 @@ from hitloom.plans.warehouse import (
     summary_over,
 )
 from hitloom.session import fresh_folder
+from hitloom.sources.commits import read_quarantine
 from hitloom.sources.derived_logs import (
     access_log,
     hostname_lookup,
@@ -134,6 +136,37 @@ def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(rows.items()), "stage STRING, rows BIGINT")
 
 
+def _spoilt_lines(requests: DataFrame) -> DataFrame:
+    """Log lines of which some lack fields, an address or a size, or have one too many."""
+    lines = log_lines(requests)
+    size = F.regexp_extract("value", '([0-9]+) "[^"]*" "[^"]*" "-"$', 1).cast("bigint")
+    value = F.col("value")
+    spoilt = (
+        F.when(size % 41 == 0, F.substring_index(value, " ", 5))
+        .when(size % 43 == 0, F.concat(value, F.lit(" surplus")))
+        .when(size % 47 == 0, F.regexp_replace(value, r"^\S+", '""'))
+        .when(size % 53 == 0, F.regexp_replace(value, r' [0-9]+ ("[^"]*" "[^"]*" "-")$', " x1 $1"))
+        .when(size % 59 == 0, F.regexp_replace(value, r' [0-9]+ ("[^"]*" "[^"]*" "-")$', " - $1"))
+        .otherwise(value)
+    )
+    return lines.select(spoilt.alias("value"))
+
+
+def bad_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unreadable lines by reason over two loads: as counted, and as stored in quarantine."""
+    log, silver = _with_untimed(access_log(spark, sf_dir)), fresh_folder(spark, "silver")
+    odd = F.col("remote_addr").substr(-1, 1).isin("1", "3", "5", "7", "9")
+    landing = _landing(spark, sf_dir, _spoilt_lines(log.filter(odd)))
+    counted = [load_increment(spark, landing, silver, quarantine=True)]
+    land_lines(_spoilt_lines(log.filter(~odd)), landing, 2024, 2)
+    counted.append(load_increment(spark, landing, silver, quarantine=True))
+    rows = [(name, sum(load[f"bad_{name}"] for load in counted)) for name in REASONS]
+    stored = read_quarantine(spark, silver).groupBy("reason").agg(
+        F.count("*").alias("stored"), F.countDistinct("load").alias("loads"))
+    return spark.createDataFrame(rows, "reason STRING, counted BIGINT").join(
+        stored, "reason", "left")
+
+
 def high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stored_silver(spark, sf_dir)
     silver = read_silver(spark, root)
@@ -333,6 +366,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_requests": silver_requests,
     "silver_roundtrip": silver_roundtrip,
     "ingest_metrics": ingest_metrics,
+    "bad_line_counts": bad_line_counts,
     "high_water_mark": high_water,
     "incremental_new_rows": incremental_new_rows,
     "incremental_append": incremental_append,

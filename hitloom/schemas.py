@@ -27,6 +27,10 @@ def _schema(**columns: DataType) -> StructType:
 # Ten fields are used; the eleventh takes a trailing field some log formats add.
 RAW = _schema(**{f"_c{i}": STRING for i in range(11)})
 
+# The text of a line whose number of fields is another than the schema's.
+LINE = "_line"
+RAW_WITH_LINE = _schema(**{field.name: STRING for field in RAW}, **{LINE: STRING})
+
 SILVER = _schema(
     remote_addr=STRING, timestamp=CLOCK, method=STRING, url=STRING, protocol=STRING,
     status=INT, body_bytes_sent=BIGINT, http_referer=STRING, user_agent=STRING, year=INT,
@@ -86,6 +90,7 @@ TABLES: dict[str, StructType] = {
         full_date=DATE, is_weekend=BOOLEAN, day_type=STRING, total_gb=DOUBLE,
         request_count=BIGINT, avg_kb_per_req=DOUBLE,
     ),
+    "bad_lines": _schema(reason=STRING, line=STRING, file=STRING),
     "quality": _schema(
         check=STRING, table=STRING, column=STRING, failures=BIGINT, passed=BOOLEAN,
     ),

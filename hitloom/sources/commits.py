@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.schemas import SILVER
+from hitloom.schemas import SILVER, TABLES
 from hitloom.sources.folders import (
     exists,
     folder_bytes,
@@ -39,6 +39,7 @@ from hitloom.sources.folders import (
 
 FOLD = 32
 COMMITS, STAGING, LEDGERS = "_commits", "_staging", "_commits/_ledgers"
+QUARANTINE = "_quarantine"
 LEDGER = "path STRING, length BIGINT, modified BIGINT"
 
 
@@ -66,6 +67,8 @@ class Load:
     folder: str | None
     data_bytes: int = 0
     days: list[Day] = field(default_factory=list)
+    bad: dict[str, int] = field(default_factory=dict)  # lines by reason
+    quarantine: str | None = None
 
     @property
     def rows(self) -> int:
@@ -155,6 +158,17 @@ def read_loads(spark: SparkSession, root: str, loads: list[Load]) -> DataFrame |
     return reduce(DataFrame.unionByName, (p.select(*SILVER.names) for p in parts)) if parts else None
 
 
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """(load, reason, line, file) of the bad lines of all committed loads."""
+    folders = [(load.number, f"{root}/{QUARANTINE}/{load.quarantine}")
+               for load in loads_since(spark, root) if load.quarantine]
+    schema = TABLES["bad_lines"]
+    parts = [spark.read.schema(schema).parquet(folder).select(F.lit(number).alias("load"), "*")
+             for number, folder in folders]
+    empty = spark.createDataFrame([], schema).select(F.lit(0).alias("load"), "*")
+    return reduce(DataFrame.unionByName, parts, empty)
+
+
 def new_folder() -> str:
     return uuid.uuid4().hex
 
@@ -163,6 +177,10 @@ def staged(root: str, folder: str) -> str:
     return f"{root}/{STAGING}/{folder}"
 
 
+def quarantined(root: str, folder: str) -> str:
+    return f"{root}/{QUARANTINE}/{folder}"
+
+
 def _days_of(spark: SparkSession, folder: str) -> list[Day]:
     """Figures of one load by day; a row per day it touches."""
     clock = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -180,15 +198,17 @@ def known_files(spark: SparkSession, root: str, commit: Commit | None) -> DataFr
 
 
 def commit_load(spark: SparkSession, root: str, before: Commit | None, folder: str,
-                files: DataFrame) -> Commit:
+                files: DataFrame, bad: dict[str, int] | None = None) -> Commit:
     """Make the rows staged in ``folder`` part of silver, and ``files`` known.
 
-    Only the staged files are opened, for their figures.
+    Only the staged files are opened, for their figures. ``bad`` counts the lines put into
+    quarantine, which become visible by the same commit.
     """
     number = before.number + 1 if before else 1
     place = staged(root, folder)
     days = _days_of(spark, place) if matching(spark, f"{place}/*=*") else []
-    load = Load(number, folder if days else None, folder_bytes(spark, place) if days else 0, days)
+    load = Load(number, folder if days else None, folder_bytes(spark, place) if days else 0, days,
+                bad or {}, folder if bad else None)
     fold = number % FOLD == 0
     ledger = new_folder()
     noted = known_files(spark, root, before).unionByName(files).coalesce(1) if fold else files
@@ -233,9 +253,9 @@ def settle(spark: SparkSession, root: str) -> Commit | None:
 
 def remove_abandoned(spark: SparkSession, root: str) -> list[str]:
     """Delete staged rows that no commit names; returns the folders. Only while no load runs."""
-    named = {load.folder for load in loads_since(spark, root)}
+    named = {name for load in loads_since(spark, root) for name in (load.folder, load.quarantine)}
     finish(spark, root, loads_since(spark, root))
-    left = [path for path in matching(spark, f"{root}/{STAGING}/*")
+    left = [path for part in (STAGING, QUARANTINE) for path in matching(spark, f"{root}/{part}/*")
             if path.rsplit("/", 1)[1] not in named]
     for path in left:
         remove(spark, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.schemas import RAW
+from hitloom.schemas import LINE, RAW, RAW_WITH_LINE
 from hitloom.sources.folders import matching
 
 # Where logs land, and how a line is delimited.
@@ -29,11 +29,19 @@ def landed_files(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def read_access_logs(spark: SparkSession, landing: str,
-                     files: list[str] | None = None) -> DataFrame:
+                     files: list[str] | None = None, with_line: bool = False) -> DataFrame:
     """All landed logs, or some of their files; short lines are padded with nulls, blank
-    lines skipped."""
+    lines skipped.
+
+    ``with_line`` adds the text of lines with more or fewer fields than the schema.
+    """
     paths = log_paths(landing) if files is None else files
-    return spark.read.schema(RAW).options(**LINE_OPTIONS).csv(paths)
+    reader = spark.read.options(**LINE_OPTIONS)
+    if not with_line:
+        return reader.schema(RAW).csv(paths)
+    # A parser that skips fields does not notice how many there are.
+    reader = reader.schema(RAW_WITH_LINE).option("columnPruning", False)
+    return reader.option("columnNameOfCorruptRecord", LINE).csv(paths)
 
 
 def stream_access_logs(spark: SparkSession, landing: str,
