@@ -33,6 +33,12 @@ def is_weekend(date: Column) -> Column:
     return F.coalesce(day_order(date).isin(0, 6), F.lit(False))
 
 
+def day_of(ts: Column) -> Column:
+    """20240131 of a clock reading; 0 without one."""
+    number = F.year(ts) * 10_000 + F.month(ts) * 100 + F.dayofmonth(ts)
+    return F.coalesce(number, F.lit(0))
+
+
 def day_number() -> Column:
     """20240131 from the columns year, month and day; 0 for rows without a time."""
     number = F.col("year") * 10_000 + F.col("month") * 100 + F.col("day")

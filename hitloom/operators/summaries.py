@@ -65,16 +65,29 @@ def _with_share(counted: DataFrame, count: str) -> DataFrame:
     return counted.withColumn("pct", percent(F.col(count), total))
 
 
-def kpi_summary(ip_hits: DataFrame, dim_status: DataFrame) -> DataFrame:
-    """Requests, distinct addresses, error rate and mean size, in one row."""
-    joined = ip_hits.join(dim_status.select("status_sk", "is_error"), "status_sk")
-    totals = joined.agg(
+def _kpi_totals() -> list[Column]:
+    return [
         _total(F.col("n")).alias("total_requests"),
-        F.countDistinct("ip_sk").alias("unique_ips"),
         _n_where(F.col("is_error")).alias("errors"),
         F.sum("bytes").alias("bytes"),
         F.sum("sized").alias("sized"),
-    )
+    ]
+
+
+def kpi_summary(ip_hits: DataFrame, dim_status: DataFrame) -> DataFrame:
+    """Requests, distinct addresses, error rate and mean size, in one row."""
+    joined = ip_hits.join(dim_status.select("status_sk", "is_error"), "status_sk")
+    return _kpi(joined.agg(*_kpi_totals(), F.countDistinct("ip_sk").alias("unique_ips")))
+
+
+def kpi_of_hits(status_hits: DataFrame, dim_status: DataFrame, unique_ips: Column) -> DataFrame:
+    """The same from hits by status and a count of distinct addresses made elsewhere."""
+    joined = regroup(status_hits, "status_sk").join(
+        dim_status.select("status_sk", "is_error"), "status_sk")
+    return _kpi(joined.agg(*_kpi_totals()).withColumn("unique_ips", unique_ips))
+
+
+def _kpi(totals: DataFrame) -> DataFrame:
     return conform(totals.select(
         "total_requests",
         "unique_ips",

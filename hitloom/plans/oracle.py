@@ -287,6 +287,13 @@ WHERE (method <> 'PUT' AND "timestamp" <= {_CUT}) OR "timestamp" > (
     "stg_requests": f"{_STAR} SELECT * FROM stg",
     **{t: f"{_STAR} SELECT * FROM {t}" for t in STAR_TABLES},
     **{name: f"{_STAR} {query}" for name, query in SUMMARIES.items()},
+    **{f"rolled_{name}": f"{_STAR} {SUMMARIES[name]}" for name in (
+        "kpi_summary", "agg_hourly_traffic", "agg_top_endpoints", "agg_daily_bytes")},
+    "unique_addresses": f"""{_SILVER}
+SELECT CAST(strftime("timestamp", '%Y%m%d') AS INT) AS "day",
+  count(DISTINCT remote_addr) AS unique_ips
+FROM silver WHERE status IS NOT NULL GROUP BY 1
+UNION ALL SELECT NULL, count(DISTINCT remote_addr) FROM silver WHERE status IS NOT NULL""",
     "dq_unique": _STAR + " UNION ALL ".join(_unique(t, c) for t, c in _UNIQUE),
     "dq_not_null": _STAR + " UNION ALL ".join(
         [_not_null(t, c) for t, c in _NOT_NULL]

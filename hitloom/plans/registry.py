@@ -8,7 +8,7 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hitloom.operators import quality
+from hitloom.operators import addresses, quality
 from hitloom.operators.dedup import REQUEST_KEY, dedup_requests
 from hitloom.operators.enrich import enrich_hostnames
 from hitloom.operators.increment import (
@@ -23,6 +23,7 @@ from hitloom.operators.sinks import register_tables as register
 from hitloom.operators.sinks import store
 from hitloom.operators.star import STAR, stg_requests
 from hitloom.operators.summaries import PRESENTATION, presented
+from hitloom.plans import rollup
 from hitloom.plans.ingest import load_increment, refine
 from hitloom.plans.warehouse import (
     SUMMARIES,
@@ -354,6 +355,37 @@ def model_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counted(spark, database, done)
 
 
+def _rolled_up(spark: SparkSession, sf_dir: str) -> str:
+    """Partials by day after two loads, each followed by a refresh; one day is in both."""
+    log = access_log(spark, sf_dir)
+    noon = F.lit("2024-01-16 12:00:00").cast("timestamp_ntz")
+    silver, partials = fresh_folder(spark, "silver"), fresh_folder(spark, "rollup")
+    landing = _landing(spark, sf_dir, log_lines(log.filter(F.col("timestamp") <= noon)))
+    load_increment(spark, landing, silver)
+    rollup.refresh(spark, silver, partials)
+    land_lines(log_lines(log.filter(F.col("timestamp") > noon)), landing, 2024, 2)
+    load_increment(spark, landing, silver)
+    rollup.refresh(spark, silver, partials)
+    return partials
+
+
+# A table of each kind of partial; the tests compare all eight.
+ROLLED = ("kpi_summary", "agg_hourly_traffic", "agg_top_endpoints", "agg_daily_bytes")
+
+
+def rolled_summary(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A summary from partials that two increments have left."""
+    return rollup.summary_tables(spark, _rolled_up(spark, sf_dir))[name]
+
+
+def unique_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct addresses of every day, and of all days merged, from the same bitmaps."""
+    bitmaps = rollup.partial(spark, _rolled_up(spark, sf_dir), "addresses_by_day")
+    by_day = addresses.count_addresses(bitmaps, rollup.DAY)
+    every = addresses.count_addresses(bitmaps).select(F.lit(None).cast("int").alias("day"), "*")
+    return by_day.unionByName(every)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_access_log": parse_access_log,
     "parse_log_lines": parse_log_lines,
@@ -377,6 +409,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_requests": staged,
     **{name: partial(star_table, name) for name in STAR},
     **{name: partial(summary_table, name) for name in SUMMARIES},
+    **{f"rolled_{name}": partial(rolled_summary, name) for name in ROLLED},
+    "unique_addresses": unique_addresses,
     "dq_unique": dq_unique,
     "dq_not_null": dq_not_null,
     "dq_relationships": dq_relationships,
