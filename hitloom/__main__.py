@@ -1,6 +1,7 @@
-"""Jobs from the command line: ``load``, ``stream``, ``build``, ``run`` and ``show``.
+"""Jobs from the command line: ``load``, ``stream``, ``build``, ``check``, ``run``,
+``refresh`` and ``show``.
 
-``build`` and ``run`` exit with 1 when a check fails, before anything is published;
+``build``, ``check`` and ``run`` exit with 1 when a check fails, before anything is published;
 ``--severity warn`` reports failures and publishes all the same.
 """
 
@@ -11,22 +12,28 @@ import sys
 
 from pyspark.sql import Row, SparkSession
 
-from hitloom.operators.quality import QualityError
+from hitloom.operators.quality import QualityError, gate
+from hitloom.operators.star import STAR
 from hitloom.operators.summaries import presented
 from hitloom.plans.full_run import run
 from hitloom.plans.ingest import load_increment
-from hitloom.plans.warehouse import SUMMARIES, build_checked, newest_build
+from hitloom.plans.rollup import refresh, summary_tables
+from hitloom.plans.warehouse import SUMMARIES, build_checked, check_stored, newest_builds
 from hitloom.session import GIB, build_session, size_to_input
 from hitloom.sources.folders import folder_bytes
 from hitloom.sources.silver import silver_view
 from hitloom.streaming.file_ingest import ingest_new_files
 
+MODELS = (*STAR, *SUMMARIES)
+
 # What each job is given, and which of it is read and so sizes the shuffles.
 JOBS = {
     "load": (("landing", "silver"), "landing"),
     "stream": (("landing", "silver", "checkpoint"), "landing"),
     "build": (("silver", "warehouse"), "silver"),
     "run": (("landing", "silver", "warehouse"), "landing"),
+    "check": (("silver", "warehouse"), "silver"),
+    "refresh": (("silver", "rollup"), "silver"),
     "show": (("warehouse", "summary"), None),
 }
 
@@ -43,7 +50,15 @@ def _parser() -> argparse.ArgumentParser:
         if name == "stream":
             job.add_argument("--dedup-across-batches", action="store_true")
             job.add_argument("--max-files", type=int, help="log files per batch")
-        if name in ("build", "run"):
+        if name == "load":
+            job.add_argument("--keep-late", action="store_true",
+                             help="load rows older than silver's latest too")
+            job.add_argument("--quarantine", action="store_true",
+                             help="count and keep lines that cannot be read in full")
+        if name == "build":
+            job.add_argument("--only", nargs="+", metavar="MODEL", choices=sorted(MODELS),
+                             help="these models and what they are made from")
+        if name in ("build", "run", "check"):
             job.add_argument("--severity", choices=("error", "warn"), default="error",
                              help="what a failed check is")
         if name == "run":
@@ -73,7 +88,8 @@ def main(arguments: list[str] | None = None) -> int:
     size_session(spark, args)
     try:
         if args.job == "load":
-            print(load_increment(spark, args.landing, args.silver))
+            print(load_increment(spark, args.landing, args.silver, args.keep_late,
+                                 args.quarantine))
         elif args.job == "stream":
             print(ingest_new_files(
                 spark, args.landing, args.silver, args.checkpoint,
@@ -82,11 +98,23 @@ def main(arguments: list[str] | None = None) -> int:
             ))
         elif args.job == "build":
             silver = silver_view(spark, args.silver)
-            _, checks, published = build_checked(silver, args.warehouse, args.severity)
+            _, checks, published = build_checked(silver, args.warehouse, args.severity,
+                                                 only=args.only)
             _print_checks(checks)
             published.show(100, truncate=False)
+        elif args.job == "check":
+            checks = check_stored(silver_view(spark, args.silver), args.warehouse)
+            gate(checks, args.severity)
+            _print_checks(checks)
+        elif args.job == "refresh":
+            for day in refresh(spark, args.silver, args.rollup):
+                print(*day)
+            for name, table in summary_tables(spark, args.rollup).items():
+                print(name)
+                presented(table, name).show(1000, truncate=False)
         elif args.job == "show":
-            table = spark.read.parquet(f"{newest_build(spark, args.warehouse)}/{args.summary}")
+            place = newest_builds(spark, args.warehouse, [args.summary])[args.summary]
+            table = spark.read.parquet(place)
             presented(table, args.summary).show(1000, truncate=False)
         else:
             result = run(spark, args.landing, args.silver, args.warehouse, args.stream,

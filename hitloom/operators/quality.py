@@ -96,12 +96,13 @@ def _all(results: list[DataFrame]) -> DataFrame:
 
 def unique_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Checks of the hash keys, shuffled as 16 bytes rather than 32 hex digits."""
-    return _all([check_unique(tables[t], t, c, F.unhex(F.col(c))) for t, c in UNIQUE])
+    return _all([check_unique(tables[t], t, c, F.unhex(F.col(c))) for t, c in UNIQUE
+                 if t in tables])
 
 
 def not_null_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Checks of the star, and of silver when it is among the tables."""
-    checks = [check_not_null(tables[t], t, cs) for t, cs in NOT_NULL.items()]
+    checks = [check_not_null(tables[t], t, cs) for t, cs in NOT_NULL.items() if t in tables]
     checks += [
         check_not_null(tables[t], t, cs, "source_not_null")
         for t, cs in SOURCE_NOT_NULL.items() if t in tables
@@ -116,14 +117,21 @@ def relationship_checks(tables: dict[str, DataFrame],
     counted = counted or {}
     return _all([
         check_relationship(counted.get(c, tables[t]), t, c, tables[p], c in counted)
-        for t, c, p in RELATIONSHIPS
+        for t, c, p in RELATIONSHIPS if t in tables and p in tables
     ])
 
 
 def all_checks(tables: dict[str, DataFrame],
                counted: dict[str, DataFrame] | None = None) -> DataFrame:
-    return _all([unique_checks(tables), not_null_checks(tables),
-                 relationship_checks(tables, counted)])
+    """Every declared check whose tables are given."""
+    checks = []
+    if any(t in tables for t, _ in UNIQUE):
+        checks.append(unique_checks(tables))
+    if any(t in tables for t in (*NOT_NULL, *SOURCE_NOT_NULL)):
+        checks.append(not_null_checks(tables))
+    if any(t in tables and p in tables for t, _, p in RELATIONSHIPS):
+        checks.append(relationship_checks(tables, counted))
+    return _all(checks)
 
 
 class QualityError(RuntimeError):

@@ -304,8 +304,13 @@ WHERE ip_sk IS NOT NULL
   AND ip_sk NOT IN (SELECT ip_sk FROM dim_ip WHERE client_hostname IS NOT NULL)
 GROUP BY ip_sk""",
     "enrich_hostnames_mixed_headers": f"{_SILVER} SELECT * FROM enriched",
+    "enrich_unusable_lookup":
+        f"{_LOG} SELECT {REQUEST_COLUMNS}, CAST(NULL AS VARCHAR) AS client_hostname FROM access_log",
     "silver_audit": f"""{_SILVER}
-SELECT DISTINCT "year", "month", "day", true AS has_files FROM silver""",
+SELECT "year", "month", "day", count(*) AS row_count, min("timestamp") AS first_timestamp,
+  max("timestamp") AS last_timestamp, true AS has_files
+FROM silver GROUP BY ALL""",
+    "bucketed_top_endpoints": f"{_STAR} {SUMMARIES['agg_top_endpoints']}",
     "summaries_in_order": _STAR + " " + " UNION ALL ".join(_placed(*o) for o in _ORDERS),
     "register_tables": _STAR + " " + " UNION ALL ".join(
         [_registered("silver", "present", "SELECT * FROM silver")]

@@ -27,13 +27,14 @@ from hitloom.plans import rollup
 from hitloom.plans.ingest import load_increment, refine
 from hitloom.plans.warehouse import (
     SUMMARIES,
+    build_bucketed,
     build_checked,
     build_warehouse,
     star_tables,
     summary_over,
 )
 from hitloom.session import fresh_folder
-from hitloom.sources.commits import read_quarantine
+from hitloom.sources.commits import loads_since, read_quarantine
 from hitloom.sources.derived_logs import (
     access_log,
     hostname_lookup,
@@ -116,6 +117,14 @@ def enriched_by_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def enriched_by_unusable_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup whose header tells no address and no host: every name is null."""
+    landing = fresh_folder(spark, "landing")
+    lookup = hostname_lookup(spark, sf_dir).toDF("key", "value")
+    land_lookup(lookup, landing, 2024, 1)
+    return enrich_hostnames(access_log(spark, sf_dir), read_lookup(spark, landing))
+
+
 def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_requests(access_log(spark, sf_dir))
 
@@ -277,8 +286,16 @@ def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored days and whether each has data, from the listing of files."""
-    return quality.audited_days(quality.silver_files(spark, _stored_silver(spark, sf_dir)))
+    """Rows and times of every stored day as committed, and whether the listing has files."""
+    silver = _stored_silver(spark, sf_dir)
+    days = [(d.year, d.month, d.day, d.rows, d.first, d.last)
+            for load in loads_since(spark, silver) for d in load.days]
+    committed = spark.createDataFrame(
+        days, "year INT, month INT, day INT, row_count BIGINT, first STRING, last STRING")
+    listed = quality.audited_days(quality.silver_files(spark, silver))
+    clock = lambda name: F.col(name).cast("timestamp_ntz").alias(f"{name}_timestamp")
+    return committed.join(listed, ["year", "month", "day"], "full").select(
+        "year", "month", "day", "row_count", clock("first"), clock("last"), "has_files")
 
 
 def summaries_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,6 +346,18 @@ def _load_other_half(spark: SparkSession, sf_dir: str, landing: str, silver: str
     load_increment(spark, landing, silver)
 
 
+def bucketed_top_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top endpoints from bucketed tables, joined where they lie.
+
+    The tables' names go with the database; the rows are computed before.
+    """
+    database, root = _new_database(spark), fresh_folder(spark, "bucketed")
+    tables = build_bucketed(silver_requests(spark, sf_dir), root, database, 8)
+    top = store(tables["agg_top_endpoints"], f"{root}/agg_top_endpoints")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return top
+
+
 def register_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Register silver, load more, then register it again with star and summaries."""
     database = _new_database(spark)
@@ -394,6 +423,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_hostnames": enriched_requests,
     "enrich_hostnames_shuffled": enriched_by_shuffle,
     "enrich_hostnames_mixed_headers": enriched_by_mixed_headers,
+    "enrich_unusable_lookup": enriched_by_unusable_lookup,
     "dedup_requests": deduplicated,
     "silver_requests": silver_requests,
     "silver_roundtrip": silver_roundtrip,
@@ -417,6 +447,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_orphans": dq_orphans,
     "silver_audit": silver_audit,
     "summaries_in_order": summaries_in_order,
+    "bucketed_top_endpoints": bucketed_top_endpoints,
     "register_tables": register_tables,
     "model_tables": model_tables,
 }

@@ -22,6 +22,14 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     assert spark.table("kpi_summary").first()[0] == 3
     assert main(["show", warehouse, "agg_method_split"]) == 0
     assert "GET" in capsys.readouterr().out
+    assert main(["check", silver, warehouse]) == 0
+    assert "relationships" in capsys.readouterr().out
+    assert main(["build", silver, warehouse, "--only", "agg_method_split"]) == 0
+    assert main(["show", warehouse, "kpi_summary"]) == 0
+    assert main(["refresh", silver, str(tmp_path / "rollup")]) == 0
+    assert "kpi_summary" in capsys.readouterr().out
+    assert main(["load", str(landing), silver, "--keep-late", "--quarantine"]) == 0
+    assert "'bad_time': 0" in capsys.readouterr().out
 
 
 def test_failed_checks_fail_the_job(spark, tmp_path, capsys):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -198,3 +199,62 @@ def test_a_cluster_needs_a_shared_folder():
 def test_local_mode_falls_back_to_one_temporary_folder():
     local = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="local[2]"))
     assert session.shared_folder(local) == session.shared_folder(local)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    silver = described(spark, *(request(at=i, url=f"/{i % 7}", method=("GET", "PUT")[i % 2])
+                                for i in range(60)), request(at=99, url=None))
+    spark.sql(f"CREATE DATABASE bucketed LOCATION '{tmp_path}/db'")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = warehouse.build_bucketed(silver, str(tmp_path / "out"), "bucketed", 3)
+        assert len(glob.glob(f"{tmp_path}/out/dim_request/*.parquet")) <= 3
+        joined = tables["hits_by_request"].join(tables["dim_request"], "request_sk")
+        joined.collect()
+        assert "Exchange" not in plan(joined) and "SortMergeJoin" in plan(joined)
+        counted = joined.groupBy("request_sk").count()
+        assert "Exchange" not in plan(counted)
+        for name in ("agg_top_endpoints", "agg_method_split"):
+            text = plan(tables[name])
+            # The shared total is a subquery with a plan of its own.
+            for part in text.split("Subquery")[0].split("SortMergeJoin")[1:]:
+                assert "Exchange" not in part
+            assert rows(tables[name]) == rows(warehouse.summary_over(name, silver))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP DATABASE bucketed CASCADE")
+
+
+def test_a_build_of_some_models_leaves_the_others_alone(spark, tmp_path):
+    root = str(tmp_path / "warehouse")
+    silver = described(spark, request(), request(at=1))
+    warehouse.build_checked(silver, root)
+    more = described(spark, *(request(at=i) for i in range(5)))
+    for _ in range(3):  # builds that would push the full one out
+        tables, checks, published = warehouse.build_checked(more, root, only=["agg_daily_bytes"])
+    assert set(tables) == {"fact_requests", "dim_date", "agg_daily_bytes"}
+    assert {r["table"] for r in checks} == {"fact_requests", "dim_date", "silver"}
+    assert any(r["check"] == "relationships" for r in checks)
+    assert spark.table("agg_daily_bytes").first()["request_count"] == 5
+    assert spark.table("kpi_summary").first()["total_requests"] == 2
+    assert len(glob.glob(f"{root}/builds/*")) == 3
+    with pytest.raises(KeyError):
+        warehouse.needed_for(["no_such_model"])
+    assert warehouse.needed_for(["agg_method_split"]) == {
+        "agg_method_split", "hits_by_request", "dim_request", "fact_requests"}
+
+
+def test_checks_by_themselves_find_what_changed(spark, tmp_path):
+    root = str(tmp_path / "warehouse")
+    silver = described(spark, request(), request(at=1))
+    warehouse.build_checked(silver, root)
+    assert all(row["passed"] for row in warehouse.check_stored(silver, root))
+    place = warehouse.newest_builds(spark, root, ["dim_status"])["dim_status"]
+    empty = spark.read.parquet(place).schema
+    for file in glob.glob(f"{place.removeprefix('file:')}/*.parquet"):
+        os.remove(file)
+    spark.createDataFrame([], empty).write.mode("append").parquet(place)
+    failed = [r for r in warehouse.check_stored(silver, root) if not r["passed"]]
+    assert [(r["check"], r["column"], r["failures"]) for r in failed] == [
+        ("relationships", "status_sk", 2)]
