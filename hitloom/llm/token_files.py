@@ -36,7 +36,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitloom.llm.tables import bounded_slices, in_arrow, partitions_for, texts_of, written
-from hitloom.llm.word_cache import library_cache, lower_case_chunks, vocabulary_size
+from hitloom.llm.word_cache import (
+    library_cache,
+    lower_case_chunks,
+    lower_case_form,
+    vocabulary_size,
+)
 from hitloom.session import fresh_folder
 
 VOCABULARY = "word_bpe_49k.json"
@@ -165,7 +170,7 @@ class TokenFileReader:
 @lru_cache(maxsize=2)
 def _encoder(path: str):
     # The mark is cut off by the blanks, which pre-tokenization drops.
-    return library_cache(path, " \x01 ", lower_case_chunks)
+    return library_cache(path, " \x01 ", lower_case_chunks, lower_case_form)
 
 
 def write_token_files(documents: DataFrame, folder: str, text: str = "text",

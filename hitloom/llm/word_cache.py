@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import re
+import string
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,20 +19,45 @@ import numpy as np
 #: mark that cuts chunks, and the start of special tokens.
 _UNUSUAL = re.compile(r"\s\s|\A\s|\s\Z|[^\S \n]|\x00|<\|")
 
+#: ASCII punctuation but the apostrophe, which may start a pre-token with letters.
+_MARKS = string.punctuation.replace("'", "")
+
 EncodeMany = Callable[[list[str]], list[bytes]]
 
 
+def _is_usual(text: str) -> bool:
+    """Whether ``_UNUSUAL`` is nowhere in a text; most texts are told without a search."""
+    flat = text.replace("\n", " ")
+    # Of white space and marks that are not printed only the blank is printable.
+    if flat.isprintable():
+        return not (flat[0] == " " or flat[-1] == " " or "  " in flat or "<|" in flat)
+    return not _UNUSUAL.search(text)
+
+
 def byte_level_chunks(text: str) -> list[str] | None:
     """Words with the blank before them, and line ends; None for unusual texts.
 
     A blank between two other characters starts a pre-token of byte-level BPE, and a
     line end between two is one by itself.
     """
-    if not text or _UNUSUAL.search(text):
+    if not text or not _is_usual(text):
         return None if text else []
     return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
 
+def byte_level_form(word: str) -> str | None:
+    """An ASCII word in the letters of a byte-level model; None for others."""
+    letters = word.removeprefix(" ")
+    if not (letters.isascii() and letters.isalpha()):
+        return None
+    return letters if letters is word else f"Ġ{letters}"
+
+
+def lower_case_form(word: str) -> str | None:
+    """The same for a model without blanks."""
+    return word if word.isascii() and word.isalpha() else None
+
+
 def lower_case_chunks(text: str) -> list[str] | None:
     """Lower-case words between ASCII white space, for tokenizers that drop both."""
     if "<|" in text:
@@ -64,22 +91,30 @@ class ChunkCache:
             long = [w for w in words if len(w) > self.longest]
             self._fill(words.difference(long))
             return dict(zip(long, self.encode_whole(long), strict=True))
-        missing = words.difference(self.young)
-        self.young.update((w, self.old[w]) for w in missing if w in self.old)
-        fresh = [w for w in missing if w not in self.old]
+        fresh = self._recall(words)
         if not fresh:
             return {}
-        # A full stop or comma after a letter is a pre-token by itself.
-        ended = {w for w in fresh if w[-1] in ".," and w[-2:-1].isascii() and w[-2:-1].isalpha()}
-        bases = {w[:-1] for w in ended} | ({".", ","} if ended else set())
-        plain = list(bases.difference(self.young).union(w for w in fresh if w not in ended))
-        self.young.update(zip(plain, self.encode(plain), strict=True))
-        self.young.update((w, self.young[w[:-1]] + self.young[w[-1]]) for w in ended)
+        # Marks after a letter are no part of its pre-token; words recur with other marks.
+        ended = [(w, base, w[len(base):]) for w in fresh
+                 if w[-1] in _MARKS and (base := w.rstrip(_MARKS)) and base[-1].isalpha()]
+        plain = fresh.difference(w for w, _, _ in ended)
+        parts = {part for _, base, marks in ended for part in (base, marks)}
+        plain = list(plain | self._recall(parts))
+        young = self.young
+        young.update(zip(plain, self.encode(plain), strict=True))
+        young.update((w, young[base] + young[marks]) for w, base, marks in ended)
         return {}
 
+    def _recall(self, words: set[str]) -> set[str]:
+        """The words not in the young generation, after those in the old one were moved."""
+        missing = words.difference(self.young)
+        known = {w: self.old[w] for w in missing if w in self.old}
+        self.young.update(known)
+        return missing.difference(known)
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [self.chunks(text) for text in texts]
-        long = self._fill({word for words in cut if words for word in words})
+        long = self._fill(set().union(*filter(None, cut)))
         found = self.young.__getitem__
         if long:
             found = lambda word: long[word] if word in long else self.young[word]
@@ -101,11 +136,12 @@ def _bytes(ids: list[int]) -> bytes:
 
 
 def library_cache(path: str, separator: str, chunks: Callable[[str], list[str] | None],
-                  ) -> ChunkCache:
+                  form: Callable[[str], str | None] = lambda word: None) -> ChunkCache:
     """Ids of the tokenizers library for the vocabulary file at ``path``.
 
-    New words are encoded many at a time, joined by ``separator``, which must be cut
-    off by pre-tokenization and end in one id of its own.
+    New words that are one pre-token, for which ``form`` gives their letters in the model's
+    alphabet, go to the library's model directly. Others are encoded many at a time, joined
+    by ``separator``, which must be cut off by pre-tokenization and end in one id of its own.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -121,11 +157,19 @@ def library_cache(path: str, separator: str, chunks: Callable[[str], list[str] |
         for start in range(0, len(words), 1000):
             yield words[start : start + 1000]
 
+    pieces = tokenizer.model.tokenize
+
     def many(words: list[str]) -> list[bytes]:
+        forms = list(map(form, words))
+        rest = iter(joined([w for w, f in zip(words, forms) if f is None]))
+        return [next(rest) if f is None else array("I", [p.id for p in pieces(f)]).tobytes()
+                for f in forms]
+
+    def joined(words: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for group in groups(words):
-            joined = tokenizer.encode_batch_fast([separator.join(group)], add_special_tokens=False)
-            ids = np.asarray(joined[0].ids, dtype="<u4")
+            one = tokenizer.encode_batch_fast([separator.join(group)], add_special_tokens=False)
+            ids = np.asarray(one[0].ids, dtype="<u4")
             ends = np.flatnonzero(ids == mark)
             if len(ends) == len(group) - 1 and not any(separator.strip(" ") in w for w in group):
                 out += [part.tobytes() for part in _between(ids, ends)]
