@@ -44,7 +44,7 @@ from hitloom.llm.components import connected_components
 from hitloom.llm.shingles import shingle_sets
 from hitloom.llm.tables import Membership, bounded_slices, in_arrow, texts_of, written
 
-#: An n-gram of so many documents, counted where a batch holds it more than twice, is often.
+#: An n-gram of so many documents, counted where a batch holds it more than once, is often.
 OFTEN = 16
 #: Where the hashes of rare n-grams are cut, of 2**64; frequent ones are the last fragment.
 CUTS = (1 / 8, 1 / 2)
@@ -80,7 +80,7 @@ def document_sets(documents: DataFrame, width: int, text: str, key: str) -> Data
             grams, df = np.unique(
                 np.concatenate([*(sets[i] for i in distinct), np.empty(0, np.uint64)]),
                 return_counts=True)
-            grams, df = grams[df > 2], df[df > 2]
+            grams, df = grams[df > 1], df[df > 1]
             n, more = len(sets), len(grams)
             sketches = np.array([_odd_sketch(s) for s in sets], np.int64).reshape(n, WORDS)
             yield from pa.Table.from_arrays([
@@ -312,7 +312,8 @@ def _pairs_apart(met: DataFrame, heads: DataFrame, joined: DataFrame, num: int,
                  den: int) -> DataFrame:
     """Pairs that meet under an n-gram in different components and may link.
 
-    Under the first n-gram that two sets share, no more can follow in either than stand
+    N-grams of the same sets, as those of a passage that documents share, are one list, in
+    which a set has its earliest place under any of them. Under the first n-gram that two sets share, no more can follow in either than stand
     from there to its end; a pair that fails this elsewhere also meets earlier.
     """
     placed = (
@@ -320,22 +321,29 @@ def _pairs_apart(met: DataFrame, heads: DataFrame, joined: DataFrame, num: int,
         .join(joined.withColumnRenamed("id", "head"), "head", "left")
         .withColumn("component", F.coalesce("component", "head"))
     )
-    split = (placed.groupBy("gram").agg(F.min("component").alias("low"),
-                                        F.max("component").alias("high"))
-             .where("low <> high").select("gram"))
+    # A list is told by its length and two exclusive-ors of its sets' hashes.
+    split = (
+        placed.groupBy("gram").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"),
+            F.count("*").alias("length"), F.bit_xor(F.xxhash64("set_id")).alias("one"),
+            F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("two"))
+        .where("low <> high").select("gram", F.struct("length", "one", "two").alias("list"))
+    )
     left = written(
-        placed.join(split, "gram", "left_semi").join(heads.select("set_id", *SKETCH), "set_id"),
-        "postings-apart")
+        placed.join(split, "gram").groupBy("list", "set_id").agg(
+            F.min("place").alias("place"), F.min("n").alias("n"),
+            F.min("component").alias("component"))
+        .join(heads.select("set_id", *SKETCH), "set_id"), "postings-apart")
 
     def side(name: str, mark: str) -> DataFrame:
         return left.select(
-            "gram", F.col("set_id").alias(name), F.col("n").alias(f"n_{name}"),
+            "list", F.col("set_id").alias(name), F.col("n").alias(f"n_{name}"),
             F.col("place").alias(f"place_{name}"), F.col("component").alias(f"c_{name}"),
             *(F.col(w).alias(f"{mark}_{w}") for w in SKETCH))
 
     room = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     return (
-        side("a", "x").join(side("b", "y"), "gram")
+        side("a", "x").join(side("b", "y"), "list")
         .where("a < b AND c_a <> c_b").where(_comparable(num, den))
         .where(room >= _needed(num, den)).where(_may_link(num, den))
         .select("a", "b", "n_a", "n_b").distinct()
