@@ -36,7 +36,7 @@ RELATIONSHIPS = (
 )
 
 
-def _result(failures: DataFrame, check: str, table: str) -> DataFrame:
+def result(failures: DataFrame, check: str, table: str) -> DataFrame:
     """Shape (column, failures) rows as check results."""
     return conform(failures.select(
         F.lit(check).alias("check"),
@@ -59,14 +59,14 @@ def check_unique(df: DataFrame, table: str, column: str,
         .filter(F.col("count") > 1)
     )
     failures = repeated.agg(F.count("*").alias("failures"))
-    return _result(failures.withColumn("column", F.lit(column)), "unique", table)
+    return result(failures.withColumn("column", F.lit(column)), "unique", table)
 
 
 def check_not_null(df: DataFrame, table: str, columns: tuple[str, ...],
                    check: str = "not_null") -> DataFrame:
     """Failures are null rows; all columns are counted in one pass."""
     counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in columns))
-    return _result(counts.unpivot([], list(columns), "column", "failures"), check, table)
+    return result(counts.unpivot([], list(columns), "column", "failures"), check, table)
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame,
@@ -87,7 +87,7 @@ def check_relationship(child: DataFrame, table: str, column: str, parent: DataFr
     failures = orphans(child, column, parent, counted).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("failures")
     )
-    return _result(failures.withColumn("column", F.lit(column)), "relationships", table)
+    return result(failures.withColumn("column", F.lit(column)), "relationships", table)
 
 
 def _all(results: list[DataFrame]) -> DataFrame:

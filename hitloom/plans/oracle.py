@@ -289,6 +289,7 @@ WHERE (method <> 'PUT' AND "timestamp" <= {_CUT}) OR "timestamp" > (
     **{name: f"{_STAR} {query}" for name, query in SUMMARIES.items()},
     **{f"rolled_{name}": f"{_STAR} {SUMMARIES[name]}" for name in (
         "kpi_summary", "agg_hourly_traffic", "agg_top_endpoints", "agg_daily_bytes")},
+    "rolled_unique_requests": f"{_STAR} {_unique('fact_requests', 'request_id')}",
     "unique_addresses": f"""{_SILVER}
 SELECT CAST(strftime("timestamp", '%Y%m%d') AS INT) AS "day",
   count(DISTINCT remote_addr) AS unique_ips

@@ -384,8 +384,9 @@ def model_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counted(spark, database, done)
 
 
-def _rolled_up(spark: SparkSession, sf_dir: str) -> str:
-    """Partials by day after two loads, each followed by a refresh; one day is in both."""
+def _rolled_up(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Silver, and partials by day after two loads, each followed by a refresh; one day is
+    in both."""
     log = access_log(spark, sf_dir)
     noon = F.lit("2024-01-16 12:00:00").cast("timestamp_ntz")
     silver, partials = fresh_folder(spark, "silver"), fresh_folder(spark, "rollup")
@@ -395,7 +396,7 @@ def _rolled_up(spark: SparkSession, sf_dir: str) -> str:
     land_lines(log_lines(log.filter(F.col("timestamp") > noon)), landing, 2024, 2)
     load_increment(spark, landing, silver)
     rollup.refresh(spark, silver, partials)
-    return partials
+    return silver, partials
 
 
 # A table of each kind of partial; the tests compare all eight.
@@ -404,12 +405,17 @@ ROLLED = ("kpi_summary", "agg_hourly_traffic", "agg_top_endpoints", "agg_daily_b
 
 def rolled_summary(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """A summary from partials that two increments have left."""
-    return rollup.summary_tables(spark, _rolled_up(spark, sf_dir))[name]
+    return rollup.summary_tables(spark, _rolled_up(spark, sf_dir)[1])[name]
+
+
+def rolled_unique_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The uniqueness of request ids, checked day by day as they were loaded."""
+    return rollup.unique_requests(spark, *_rolled_up(spark, sf_dir))
 
 
 def unique_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct addresses of every day, and of all days merged, from the same bitmaps."""
-    bitmaps = rollup.partial(spark, _rolled_up(spark, sf_dir), "addresses_by_day")
+    bitmaps = rollup.partial(spark, _rolled_up(spark, sf_dir)[1], "addresses_by_day")
     by_day = addresses.count_addresses(bitmaps, rollup.DAY)
     every = addresses.count_addresses(bitmaps).select(F.lit(None).cast("int").alias("day"), "*")
     return by_day.unionByName(every)
@@ -440,6 +446,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{name: partial(star_table, name) for name in STAR},
     **{name: partial(summary_table, name) for name in SUMMARIES},
     **{f"rolled_{name}": partial(rolled_summary, name) for name in ROLLED},
+    "rolled_unique_requests": rolled_unique_requests,
     "unique_addresses": unique_addresses,
     "dq_unique": dq_unique,
     "dq_not_null": dq_not_null,

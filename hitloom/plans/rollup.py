@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitloom.functions import calendar
-from hitloom.operators import addresses, star, summaries
+from hitloom.operators import addresses, quality, star, summaries
 from hitloom.plans.warehouse import SUMMARIES
 from hitloom.sources import commits
 from hitloom.sources.folders import matching, write_text_once
@@ -44,8 +44,27 @@ def _with_day(requests: DataFrame) -> DataFrame:
     return requests.withColumn(DAY, calendar.day_of(F.col("request_timestamp")))
 
 
+def _repeated_requests(staged: DataFrame) -> DataFrame:
+    """Request ids of each day that stand more than once.
+
+    An id holds the address, the time and the request, run together, so equal ids have
+    equal times, unless an address holds the text of a time itself. Those addresses are
+    counted: their ids can only be compared over all days.
+    """
+    ids = _with_day(staged).where("request_id IS NOT NULL").groupBy(
+        DAY, F.unhex("request_id").alias("id")).agg(
+            F.count("*").alias("n"), F.max(_holds_a_time("remote_addr")).alias("odd"))
+    return ids.groupBy(DAY).agg(
+        F.count_if(F.col("n") > 1).alias("repeated"), F.count_if("odd").alias("odd"))
+
+
+def _holds_a_time(address: str) -> Column:
+    return F.col(address).rlike(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d")
+
+
 #: Partials straight from the staged requests of a day.
-COUNTS = {"hits_by_hour": _hits_by_hour, "hits_by_request": _hits_by_request}
+COUNTS = {"hits_by_hour": _hits_by_hour, "hits_by_request": _hits_by_request,
+          "repeated_requests": _repeated_requests}
 #: Dimensions that the summaries need, with the columns that tell their rows apart.
 DIMENSIONS = {
     "dim_status": (star.dim_status, ("status", "status_class", "is_error")),
@@ -146,3 +165,17 @@ def summary_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         for name, (model, counted, needed) in SUMMARIES.items() if name != "kpi_summary"
     }
     return {"kpi_summary": kpi_summary(spark, root), **tables}
+
+
+def unique_requests(spark: SparkSession, silver_root: str, root: str) -> DataFrame:
+    """The check that request ids are unique, from the days' own counts.
+
+    All of silver is compared only where an address could make ids of two days equal.
+    """
+    counts = partial(spark, root, "repeated_requests")
+    if counts.where("odd > 0").isEmpty():
+        failures = counts.agg(F.coalesce(F.sum("repeated"), F.lit(0)).alias("failures"))
+        return quality.result(failures.withColumn("column", F.lit("request_id")), "unique",
+                              "fact_requests")
+    staged = star.stg_requests(read_silver(spark, silver_root))
+    return quality.check_unique(staged, "fact_requests", "request_id", F.unhex("request_id"))

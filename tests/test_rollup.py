@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from fixtures import land, line, spoil
+from fixtures import described, land, line, request, spoil
 from hitloom.operators import addresses
+from hitloom.operators.sinks import write_silver
+from hitloom.operators.star import stg_requests
 from hitloom.plans import rollup
 from hitloom.plans.ingest import load_increment
 from hitloom.plans.warehouse import SUMMARIES, summary_over
@@ -128,3 +130,39 @@ def test_refresh_of_silver_without_rows(spark, places):
     load_increment(spark, str(landing), silver)
     assert rollup.refresh(spark, silver, root) == []
     assert commits.newest(spark, silver) is None or commits.newest(spark, silver).total_rows == 0
+
+
+def add(spark, silver, *requests):
+    """One more load of these rows, whatever silver holds."""
+    folder = commits.new_folder()
+    write_silver(described(spark, *requests), commits.staged(silver, folder))
+    commits.commit_load(spark, silver, commits.newest(spark, silver), folder,
+                        spark.createDataFrame([], commits.LEDGER))
+
+
+def test_a_key_repeated_across_loads_is_found_on_its_day(spark, places):
+    """Only days that the later load touches are read."""
+    _, silver, root = places
+    add(spark, silver, request(), request(at=1), request(at=86_400), request(url=None))
+    rollup.refresh(spark, silver, root)
+    check = rollup.unique_requests(spark, silver, root).first()
+    assert (check["table"], check["column"], check["failures"], check["passed"]) == (
+        "fact_requests", "request_id", 0, True)
+    spoil(f"{silver}/load=000000000001/year=2024/month=1/day=6")
+    add(spark, silver, request(at=86_400, size=7), request(at=86_401))
+    rollup.refresh(spark, silver, root)
+    assert rollup.unique_requests(spark, silver, root).first()["failures"] == 1
+
+
+def test_an_address_that_holds_a_time_makes_ids_of_two_days_equal(spark, places):
+    """Found over all days, as a full check finds it."""
+    _, silver, root = places
+    a = request(addr="x2024-01-07 10:00:00", at=0, method="G", url="/")  # x + its time + own time
+    b = request(addr="x", at=86_400, method="2024-01-06 10:00:00G", url="/")
+    add(spark, silver, a)
+    rollup.refresh(spark, silver, root)
+    add(spark, silver, b)
+    rollup.refresh(spark, silver, root)
+    staged = stg_requests(read_silver(spark, silver))
+    assert staged.select("request_id").distinct().count() == 1
+    assert rollup.unique_requests(spark, silver, root).first()["failures"] == 1
