@@ -244,6 +244,8 @@ FROM described GROUP BY 1, 2, 3""",
     "silver_requests": f"{_SILVER} SELECT * FROM silver",
     "silver_roundtrip":
         f"WITH {ACCESS_LOG}, {LOOKUP}, {_UNTIMED}, {_silver('untimed')} SELECT * FROM silver",
+    "silver_unpartitioned": f"""WITH {ACCESS_LOG}, {LOOKUP}, {_UNTIMED}, {_silver('untimed')}
+SELECT * EXCLUDE ("year", "month", "day") FROM silver""",
     "ingest_metrics": _SILVER + " " + " UNION ALL ".join((
         _rows("raw_lines", "SELECT * FROM access_log"),
         _rows("with_address", "SELECT * FROM access_log WHERE remote_addr IS NOT NULL"),

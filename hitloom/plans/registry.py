@@ -44,7 +44,7 @@ from hitloom.sources.derived_logs import (
 )
 from hitloom.sources.lookup import read_lookup
 from hitloom.sources.raw_logs import fields_of_lines, read_access_logs
-from hitloom.sources.silver import read_silver, silver_view
+from hitloom.sources.silver import flat_silver_view, read_silver, silver_view
 from hitloom.streaming.file_ingest import ingest_new_files, ingest_within
 
 
@@ -140,6 +140,13 @@ def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_view(spark, silver)
 
 
+def silver_unpartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = log_lines(_with_untimed(access_log(spark, sf_dir)))
+    silver = fresh_folder(spark, "silver")
+    load_increment(spark, _landing(spark, sf_dir, lines), silver)
+    return flat_silver_view(spark, silver)
+
+
 def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = fresh_folder(spark, "silver")
     rows = load_increment(spark, _landing(spark, sf_dir), silver)
@@ -433,6 +440,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_requests": deduplicated,
     "silver_requests": silver_requests,
     "silver_roundtrip": silver_roundtrip,
+    "silver_unpartitioned": silver_unpartitioned,
     "ingest_metrics": ingest_metrics,
     "bad_line_counts": bad_line_counts,
     "high_water_mark": high_water,

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hitloom.schemas import SILVER
-from hitloom.sources.commits import loads_since, numbers, read_loads
+from hitloom.sources.commits import data_folders, loads_since, numbers, read_loads
 from hitloom.sources.lookup import path_missing
 
 
@@ -32,6 +33,19 @@ def read_silver(spark: SparkSession, root: str,
     return stored.select(*SILVER.names)
 
 
+def flat_silver_view(spark: SparkSession, root: str, view: str = "silver_files") -> DataFrame:
+    """Register all of silver's files, however deep, as a view of the columns they hold.
+
+    Folder names are not read, so the partition columns are not among them.
+    """
+    held = [field for field in SILVER if field.name not in ("year", "month", "day")]
+    folders = data_folders(spark, root, loads_since(spark, root)) or [root]
+    stored = spark.read.schema(StructType(held)).option(
+        "recursiveFileLookup", True).parquet(*folders)
+    stored.createOrReplaceTempView(view)
+    return spark.table(view)
+
+
 def silver_view(spark: SparkSession, root: str, view: str = "silver_requests") -> DataFrame:
     """Register silver as a view; the root is read, so partitions are discovered."""
     stored = read_silver(spark, root)

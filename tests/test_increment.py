@@ -21,7 +21,7 @@ from hitloom.operators.sinks import write_silver
 from hitloom.plans import ingest
 from hitloom.plans.ingest import STAGES, load_increment, new_requests
 from hitloom.sources import commits
-from hitloom.sources.silver import read_silver, silver_view
+from hitloom.sources.silver import flat_silver_view, read_silver, silver_view
 
 DAY1 = [line(clock=f"22/Jan/2019:10:00:{i:02d}", request=f"GET /{i} HTTP/1.1") for i in range(5)]
 DAY2 = [line(clock=f"23/Jan/2019:10:00:{i:02d}", request=f"GET /{i} HTTP/1.1") for i in range(5)]
@@ -291,3 +291,18 @@ def test_a_load_without_rows_or_files(spark, places):
     assert read_silver(spark, silver) is None
     land(landing, DAY1, month=3)
     assert load_increment(spark, str(landing), silver)["silver_total"] == 5
+
+
+def test_the_flat_view_reads_files_of_loads_and_batches_alike(spark, places, tmp_path):
+    landing, silver = places
+    land(landing, [DAY1[0], UNTIMED])
+    load_increment(spark, str(landing), silver)
+    land(landing, DAY2, month=2)
+    load_increment(spark, str(landing), silver)
+    flat = flat_silver_view(spark, silver, "flat_under_test")
+    assert flat.columns == [c for c in read_silver(spark, silver).columns
+                            if c not in ("year", "month", "day")]
+    assert rows(flat) == rows(read_silver(spark, silver).select(*flat.columns))
+    plain = str(tmp_path / "plain")
+    write_silver(described(spark, request(), request(at=86_400)), f"{plain}/batch_id=0")
+    assert flat_silver_view(spark, plain, "flat_under_test").count() == 2
