@@ -12,6 +12,14 @@ def held_out(key: str, folds: int, remainder: int) -> Column:
     return F.coalesce(fold == remainder, F.lit(False))
 
 
+def one_text_per_id(sample: DataFrame, *marks: str) -> DataFrame:
+    """(doc_id, text, marks...) with one row for each id, so that an id which many rows share
+    counts once; of different texts that of the smaller hash. Rows without id are left out."""
+    return sample.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"),
+        *(F.max(mark).alias(mark) for mark in marks))
+
+
 def bounded_labels(labels: DataFrame, column: str, wanted: int | None, folds: int,
                    remainder: int, bound: int) -> DataFrame:
     """doc_id and label of at most ``bound`` labelled rows outside the held-out fold.

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitloom.llm.labelled import bounded_labels
+from hitloom.llm.labelled import bounded_labels, one_text_per_id
 from hitloom.llm.tables import bounded_slices, in_arrow, row_texts, rows_with_text, texts_of
 
 FOLDS, REMAINDER = 5, 0
@@ -172,18 +172,22 @@ def train_model(rows: np.ndarray, labels: np.ndarray,
 
 def fit(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, remainder: int = REMAINDER,
         bound: int = MOST_LABELLED) -> QualityModel:
-    """Trains on at most ``bound`` labelled documents outside the held-out fold."""
+    """Trains on at most ``bound`` labelled documents outside the held-out fold, one text for
+    each id, whatever rows share it."""
     chosen = bounded_labels(labels, "quality", None, folds, remainder, bound)
-    sample = (documents.select("doc_id", "text")
-              .join(F.broadcast(chosen), "doc_id").select("text", "label"))
+    sample = one_text_per_id(documents.select("doc_id", "text")
+                             .join(F.broadcast(chosen), "doc_id"), "label")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(statistics(texts_of(batch.column(0)))), pa.list_(pa.float64())),
-                 batch.column(1)], names=["statistics", "label"])
+                [batch.column(0), pa.array(list(statistics(texts_of(batch.column(1)))),
+                                           pa.list_(pa.float64())), batch.column(2)],
+                names=["doc_id", "statistics", "label"])
 
-    table = in_arrow(sample, measure, "statistics array<double>, label int").toArrow()
+    kinds = f"doc_id {dict(sample.dtypes)['doc_id']}, statistics array<double>, label int"
+    # In one order, as training draws by place.
+    table = in_arrow(sample, measure, kinds).toArrow().sort_by("doc_id")
     rows = table["statistics"].combine_chunks().flatten().to_numpy().reshape(-1, N_STATISTICS)
     return train_model(rows, table["label"].to_numpy().astype(np.int64))
 

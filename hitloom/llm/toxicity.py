@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitloom.llm.labelled import bounded_labels, held_out
+from hitloom.llm.labelled import bounded_labels, held_out, one_text_per_id
 from hitloom.llm.tables import in_arrow, row_texts, rows_with_text, texts_of
 
 FOLDS, REMAINDER = 4, 2
@@ -166,27 +166,29 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, remainder:
         most_positive: int = MOST_POSITIVE,
         most_unlabelled: int = MOST_UNLABELLED) -> ToxicityModel:
     """Trains on at most ``most_positive`` confirmed toxic documents and about
-    ``most_unlabelled`` of all documents, both outside the held-out fold."""
+    ``most_unlabelled`` of all documents, both outside the held-out fold and one text for
+    each id, whatever rows share it."""
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out("doc_id", folds, remainder))
     prior = known.agg(F.avg("toxic")).first()[0] or 0.0
     toxic = bounded_labels(labels, "toxic", 1, folds, remainder, most_positive)
     share = min(1.0, most_unlabelled / max(1, documents.count()))
     pool = documents.select("doc_id", "text").where(~held_out("doc_id", folds, remainder))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("unlabelled")), F.lit(1 << 30)) < int(share * 2**30)
-    sample = (
+    sample = one_text_per_id(
         pool.join(F.broadcast(toxic), "doc_id", "left")
-        .select("text", (F.col("label") == 1).alias("toxic"), drawn.alias("drawn"))
-        .where(F.col("toxic").isNotNull() | F.col("drawn"))
-    )
+        .select("doc_id", "text", (F.col("label") == 1).alias("toxic"), drawn.alias("drawn"))
+        .where(F.col("toxic").isNotNull() | F.col("drawn")), "toxic", "drawn")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [" ".join(words_of(text)) for text in texts_of(batch.column(0))]
+            found = [" ".join(words_of(text)) for text in texts_of(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.string()), *batch.columns[1:]],
-                names=["words", "toxic", "drawn"])
+                [batch.column(0), pa.array(found, pa.string()), *batch.columns[2:]],
+                names=["doc_id", "words", "toxic", "drawn"])
 
-    table = in_arrow(sample, words, "words string, toxic boolean, drawn boolean").toArrow()
+    kinds = f"doc_id {dict(sample.dtypes)['doc_id']}, words string, toxic boolean, drawn boolean"
+    # In one order, as training goes through the rows by place.
+    table = in_arrow(sample, words, kinds).toArrow().sort_by("doc_id")
 
     def chosen(column: str) -> Iterator[list[str]]:
         for batch in table.select(["words", column]).to_batches():

@@ -9,6 +9,8 @@ import zlib
 import numpy as np
 import pytest
 from llm_fixtures import SF, documents, labels, no_documents, odd_documents  # noqa: F401
+from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from hitloom.llm import pii, quality, toxicity
 from hitloom.llm.registry import QUERIES
@@ -193,3 +195,27 @@ def test_redaction(spark, hard, odd_documents, no_documents):  # noqa: F811
     assert redacted.count() == odd_documents.count()
     assert pii.fit(no_documents).score is None
     assert pii.redact(no_documents, pii.SpanModel()).count() == 0
+
+
+def test_an_id_with_a_third_of_all_rows_counts_once_in_training(spark, documents, labels,  # noqa: F811
+                                                                monkeypatch):
+    """What reaches the driver is bounded by ids, not by rows; rows without id are not drawn."""
+    sizes, collect = [], DataFrame.toArrow
+
+    def counted(frame):
+        table = collect(frame)
+        sizes.append(table.num_rows)
+        return table
+
+    monkeypatch.setattr(DataFrame, "toArrow", counted)
+    n = documents.count()
+    for known in [r.doc_id for r in labels.orderBy("doc_id").limit(4).collect()]:
+        hot = spark.range(n).select(
+            F.lit(known).alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+        none = spark.range(n).select(
+            F.lit(None).cast("bigint").alias("doc_id"), F.lit("x y").alias("text"))
+        rows = documents.select("doc_id", "text").unionByName(hot).unionByName(none)
+        sizes.clear()
+        toxicity.fit(rows, labels)
+        quality.fit(rows, labels)
+        assert len(sizes) == 2 and max(sizes) <= n
