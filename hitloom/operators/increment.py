@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitloom.sources.commits import newest
 from hitloom.sources.folders import matching
 
 PARTITION_COLUMNS = ("year", "month", "day")
@@ -30,7 +31,8 @@ def stored_days(spark: SparkSession, root: str) -> list[tuple[int, int, int]]:
     """
     day = "year=*/month=*/day=*"
     days = set()
-    for path in [*matching(spark, f"{root}/{day}"), *matching(spark, f"{root}/batch_id=*/{day}")]:
+    for path in (path for above in ("", "batch_id=*/", "load=*/")
+                 for path in matching(spark, f"{root}/{above}{day}")):
         values = [part.split("=", 1)[1] for part in path.rstrip("/").split("/")[-3:]]
         if all(value.isdigit() for value in values):
             days.add(tuple(map(int, values)))
@@ -49,7 +51,13 @@ def newest_day(spark: SparkSession, root: str, silver: DataFrame | None) -> Data
 
 def stored_high_water_mark(spark: SparkSession, root: str,
                            silver: DataFrame | None) -> datetime | None:
-    """The latest event time of stored silver; None when it is missing or empty."""
+    """The latest event time of stored silver; None when it is missing or empty.
+
+    Where loads were committed, their newest commit tells it and no data file is opened.
+    """
+    commit = newest(spark, root)
+    if commit is not None:
+        return commit.mark
     return high_water_mark(newest_day(spark, root, silver))
 
 

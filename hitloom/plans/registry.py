@@ -16,6 +16,7 @@ from hitloom.operators.increment import (
     latest_event_time,
     newer_than,
     newest_day,
+    stored_high_water_mark,
 )
 from hitloom.operators.parse import describe_requests, parse_requests
 from hitloom.operators.quarantine import REASONS
@@ -185,10 +186,15 @@ def bad_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As the newest commit tells it, beside what the newest day's files hold."""
     root = _stored_silver(spark, sf_dir)
     silver = read_silver(spark, root)
+    mark = stored_high_water_mark(spark, root, silver)
     day = newest_day(spark, root, silver)
-    return latest_event_time(silver.limit(0) if day is None else day)
+    held = latest_event_time(silver.limit(0) if day is None else day)
+    same = F.col("max_timestamp").eqNullSafe(
+        F.lit(mark and mark.isoformat()).cast("timestamp_ntz"))
+    return held.where(same)
 
 
 def incremental_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
