@@ -129,7 +129,8 @@ def load_increment(spark: SparkSession, landing: str, silver: str,
             lines = read_access_logs(spark, landing, paths).agg(F.count("*"), F.count("_c0"))
             rows = dict(zip(STAGES, (*lines.first(), 0, 0)))
         if quarantine:
-            found = write_quarantine(spark, landing, paths, bad, commits.quarantined(silver, folder))
+            found = write_quarantine(
+                spark, landing, paths, bad, commits.quarantined(silver, folder))
         noted = spark.createDataFrame(files, commits.LEDGER)
         some = {name: n for name, n in found.items() if n}
         total = commits.commit_load(spark, silver, before, folder, noted, some).total_rows

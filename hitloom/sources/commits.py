@@ -155,7 +155,8 @@ def read_loads(spark: SparkSession, root: str, loads: list[Load]) -> DataFrame |
     parts = [read.parquet(folder) for folder in folders if folder not in renamed]
     if renamed:
         parts.insert(0, read.option("basePath", root).parquet(*renamed))
-    return reduce(DataFrame.unionByName, (p.select(*SILVER.names) for p in parts)) if parts else None
+    parts = [part.select(*SILVER.names) for part in parts]
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:

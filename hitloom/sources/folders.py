@@ -74,7 +74,8 @@ def write_text_once(spark: SparkSession, file: str, text: str) -> None:
         system.getUri(), spark._jsc.hadoopConfiguration())
     rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
     try:
-        context.rename(draft, _path(spark, file)[0], spark.sparkContext._gateway.new_array(rename, 0))
+        no_options = spark.sparkContext._gateway.new_array(rename, 0)
+        context.rename(draft, _path(spark, file)[0], no_options)
     except Py4JJavaError as error:
         system.delete(draft, False)
         if "FileAlreadyExists" in error.java_exception.getClass().getName():

@@ -16,9 +16,9 @@ def read_silver(spark: SparkSession, root: str,
                 except_batch: int | None = None) -> DataFrame | None:
     """Silver with its partition columns, or None where nothing was ever written.
 
-    Where loads were committed, the rows of just these are read. The schema is given, so no file is opened to infer it. Batches written by the
-    stream lie below ``batch_id=`` folders; one may be left out, and selecting by
-    name hides that column.
+    Where loads were committed, the rows of just these are read. The schema is given, so no
+    file is opened to infer it. Batches written by the stream lie below ``batch_id=``
+    folders; one may be left out, and selecting by name hides that column.
     """
     if numbers(spark, root):
         return read_loads(spark, root, loads_since(spark, root))
