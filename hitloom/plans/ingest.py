@@ -56,8 +56,11 @@ def _metrics(observation: Observation) -> dict[str, int] | None:
 def unread_files(spark: SparkSession, landing: str, silver: str,
                  before: commits.Commit | None) -> DataFrame:
     """Landed files that no load has read as they are now: new ones and changed ones."""
+    landed = landed_files(spark, landing)
+    if before is None:
+        return landed
     known = commits.known_files(spark, silver, before)
-    return landed_files(spark, landing).join(known, known.columns, "left_anti")
+    return landed.join(known, known.columns, "left_anti")
 
 
 def new_requests(spark: SparkSession, landing: str, mark: datetime | None,
