@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.session import MIB
+from hitloom.session import MIB, fresh_folder
 from hitloom.sources.lookup import address_names
 
 BROADCAST_BYTES = 64 * MIB
@@ -66,7 +66,7 @@ def shuffled_names(requests: DataFrame, names: DataFrame, share: int) -> DataFra
     Rows of hot addresses meet a broadcast of just those addresses' names and are
     not shuffled; every address left over is a small share of the rows, so the
     shuffle join of the rest is even. The hash only routes rows: both sides join
-    on the address itself.
+    on the address itself. The requests are read three times, so they should be stored.
     """
     hot = F.broadcast(hot_addresses(requests, share))
     is_hot_row = F.xxhash64(requests["remote_addr"]) == hot["hot_hash"]
@@ -84,12 +84,16 @@ def without_names(requests: DataFrame) -> DataFrame:
 
 def enrich_hostnames(requests: DataFrame, lookup: DataFrame | None,
                      address_column: str | None = None, host_column: str | None = None,
-                     broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                     broadcast_bytes: int = BROADCAST_BYTES,
+                     folder: str | None = None) -> DataFrame:
     """Add ``client_hostname``; null where the lookup has no match or is unusable.
 
     The lookup is broadcast only when its measured size is within
     ``broadcast_bytes``; a larger one takes the shuffle join, where as many
-    addresses count as hot as names of the widest row's size may be broadcast.
+    addresses count as hot as names of the widest row's size may be broadcast. That join
+    reads the requests three times, so they are first stored in ``folder``, or one of its
+    own: whatever brings them, such as the state of a stream, runs once, and what is counted
+    on the way counts once.
     """
     names = None if lookup is None else address_names(lookup, address_column, host_column)
     if names is None:
@@ -99,4 +103,7 @@ def enrich_hostnames(requests: DataFrame, lookup: DataFrame | None,
     if size.total <= broadcast_bytes:
         return broadcast_names(requests, unique)
     share = max(1, min(HOT_SHARE, BROADCAST_BYTES // size.widest))
-    return shuffled_names(requests, unique, share)
+    folder = folder or fresh_folder(requests.sparkSession, "unnamed")
+    requests.write.parquet(folder)
+    stored = requests.sparkSession.read.schema(requests.schema).parquet(folder)
+    return shuffled_names(stored, unique, share)

@@ -16,6 +16,7 @@ from hitloom.operators.quarantine import REASONS, bad_lines, reason_counts
 from hitloom.operators.sinks import write_silver
 from hitloom.schemas import TABLES, conform
 from hitloom.sources import commits
+from hitloom.sources.folders import scratch_folder
 from hitloom.sources.lookup import read_lookup
 from hitloom.sources.raw_logs import landed_files, read_access_logs
 from hitloom.sources.silver import read_silver
@@ -24,13 +25,14 @@ from hitloom.sources.silver import read_silver
 STAGES = ("raw_lines", "with_address", "newer", "written")
 
 
-def refine(requests: DataFrame, lookup: DataFrame | None) -> DataFrame:
+def refine(requests: DataFrame, lookup: DataFrame | None,
+           folder: str | None = None) -> DataFrame:
     """Deduplicate, name and describe typed requests.
 
     An address has one name, so naming after deduplication gives the same rows
-    from a smaller input.
+    from a smaller input. ``folder`` is for what ``enrich_hostnames`` stores.
     """
-    return describe_requests(enrich_hostnames(dedup_requests(requests), lookup))
+    return describe_requests(enrich_hostnames(dedup_requests(requests), lookup, folder=folder))
 
 
 def _counted(df: DataFrame, observation: Observation) -> DataFrame:
@@ -66,7 +68,7 @@ def unread_files(spark: SparkSession, landing: str, silver: str,
 def new_requests(spark: SparkSession, landing: str, mark: datetime | None,
                  seen: dict[str, Observation], files: list[str] | None = None,
                  keep_late: bool = False, stored: DataFrame | None = None,
-                 bad: Observation | None = None) -> DataFrame:
+                 bad: Observation | None = None, folder: str | None = None) -> DataFrame:
     """Silver rows of the landed requests newer than the mark, counted on the way.
 
     With ``keep_late`` rows of any time are new, but for those whose key ``stored`` holds.
@@ -77,10 +79,10 @@ def new_requests(spark: SparkSession, landing: str, mark: datetime | None,
         raw = raw.observe(bad, *reason_counts())
     parsed = _counted(parse_requests(raw), seen["with_address"])
     newer = _counted(newer_than(parsed, None if keep_late else mark), seen["newer"])
-    refined = refine(newer, read_lookup(spark, landing))
+    refined = refine(newer, read_lookup(spark, landing), folder)
     if keep_late and stored is not None:
         refined = not_yet_stored(refined, stored)
-    return _counted(refined, seen["written"])
+    return refined
 
 
 def write_quarantine(spark: SparkSession, landing: str, files: list[str], counts: Observation,
@@ -110,9 +112,9 @@ def load_increment(spark: SparkSession, landing: str, silver: str,
     them is loaded all the same. They are counted on the load's scan; only files with any
     are read once more for them.
 
-    The counts of the stages ride on the write itself. They are for monitoring: a task that
-    is run again after an executor is lost may count twice. Silver's total comes from the
-    rows as stored.
+    The counts of the stages before ``written`` ride on the scan. They are for monitoring: a
+    task that is run again after an executor is lost may count twice. The rows written and
+    silver's total come from the rows as stored.
     """
     before = commits.settle(spark, silver)
     files = unread_files(spark, landing, silver, before).collect()  # as many as Spark lists
@@ -120,21 +122,23 @@ def load_increment(spark: SparkSession, landing: str, silver: str,
     found = dict.fromkeys(REASONS if quarantine else (), 0)
     total = before.total_rows if before else 0
     if files:
-        seen = {stage: Observation(stage) for stage in STAGES}
+        seen = {stage: Observation(stage) for stage in STAGES[:-1]}
         folder, paths = commits.new_folder(), [file["path"] for file in files]
         mark = before.mark if before else None
         stored = read_silver(spark, silver) if keep_late else None
         bad = Observation("bad_lines") if quarantine else None
-        write_silver(new_requests(spark, landing, mark, seen, paths, keep_late, stored, bad),
-                     commits.staged(silver, folder))
+        with scratch_folder(spark, "unnamed") as unnamed:
+            write_silver(new_requests(spark, landing, mark, seen, paths, keep_late, stored, bad,
+                                      unnamed), commits.staged(silver, folder))
         rows = {stage: _rows(observation) for stage, observation in seen.items()}
         if None in rows.values():
             lines = read_access_logs(spark, landing, paths).agg(F.count("*"), F.count("_c0"))
-            rows = dict(zip(STAGES, (*lines.first(), 0, 0)))
+            rows = dict(zip(STAGES, (*lines.first(), 0)))
         if quarantine:
             found = write_quarantine(
                 spark, landing, paths, bad, commits.quarantined(silver, folder))
         noted = spark.createDataFrame(files, commits.LEDGER)
         some = {name: n for name, n in found.items() if n}
-        total = commits.commit_load(spark, silver, before, folder, noted, some).total_rows
+        commit = commits.commit_load(spark, silver, before, folder, noted, some)
+        rows["written"], total = commit.loads[-1].rows, commit.total_rows
     return {**rows, "silver_total": total, **{f"bad_{name}": n for name, n in found.items()}}

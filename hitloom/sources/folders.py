@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+from hitloom.session import fresh_folder
+
 
 def _path(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -36,6 +40,16 @@ def remove(spark: SparkSession, folder: str) -> None:
     system.delete(path, True)
 
 
+@contextmanager
+def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """A path below the shared folder that is removed at the end, if anything took it."""
+    folder = fresh_folder(spark, label)
+    try:
+        yield folder
+    finally:
+        remove(spark, folder)
+
+
 def exists(spark: SparkSession, folder: str) -> bool:
     path, system = _path(spark, folder)
     return system.exists(path)

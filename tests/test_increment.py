@@ -3,6 +3,7 @@ from __future__ import annotations
 import glob
 import os
 from datetime import datetime
+from functools import partial
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from fixtures import described, land, land_lookup_csv, line, request, spoil
+from hitloom.operators import enrich
 from hitloom.operators.increment import (
     high_water_mark,
     newer_than,
@@ -20,7 +22,9 @@ from hitloom.operators.increment import (
 from hitloom.operators.sinks import write_silver
 from hitloom.plans import ingest
 from hitloom.plans.ingest import STAGES, load_increment, new_requests
+from hitloom.session import shared_folder
 from hitloom.sources import commits
+from hitloom.sources.folders import matching
 from hitloom.sources.silver import flat_silver_view, read_silver, silver_view
 
 DAY1 = [line(clock=f"22/Jan/2019:10:00:{i:02d}", request=f"GET /{i} HTTP/1.1") for i in range(5)]
@@ -306,3 +310,18 @@ def test_the_flat_view_reads_files_of_loads_and_batches_alike(spark, places, tmp
     plain = str(tmp_path / "plain")
     write_silver(described(spark, request(), request(at=86_400)), f"{plain}/batch_id=0")
     assert flat_silver_view(spark, plain, "flat_under_test").count() == 2
+
+
+def test_counts_hold_when_the_lookup_is_too_large_to_broadcast(spark, tmp_path, monkeypatch):
+    """The join by shuffle reads the requests three times; each line counts once."""
+    join = ingest.enrich_hostnames
+    monkeypatch.setattr(ingest, "enrich_hostnames", partial(join, broadcast_bytes=0))
+    monkeypatch.setattr(enrich, "HOT_SHARE", 1)  # so no address is hot
+    landing, silver = tmp_path / "landing", str(tmp_path / "silver")
+    land(landing, [line(size=str(i // 2), request=f"GET /{i // 2} HTTP/1.1") for i in range(10)])
+    land_lookup_csv(landing, "client_ip,hostname\n1.2.3.4,one\n5.6.7.8,two\n")
+    before = matching(spark, f"{shared_folder(spark)}/hitloom/unnamed-*")
+    counted = load_increment(spark, str(landing), silver)
+    assert [counted[stage] for stage in STAGES] == [10, 10, 10, 5]
+    assert rows(read_silver(spark, silver), "client_hostname") == [("one",)] * 5
+    assert matching(spark, f"{shared_folder(spark)}/hitloom/unnamed-*") == before
