@@ -16,6 +16,7 @@ from hitloom.operators.dedup import first_within, not_yet_stored
 from hitloom.operators.parse import parse_requests
 from hitloom.operators.sinks import write_silver
 from hitloom.plans.ingest import refine
+from hitloom.sources.folders import scratch_folder
 from hitloom.sources.lookup import read_lookup
 from hitloom.sources.raw_logs import stream_access_logs
 from hitloom.sources.silver import read_silver
@@ -40,12 +41,13 @@ def ingest_new_files(spark: SparkSession, landing: str, silver: str, checkpoint:
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        requests = refine(batch, read_lookup(session, landing))
-        if dedup_across_batches:
-            earlier = read_silver(session, silver, except_batch=batch_id)
-            if earlier is not None:
-                requests = not_yet_stored(requests, earlier)
-        write_silver(requests, f"{silver}/batch_id={batch_id}", mode="overwrite")
+        with scratch_folder(session, "unnamed") as unnamed:
+            requests = refine(batch, read_lookup(session, landing), unnamed)
+            if dedup_across_batches:
+                earlier = read_silver(session, silver, except_batch=batch_id)
+                if earlier is not None:
+                    requests = not_yet_stored(requests, earlier)
+            write_silver(requests, f"{silver}/batch_id={batch_id}", mode="overwrite")
         written.add(batch_id)
 
     query = (
@@ -104,8 +106,10 @@ def ingest_within(spark: SparkSession, landing: str, silver: str, checkpoint: st
     written = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        requests = refine(batch, read_lookup(batch.sparkSession, landing))
-        write_silver(requests, f"{silver}/batch_id={batch_id}", mode="overwrite")
+        session = batch.sparkSession
+        with scratch_folder(session, "unnamed") as unnamed:
+            requests = refine(batch, read_lookup(session, landing), unnamed)
+            write_silver(requests, f"{silver}/batch_id={batch_id}", mode="overwrite")
         written.append(batch_id)
 
     requests = first_within(requests_stream(spark, landing, max_files_per_trigger), delay)

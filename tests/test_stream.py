@@ -2,14 +2,17 @@ from __future__ import annotations
 
 import glob
 import os
+from functools import partial
 
 import pytest
 
 from conftest import plan, rows
 from fixtures import land, land_lookup_csv, line, spoil
+from hitloom.operators import enrich
 from hitloom.operators.dedup import dedup_requests, not_yet_stored
 from hitloom.operators.parse import parse_requests
 from hitloom.operators.sinks import write_silver
+from hitloom.plans import ingest
 from hitloom.plans.ingest import load_increment, refine
 from hitloom.sources.lookup import read_lookup
 from hitloom.sources.raw_logs import read_access_logs
@@ -123,3 +126,17 @@ def test_state_remembers_keys_within_the_delay(spark, places):
     names = sorted(os.listdir(silver))
     assert sum(spark.read.parquet(f"{silver}/{n}").count() for n in names[-1:]
                if glob.glob(f"{silver}/{n}/*=*")) <= 1
+
+
+def test_a_batch_runs_once_when_the_lookup_is_too_large_to_broadcast(spark, places, monkeypatch):
+    """The join by shuffle reads the requests three times, the state of the stream does not."""
+    join, taken = ingest.enrich_hostnames, []
+    monkeypatch.setattr(ingest, "enrich_hostnames", partial(join, broadcast_bytes=0))
+    shuffled = enrich.shuffled_names
+    monkeypatch.setattr(enrich, "shuffled_names", lambda requests, names, share: (
+        taken.append(plan(requests)), shuffled(requests, names, share))[1])
+    landing, silver, state = places
+    land(landing, NEW + LATE)
+    assert ingest_within(spark, str(landing), silver, state, "2 days").batches == 1
+    assert taken and not any("Deduplicate" in text or "csv" in text for text in taken)
+    assert len(rows(read_silver(spark, silver))) == 7
