@@ -18,6 +18,7 @@ Columns of the input are kept; those made here begin with two underscores.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassifier, GBTClassificationModel
@@ -28,7 +29,6 @@ from pyspark.sql import functions as F
 from hitloom.llm.tables import written
 
 KINDS = ("email", "ip", "card", "phone")
-TRAINING_DOCUMENTS = 20_000
 PRECISION = 0.99
 LEAST_THRESHOLD = 0.5
 
@@ -288,32 +288,38 @@ def _model_sql(model: GBTClassificationModel) -> str:
 
 
 def fit(documents: DataFrame, text: str = "text", key: str = "doc_id",
-        most: int = TRAINING_DOCUMENTS, precision: float = PRECISION) -> SpanModel:
-    """Trees and thresholds from the candidates of about ``most`` documents.
+        precision: float = PRECISION) -> SpanModel:
+    """Trees and thresholds from the candidates of all documents.
 
-    Documents are drawn by the hash of their key; every fourth serves to calibrate.
+    Every fourth document by the hash of its key serves to calibrate. Equal examples are one
+    row with their number as its weight, which trains the same trees.
     """
-    share = min(1.0, most / max(1, documents.count()))
-    draw = F.pmod(F.xxhash64(F.col(key), F.lit("pii")), F.lit(1 << 30))
-    drawn = documents.select(key, text).where(draw < int(share * 2**30))
     # Stored, so that the texts are searched once, whatever is pulled out of the examples.
-    spans = written(base_spans(drawn, text).select(key, "__text", "__base", "__wide"), "pii-spans")
+    spans = written(base_spans(documents.select(key, text), text).where("size(__wide) > 0")
+                    .select(key, "__text", "__base", "__wide"), "pii-spans")
     rows = written(
-        candidates(spans.where("size(__wide) > 0"), training=True)
+        candidates(spans, training=True)
         .select(F.pmod(F.xxhash64(key), F.lit(4)).alias("fold"), F.explode("__candidates").alias("c"))
-        .select("fold", "c.kind", "c.f", F.col("c.label").cast("double").alias("label")),
+        .select((F.col("fold") == 0).alias("held"), "c.kind", "c.f",
+                F.col("c.label").cast("double").alias("label"))
+        .groupBy("held", "kind", "f", "label").agg(F.count("*").alias("n")),
         "pii-candidates")
-    training, held = rows.where("fold > 0"), rows.where("fold = 0")
+    training, held = rows.where("NOT held"), rows.where("held")
     if len(training.select("label").distinct().collect()) < 2:
         return SpanModel()
-    model = GBTClassifier(maxIter=8, maxDepth=3, seed=7, stepSize=0.3).fit(
-        training.select("label", array_to_vector("f").alias("features")))
+    examples = training.groupBy("f", "label").agg(F.sum("n").cast("double").alias("weight"))
+    # Spark draws rows to find where to split unless there are no more than bins squared.
+    bins = max(32, math.isqrt(training.count()) + 1)
+    model = GBTClassifier(maxIter=8, maxDepth=3, seed=7, stepSize=0.3, maxBins=bins,
+                          weightCol="weight").fit(
+        examples.select("label", "weight", array_to_vector("f").alias("features")))
     score = _model_sql(model)
     counted = (
-        held.select("kind", "label",
+        held.select("kind", "label", "n",
                     F.expr(f"floor(100 * element_at(transform(array(named_struct('f', f)), "
                            f"c -> {score}), 1))").cast("int").alias("step"))
-        .groupBy("kind", "step").agg(F.count("*").alias("n"), F.sum("label").alias("right"))
+        .groupBy("kind", "step").agg(
+            F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("right"))
         .collect()
     )
     thresholds = {}

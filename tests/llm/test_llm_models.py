@@ -219,3 +219,14 @@ def test_an_id_with_a_third_of_all_rows_counts_once_in_training(spark, documents
         toxicity.fit(rows, labels)
         quality.fit(rows, labels)
         assert len(sizes) == 2 and max(sizes) <= n
+
+
+def test_all_documents_train_the_trees(spark, monkeypatch):
+    documents = spark.range(20_400).selectExpr(
+        "id AS doc_id", "concat('write to a', id, '@example.org') AS text")
+    stored, store = {}, pii.written
+    monkeypatch.setattr(
+        pii, "written", lambda frame, label: stored.setdefault(label, store(frame, label)))
+    pii.fit(documents)
+    assert stored["pii-spans"].count() == 20_400
+    assert stored["pii-candidates"].where("label = 1").agg({"n": "sum"}).first()[0] >= 20_400
