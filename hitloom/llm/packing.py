@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitloom.llm.tables import bounded_slices, in_arrow, partitions_for, texts_of, written
-from hitloom.llm.word_cache import byte_level_chunks, byte_level_form, library_cache
+from hitloom.llm.word_cache import byte_level_chunks, byte_level_form, library_words
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
@@ -38,8 +38,7 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 @lru_cache(maxsize=2)
 def _encoder(path: str):
-    # A line end between words is a pre-token and an id by itself.
-    return library_cache(path, "\n", byte_level_chunks, byte_level_form)
+    return library_words(path, byte_level_chunks, byte_level_form)
 
 
 def document_pieces(documents: DataFrame, text: str = "text", key: str = "doc_id",

@@ -12,6 +12,7 @@ import re
 import string
 from array import array
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 
@@ -22,6 +23,13 @@ _UNUSUAL = re.compile(r"\s\s|\A\s|\s\Z|[^\S \n]|\x00|<\|")
 #: ASCII punctuation but the apostrophe, which may start a pre-token with letters.
 _MARKS = string.punctuation.replace("'", "")
 
+#: Letters by every version of Unicode; those of later versions differ between libraries.
+_LATIN = re.compile("[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+
+#: The letters that byte-level models write for bytes that are not printed.
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_LETTERS = {byte: 0x100 + n for n, byte in enumerate(sorted({*range(256)} - _PRINTED))}
+
 EncodeMany = Callable[[list[str]], list[bytes]]
 
 
@@ -46,9 +54,15 @@ def byte_level_chunks(text: str) -> list[str] | None:
 
 
 def byte_level_form(word: str) -> str | None:
-    """An ASCII word in the letters of a byte-level model; None for others."""
+    """A word of Latin letters in the letters of a byte-level model; None for others."""
     letters = word.removeprefix(" ")
-    if not (letters.isascii() and letters.isalpha()):
+    if letters.isascii():
+        if not letters.isalpha():
+            return None
+    elif _LATIN.fullmatch(letters):
+        letters = letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return f"Ġ{letters}" if word[0] == " " else letters
+    else:
         return None
     return letters if letters is word else f"Ġ{letters}"
 
@@ -124,6 +138,62 @@ class ChunkCache:
                 for i, words in enumerate(cut)]
 
 
+class _Words(dict):
+    """Ids of chunks; ``find`` gives those of a chunk that is asked for the first time."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        super().__init__({"": b""})
+        self.find = find
+
+    def __missing__(self, word: str) -> bytes:
+        return self.find(word)
+
+
+class WordCache:
+    """What ``ChunkCache`` does, for an encoder that takes one chunk as fast as many.
+
+    Each chunk is looked up once, in its place, and encoded there if it is new; no sets of
+    chunks are gathered and compared beforehand, which cost more than the encoding itself.
+    """
+
+    def __init__(self, chunks: Callable[[str], list[str] | None], encode: Callable[[str], bytes],
+                 encode_whole: EncodeMany, capacity: int = 300_000, longest: int = 64):
+        self.chunks, self.encode, self.encode_whole = chunks, encode, encode_whole
+        self.capacity, self.longest = capacity, longest
+        self.young, self.old = _Words(self._find), _Words(self._find)
+        # Long chunks of the text at hand.
+        self.long: dict[str, bytes] = {}
+
+    def _find(self, word: str) -> bytes:
+        if len(word) > self.longest:
+            if word not in self.long:
+                self.long[word] = self.encode(word)
+            return self.long[word]
+        ids = self.old.get(word)
+        if ids is None:
+            # Marks after a letter are no part of its pre-token; words recur with other marks.
+            base = word.rstrip(_MARKS) if word[-1] in _MARKS else ""
+            if base and base[-1].isalpha():
+                ids = self.young[base] + self.young[word[len(base):]]
+            else:
+                ids = self.encode(word)
+        self.young[word] = ids
+        return ids
+
+    def _encoded(self, text: str) -> bytes:
+        if len(self.young) > self.capacity:
+            self.old, self.young = self.young, _Words(self._find)
+        words = self.chunks(text)
+        if words is None:
+            return self.encode_whole([text])[0]
+        ids = b"".join(map(self.young.__getitem__, words))
+        self.long.clear()
+        return ids
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        return list(map(self._encoded, texts))
+
+
 def vocabulary_size(path: str) -> int:
     """One more than the largest id of the tokenizers vocabulary file at ``path``."""
     from tokenizers import Tokenizer
@@ -135,6 +205,11 @@ def _bytes(ids: list[int]) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
+def _encoded_whole(tokenizer, texts: list[str]) -> list[bytes]:
+    encoded = (tokenizer.encode_batch_fast([t], add_special_tokens=False)[0] for t in texts)
+    return [_bytes(e.ids) for e in encoded]
+
+
 def library_cache(path: str, separator: str, chunks: Callable[[str], list[str] | None],
                   form: Callable[[str], str | None] = lambda word: None) -> ChunkCache:
     """Ids of the tokenizers library for the vocabulary file at ``path``.
@@ -148,10 +223,7 @@ def library_cache(path: str, separator: str, chunks: Callable[[str], list[str] |
 
     tokenizer = Tokenizer.from_file(path)
     (mark,) = tokenizer.encode(separator, add_special_tokens=False).ids
-
-    def whole(texts: list[str]) -> list[bytes]:
-        encoded = (tokenizer.encode_batch_fast([t], add_special_tokens=False)[0] for t in texts)
-        return [_bytes(e.ids) for e in encoded]
+    whole = partial(_encoded_whole, tokenizer)
 
     def groups(words: list[str]) -> Iterator[list[str]]:
         for start in range(0, len(words), 1000):
@@ -180,6 +252,28 @@ def library_cache(path: str, separator: str, chunks: Callable[[str], list[str] |
     return ChunkCache(chunks, many, whole)
 
 
+def library_words(path: str, chunks: Callable[[str], list[str] | None],
+                  form: Callable[[str], str | None]) -> WordCache:
+    """Ids of the tokenizers library for the vocabulary file at ``path``, word by word.
+
+    Words that are one pre-token, for which ``form`` gives their letters in the model's
+    alphabet, go to the library's model directly.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    whole, pieces = partial(_encoded_whole, tokenizer), tokenizer.model.tokenize
+
+    def encode(word: str) -> bytes:
+        letters = form(word)
+        if letters is None:
+            return whole([word])[0]
+        return array("I", [p.id for p in pieces(letters)]).tobytes()
+
+    return WordCache(chunks, encode, whole)
+
+
 def _between(ids: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
     start = 0
     for end in ends:

@@ -304,6 +304,29 @@ def test_long_chunks_are_encoded_but_not_kept():
     assert got == [encode.encode_whole([text])[0] for text in texts]
 
 
+def test_words_are_looked_up_once_and_encoded_in_place():
+    """Sets of words were gathered, compared and split before anything was encoded."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    path = public_tokenizers.path(packing.VOCABULARY)
+    encode = word_cache.library_words(
+        path, word_cache.byte_level_chunks, word_cache.byte_level_form)
+    asked, one = [], encode.encode
+    encode.encode = lambda word: asked.append(word) or one(word)
+    texts = ["a word, a word. word", "word) and\nwords", "it's 'tis, don't", "x  y", " z", ""]
+    assert encode(texts) == [encode.encode_whole([t])[0] for t in texts]
+    assert len(asked) == len(set(asked))
+    assert {"a", " word", ",", ".", ")", " and"} <= set(asked) and " word," not in asked
+    encode.capacity = 3
+    encode.longest = 5
+    assert encode(texts * 2) == [encode.encode_whole([t])[0] for t in texts * 2]
+    # A letter by itself, in a word, after a blank and before marks, of all of one or two bytes.
+    for c in map(chr, range(1, 0x800)):
+        texts = [c, f"a{c}{c}b", f"a {c}a {c} a{c}, b"]
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encode(texts)] == want, hex(ord(c))
+    assert word_cache.byte_level_form(" Óíñ") == "ĠÃĵÃŃÃ±"
+
+
 OUTSIDE = """
 import sys
 sys.path.insert(0, {root!r})
