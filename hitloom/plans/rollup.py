@@ -9,7 +9,7 @@ are replaced by the same rows, and only its mark, written last, moves it on.
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +25,8 @@ from hitloom.sources.silver import read_silver
 
 #: The day of a partial, 20240131; 0 for requests without a time.
 DAY = "day"
+#: Days that a task writes the partials of, about.
+DAYS_EACH = 64
 Day = tuple[int | None, int | None, int | None]
 
 
@@ -85,16 +87,29 @@ def touched_days(loads: list[commits.Load]) -> list[Day]:
 
 
 def on_days(silver: DataFrame, days: list[Day]) -> DataFrame:
-    """The requests of these days; only their partitions are read."""
-    def one(day: Day) -> Column:
-        parts = zip(("year", "month", "day"), day, strict=True)
-        return reduce(lambda a, b: a & b, (F.col(name).eqNullSafe(F.lit(v)) for name, v in parts))
-    return silver.where(reduce(lambda a, b: a | b, map(one, days)))
+    """The requests of these days; only their partitions are read.
+
+    The days are one set of numbers: as conditions joined by ``or`` they nest as deep as
+    there are days, which some thousand are too many for.
+    """
+    numbers = [0 if None in day else day[0] * 10_000 + day[1] * 100 + day[2] for day in days]
+    return silver.where(calendar.day_number().isin(numbers))
+
+
+def _gathered(partial: DataFrame, days: int) -> DataFrame:
+    """The rows of each day side by side.
+
+    Rebalancing puts as many days into one task as are small, and that writes their folders
+    one after the other; beyond ``DAYS_EACH`` days they are therefore dealt out by number,
+    and only among fewer days is a far larger one split.
+    """
+    tasks = math.ceil(days / DAYS_EACH)
+    return partial.hint("rebalance", DAY) if tasks < 2 else partial.repartition(tasks, DAY)
 
 
-def _replace(partial: DataFrame, folder: str) -> None:
-    """Replace the days that the partial holds; others stay as they are."""
-    (partial.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY)
+def _replace(partial: DataFrame, folder: str, days: int) -> None:
+    """Replace the days, so many, that the partial holds; others stay as they are."""
+    (_gathered(partial, days).write.mode("overwrite").partitionBy(DAY)
      .option("partitionOverwriteMode", "dynamic").parquet(folder))
 
 
@@ -125,9 +140,10 @@ def refresh(spark: SparkSession, silver_root: str, root: str) -> list[Day]:
         rows = on_days(read_silver(spark, silver_root), days)
         staged = star.stg_requests(rows)
         for name, count in COUNTS.items():
-            _replace(count(staged), f"{root}/{name}")
+            _replace(count(staged), f"{root}/{name}", len(days))
         for name, (_, columns) in DIMENSIONS.items():
-            _replace(_with_day(staged).select(DAY, *columns).distinct(), f"{root}/{name}")
+            _replace(_with_day(staged).select(DAY, *columns).distinct(), f"{root}/{name}",
+                     len(days))
         known = _numbers(spark, root, marks[-1] if marks else 0)
         # Of a refresh that died, the numbers are given again, and alike.
         addresses.number_new(rows, known).write.mode("overwrite").parquet(
@@ -135,7 +151,7 @@ def refresh(spark: SparkSession, silver_root: str, root: str) -> list[Day]:
         # The key figures leave out requests without a status.
         counted = _with_day(staged).where("status IS NOT NULL")
         _replace(addresses.address_bitmaps(counted, _numbers(spark, root, mark), DAY),
-                 f"{root}/addresses_by_day")
+                 f"{root}/addresses_by_day", len(days))
     write_text_once(spark, f"{root}/_marks/{mark:012d}.json", "{}")
     return days
 

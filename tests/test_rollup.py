@@ -166,3 +166,24 @@ def test_an_address_that_holds_a_time_makes_ids_of_two_days_equal(spark, places)
     staged = stg_requests(read_silver(spark, silver))
     assert staged.select("request_id").distinct().count() == 1
     assert rollup.unique_requests(spark, silver, root).first()["failures"] == 1
+
+
+def test_thousands_of_days_are_picked(spark):
+    """As conditions joined by ``or`` they overflowed the stack from some 1,800 days on."""
+    days = [(2000 + n // 336, 1 + n // 28 % 12, 1 + n % 28) for n in range(5000)]
+    silver = spark.createDataFrame(
+        [(*day, i) for i, day in enumerate([*days, (1999, 1, 1), (None, None, None)])],
+        "year INT, month INT, day INT, n INT")
+    picked = rollup.on_days(silver, [(None, None, None), *days[1:]])
+    assert sorted(r.n for r in picked.collect()) == [*range(1, 5000), 5001]
+    assert [r.n for r in rollup.on_days(silver, [(1999, 1, 1)]).collect()] == [5000]
+
+
+def test_many_days_are_written_by_several_tasks(spark):
+    """One task wrote the folders of all small days one after the other."""
+    rows_of = spark.range(3000).select((F.col("id") % 300).cast("int").alias("day"), "id")
+    tasks = rollup._gathered(rows_of, 300).select("day", F.spark_partition_id().alias("task"))
+    assert tasks.select("task").distinct().count() > 1
+    assert tasks.distinct().count() == 300
+    few = rollup._gathered(rows_of, 3).select(F.spark_partition_id().alias("task"))
+    assert few.distinct().count() == 1
