@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,10 +105,12 @@ def _keyed(documents: DataFrame, text: str, key: str) -> DataFrame:
     return documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
 
-def prefix_postings(documents: DataFrame, often: Membership, width: int, num: int, den: int,
+def prefix_postings(documents: DataFrame, shared: Broadcast, width: int, num: int, den: int,
                     text: str, key: str) -> DataFrame:
-    """(gram, set_id, place) for the first n-grams of every set in the global order."""
-    shared = documents.sparkSession.sparkContext.broadcast(often)
+    """(gram, set_id, place) for the first n-grams of every set in the global order.
+
+    ``shared`` holds the n-grams that are often.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # of one task's rows
@@ -134,11 +137,11 @@ def prefix_postings(documents: DataFrame, often: Membership, width: int, num: in
         "gram bigint, set_id bigint, place int")
 
 
-def fragments(documents: DataFrame, wanted: Membership, sets: Membership, often: Membership,
-              numbers: list[int], width: int, text: str, key: str) -> DataFrame:
+def fragments(documents: DataFrame, shared: Broadcast, numbers: list[int], width: int, text: str,
+              key: str) -> DataFrame:
     """(set_id, fragment, grams) of the documents that ``wanted`` may hold, with sets that
-    ``sets`` may hold. A set comes once a task."""
-    shared = documents.sparkSession.sparkContext.broadcast((wanted, sets, often))
+    ``sets`` may hold. A set comes once a task. ``shared`` holds both and the n-grams that
+    are often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, sets, often = shared.value
@@ -214,9 +217,12 @@ class _Verifier:
     def _parts(self, pairs: DataFrame, numbers: list[int]) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
         found = self.heads.join(ids, "set_id")
+        shared = self.documents.sparkSession.sparkContext.broadcast(
+            (Membership.of(found, "head"), Membership.of(ids, "set_id"), self.often))
         parts = written(
-            fragments(self.documents, Membership.of(found, "head"), Membership.of(ids, "set_id"),
-                      self.often, numbers, self.width, self.text, self.key), "fragments")
+            fragments(self.documents, shared, numbers, self.width, self.text, self.key),
+            "fragments")
+        shared.destroy()  # else it stays in the driver's memory until that collects its garbage
         repeated = parts.groupBy("set_id", "fragment").count().where("count > 1")
         repeated = repeated.select("set_id").distinct()
         if repeated.isEmpty():
@@ -267,7 +273,8 @@ def ngram_components(documents: DataFrame, width: int = 5, num: int = 80, den: i
         sets.where("n > 0 AND doc_id IS NOT NULL")
         .groupBy("set_id").agg(F.min("doc_id").alias("head"), F.max("n").alias("n"),
                                *(F.max(w).alias(w) for w in SKETCH)), "set-heads")
-    postings = prefix_postings(documents, often, width, num, den, text, key)
+    shared = documents.sparkSession.sparkContext.broadcast(often)
+    postings = prefix_postings(documents, shared, width, num, den, text, key)
     # One number to order a group by: the place of the n-gram, then bits of the set's hash.
     postings = postings.withColumn("turn", F.expr(
         "shiftleft(CAST(place AS BIGINT), 40) | (set_id & ((1L << 40) - 1))"))
@@ -279,6 +286,7 @@ def ngram_components(documents: DataFrame, width: int = 5, num: int = 80, den: i
         postings.join(leaders, "gram").join(heads.select("set_id", "head", "n"), "set_id")
         .select("gram", "set_id", "head", "n", "place", (F.col("turn") == F.col("first")).alias("leads")),
         "met-postings")
+    shared.destroy()
     lead = met.where("leads").select("gram", F.col("set_id").alias("lead"), F.col("n").alias("n_lead"))
     led = (
         met.join(lead, "gram").where("set_id <> lead")

@@ -21,7 +21,6 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitloom.llm.labelled import bounded_labels, held_out, one_text_per_id
-from hitloom.llm.tables import in_arrow, row_texts, rows_with_text, texts_of
+from hitloom.llm.tables import in_arrow, row_texts, rows_with_text, texts_of, written
 
 FOLDS, REMAINDER = 4, 2
 MOST_POSITIVE = 8_000
 MOST_UNLABELLED = 16_000
 THRESHOLD = 0.3
+#: A feature of fewer documents is not told.
+LEAST_DOCUMENTS = 5
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -131,20 +132,39 @@ def _telling(in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int, least: int,
     return (np.abs(share_p - share_u) >= z_least * error) & (in_p + in_u >= least)
 
 
+def count_features(documents: Iterable[Iterable[str]]) -> Counter:
+    """How many of the documents, given by their distinct words, have a feature."""
+    counts: Counter = Counter()
+    for words in documents:
+        counts.update(features_of(words))
+    return counts
+
+
+def _numbered(words: Iterable[str], numbers: dict[str, int]) -> np.ndarray:
+    """The numbers of a document's features, in order; those without one are left out."""
+    found = numbers.keys() & features_of(words)
+    return np.array(sorted(map(numbers.__getitem__, found)), np.int64)
+
+
+def mean_model(positive: _Rows, unlabelled: _Rows, names: Sequence[str], prior: float,
+               seeds: Sequence[int] = (1, 2, 3)) -> ToxicityModel:
+    """The mean of one classifier per seed."""
+    prior = min(max(prior, 1e-3), 0.5)
+    runs = [train_nnpu(positive, unlabelled, len(names), prior, seed) for seed in seeds]
+    mean = np.mean([w for w, _ in runs], axis=0)
+    weights = {word: float(mean[i]) for i, word in enumerate(names) if abs(mean[i]) > 1e-6}
+    return ToxicityModel(weights, float(np.mean([b for _, b in runs])))
+
+
 def train_model(positive: Callable[[], Iterable[Sequence[str]]],
                 unlabelled: Callable[[], Iterable[Sequence[str]]], prior: float,
-                seeds: Sequence[int] = (1, 2, 3), least_documents: int = 5) -> ToxicityModel:
-    """The mean of one classifier per seed, over telling features of enough documents.
-
-    The documents, as their distinct words, are gone through twice: to count features
-    and to keep the telling ones.
-    """
-    counts = [Counter(), Counter()]
-    sizes = [0, 0]
-    for side, documents in enumerate((positive, unlabelled)):
-        for words in documents():
-            counts[side].update(features_of(words))
-            sizes[side] += 1
+                seeds: Sequence[int] = (1, 2, 3),
+                least_documents: int = LEAST_DOCUMENTS) -> ToxicityModel:
+    """``fit`` for documents at hand, as their distinct words, which are gone through twice:
+    to count features and to keep the telling ones."""
+    sides = (positive, unlabelled)
+    counts = [count_features(documents()) for documents in sides]
+    sizes = [sum(1 for _ in documents()) for documents in sides]
     if not min(sizes):
         return ToxicityModel({}, -30.0)
     names = sorted(counts[0].keys() | counts[1].keys())
@@ -152,14 +172,39 @@ def train_model(positive: Callable[[], Iterable[Sequence[str]]],
                          for count in counts), *sizes, least_documents)
     names = [name for name, kept in zip(names, telling, strict=True) if kept]
     numbers = {name: i for i, name in enumerate(names)}
-    rows = [_Rows([np.array(sorted(map(numbers.__getitem__, numbers.keys() & features_of(words))),
-                            np.int64) for words in documents()])
-            for documents in (positive, unlabelled)]
-    prior = min(max(prior, 1e-3), 0.5)
-    runs = [train_nnpu(*rows, len(names), prior, seed) for seed in seeds]
-    mean = np.mean([w for w, _ in runs], axis=0)
-    weights = {word: float(mean[i]) for i, word in enumerate(names) if abs(mean[i]) > 1e-6}
-    return ToxicityModel(weights, float(np.mean([b for _, b in runs])))
+    rows = [_Rows([_numbered(words, numbers) for words in documents()]) for documents in sides]
+    return mean_model(*rows, names, prior, seeds)
+
+
+def telling_features(documents: DataFrame, n_toxic: int, n_drawn: int,
+                     least_documents: int = LEAST_DOCUMENTS) -> list[str]:
+    """The telling features of (words, toxic, drawn) in code-point order, counted and chosen
+    by the tasks."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, *marks = (batch[name].to_pylist() for name in ("words", "toxic", "drawn"))
+            counts = [count_features(text.split() for text, mark in zip(texts, side, strict=True)
+                                     if mark) for side in marks]
+            names = list(counts[0].keys() | counts[1].keys())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()),
+                 *(pa.array([each[name] for name in names], pa.int64()) for each in counts)],
+                names=["feature", "in_toxic", "in_drawn"])
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = _telling(*(batch[name].to_numpy() for name in ("in_toxic", "in_drawn")),
+                            n_toxic, n_drawn, least_documents)
+            yield batch.select(["feature"]).filter(pa.array(kept, pa.bool_()))
+
+    counted = (
+        in_arrow(documents.select("words", "toxic", "drawn"), count,
+                 "feature string, in_toxic bigint, in_drawn bigint")
+        .groupBy("feature").agg(F.sum("in_toxic").alias("in_toxic"),
+                                F.sum("in_drawn").alias("in_drawn"))
+    )
+    return sorted(row.feature for row in in_arrow(counted, choose, "feature string").collect())
 
 
 def fit(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, remainder: int = REMAINDER,
@@ -167,7 +212,10 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, remainder:
         most_unlabelled: int = MOST_UNLABELLED) -> ToxicityModel:
     """Trains on at most ``most_positive`` confirmed toxic documents and about
     ``most_unlabelled`` of all documents, both outside the held-out fold and one text for
-    each id, whatever rows share it."""
+    each id, whatever rows share it.
+
+    The driver gets the telling features and their numbers in each document, no words.
+    """
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out("doc_id", folds, remainder))
     prior = known.agg(F.avg("toxic")).first()[0] or 0.0
     toxic = bounded_labels(labels, "toxic", 1, folds, remainder, most_positive)
@@ -186,17 +234,34 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, remainder:
                 [batch.column(0), pa.array(found, pa.string()), *batch.columns[2:]],
                 names=["doc_id", "words", "toxic", "drawn"])
 
-    kinds = f"doc_id {dict(sample.dtypes)['doc_id']}, words string, toxic boolean, drawn boolean"
+    key = f"doc_id {dict(sample.dtypes)['doc_id']}"
+    # Stored, as the words are gone through twice.
+    stored = written(in_arrow(sample, words, f"{key}, words string, toxic boolean, drawn boolean"),
+                     "toxicity-words")
+    sizes = stored.agg(F.count_if("toxic"), F.count_if("drawn")).first()
+    if not min(sizes):
+        return ToxicityModel({}, -30.0)
+    names = telling_features(stored, *sizes)
+    shared = documents.sparkSession.sparkContext.broadcast(
+        {name: i for i, name in enumerate(names)})
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_numbered(text.split(), shared.value) for text in texts_of(batch["words"])]
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.array(found, pa.list_(pa.int32())), batch["toxic"],
+                 batch["drawn"]], names=["doc_id", "features", "toxic", "drawn"])
+
     # In one order, as training goes through the rows by place.
-    table = in_arrow(sample, words, kinds).toArrow().sort_by("doc_id")
+    table = in_arrow(stored, number,
+                     f"{key}, features array<int>, toxic boolean, drawn boolean"
+                     ).toArrow().sort_by("doc_id")
 
-    def chosen(column: str) -> Iterator[list[str]]:
-        for batch in table.select(["words", column]).to_batches():
-            for text, mark in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if mark:
-                    yield text.split()
+    def chosen(column: str) -> _Rows:
+        some = table["features"].filter(table[column])
+        return _Rows([row.values.to_numpy() for row in some])
 
-    return train_model(partial(chosen, "toxic"), partial(chosen, "drawn"), float(prior))
+    return mean_model(chosen("toxic"), chosen("drawn"), names, float(prior))
 
 
 def score_rows(documents: DataFrame, model: ToxicityModel, text: str = "text",

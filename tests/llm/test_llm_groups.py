@@ -10,6 +10,8 @@ import numpy as np
 import pytest
 from llm_fixtures import SF, TEXTS, documents, no_documents, odd_documents  # noqa: F401
 from oracle_compare import connect, difference
+from pyspark import SparkContext
+from pyspark.core.broadcast import Broadcast
 
 import corpus_pipeline
 from hitloom.llm import embedding_dedup, ngram_join, sharding
@@ -195,6 +197,21 @@ def test_written_shards_hold_every_document(spark, documents, tmp_path):  # noqa
     assert back.groupBy("shard").sum("n_chars").count() > 3
 
 
+# Memory of the driver
+
+
+def test_ngram_join_leaves_no_broadcast_on_the_driver(spark, documents, monkeypatch):  # noqa: F811
+    """They stayed in its memory until that collected its garbage."""
+    made, gone, make, destroy = [], [], SparkContext.broadcast, Broadcast.destroy
+    monkeypatch.setattr(SparkContext, "broadcast",
+                        lambda self, value: made.append(make(self, value)) or made[-1])
+    monkeypatch.setattr(Broadcast, "destroy",
+                        lambda self, *a, **k: gone.append(self) or destroy(self, *a, **k))
+    frame = ngram_join.ngram_components(documents, 5, 80, 100)
+    assert len(made) >= 3 and made == gone
+    assert frame.count() == documents.count()
+
+
 # Pipeline
 
 

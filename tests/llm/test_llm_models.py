@@ -221,6 +221,26 @@ def test_an_id_with_a_third_of_all_rows_counts_once_in_training(spark, documents
         assert len(sizes) == 2 and max(sizes) <= n
 
 
+def test_no_words_reach_the_driver_to_train_toxicity(spark, documents, labels,  # noqa: F811
+                                                     monkeypatch):
+    """The words of all examples did, and their features were counted there."""
+    tables, stored = [], {}
+    collect, store = DataFrame.toArrow, toxicity.written
+    monkeypatch.setattr(DataFrame, "toArrow", lambda frame: tables.append(collect(frame)) or tables[-1])
+    monkeypatch.setattr(toxicity, "written", lambda frame, label: stored.setdefault(
+        label, store(frame, label)))
+    model = toxicity.fit(documents, labels)
+    assert [table.schema.names for table in tables] == [["doc_id", "features", "toxic", "drawn"]]
+    # The same model as over the words of the same documents at hand.
+    rows = stored["toxicity-words"].orderBy("doc_id").collect()
+    known = labels.where("toxic IN (0, 1) AND crc32(CAST(doc_id AS STRING)) % 4 <> 2")
+    prior = known.agg({"toxic": "avg"}).first()[0]
+    at_hand = toxicity.train_model(
+        lambda: (row.words.split() for row in rows if row.toxic),
+        lambda: (row.words.split() for row in rows if row.drawn), prior)
+    assert model.weights and model == at_hand
+
+
 def test_all_documents_train_the_trees(spark, monkeypatch):
     documents = spark.range(20_400).selectExpr(
         "id AS doc_id", "concat('write to a', id, '@example.org') AS text")
