@@ -13,7 +13,6 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -22,7 +21,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from hitloom.llm.tables import bounded_slices, in_arrow, mix64, texts_of
+from hitloom.llm.tables import bounded_slices, in_arrow, kept_by_worker, mix64, texts_of
 from hitloom.llm.word_cache import ChunkCache, byte_level_chunks
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -152,7 +151,7 @@ class ByteBPE:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
+@kept_by_worker
 def tokenizer(path: str, pattern: str) -> ByteBPE:
     """One per worker process, kept between tasks."""
     return ByteBPE(path, pattern)
@@ -181,7 +180,8 @@ def encode_documents(documents: DataFrame, text: str = "text", key: str = "doc_i
                      pa.ListArray.from_arrays(offsets.astype(np.int32), ids)],
                     names=[key, "ids"])
 
-    return in_arrow(kept, encode, f"`{key}` {dict(kept.dtypes)[key]}, ids array<int>")
+    return in_arrow(kept, encode, f"`{key}` {dict(kept.dtypes)[key]}, ids array<int>",
+                    keeps=tokenizer)
 
 
 def decode_documents(encoded: DataFrame, key: str = "doc_id", ids: str = "ids",
@@ -202,4 +202,5 @@ def decode_documents(encoded: DataFrame, key: str = "doc_id", ids: str = "ids",
                 names=[key, ids, "decoded"])
 
     return in_arrow(
-        kept, decode, f"`{key}` {dict(kept.dtypes)[key]}, `{ids}` array<int>, decoded binary")
+        kept, decode, f"`{key}` {dict(kept.dtypes)[key]}, `{ids}` array<int>, decoded binary",
+        keeps=tokenizer)

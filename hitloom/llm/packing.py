@@ -17,7 +17,6 @@ from __future__ import annotations
 import bisect
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -25,7 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.llm.tables import bounded_slices, in_arrow, partitions_for, texts_of, written
+from hitloom.llm.tables import (
+    bounded_slices, in_arrow, kept_by_worker, partitions_for, texts_of, written,
+)
 from hitloom.llm.word_cache import byte_level_chunks, byte_level_form, library_words
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -36,7 +37,7 @@ RANKED_ROWS = 200_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-@lru_cache(maxsize=2)
+@kept_by_worker
 def _encoder(path: str):
     return library_words(path, byte_level_chunks, byte_level_form)
 
@@ -70,7 +71,7 @@ def document_pieces(documents: DataFrame, text: str = "text", key: str = "doc_id
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     kept = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return in_arrow(kept, cut, PIECES)
+    return in_arrow(kept, cut, PIECES, keeps=_encoder)
 
 
 def exact_patterns(most: int) -> np.ndarray:

@@ -8,6 +8,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +20,15 @@ from hitloom.session import fresh_folder
 
 ArrowFunction = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-#: Batches that a worker takes at a time; one row may be larger.
-BATCH_BYTES = 8 << 20
+#: Batches that executors make and a worker takes at a time; one row may be larger.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _shipped_to: set[str] = set()
 
+#: What functions of this package keep in a worker from task to task.
+_kept: list = []
+
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so that their Python
@@ -53,6 +58,13 @@ def _halved(batch: pa.RecordBatch, most_bytes: int) -> Iterator[pa.RecordBatch]:
     yield from _halved(batch.slice(middle), most_bytes)
 
 
+def let_go_but(keeps: Callable | None) -> None:
+    """Drops what ``kept_by_worker`` keeps for functions other than ``keeps``."""
+    for cached in _kept:
+        if cached is not keeps:
+            cached.cache_clear()
+
+
 def _give_memory_back() -> None:
     """Workers serve later stages too; what this one has freed should not stay theirs."""
     pa.default_memory_pool().release_unused()
@@ -62,15 +74,34 @@ def _give_memory_back() -> None:
         pass  # another C library
 
 
+def kept_by_worker(make: Callable) -> Callable:
+    """``make`` with its last two results kept, until a task runs that does not keep them."""
+    cached = lru_cache(maxsize=2)(make)
+    _kept.append(cached)
+    return cached
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    """Let executors make batches of ``BATCH_BYTES``, unless the session's user has set others.
+
+    Spark's own bound is 64 MB, so a task of texts would put its whole split into one.
+    """
+    if _BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def in_arrow(frame: DataFrame, run: ArrowFunction, schema: str | StructType,
-             most_bytes: int = BATCH_BYTES) -> DataFrame:
+             most_bytes: int = BATCH_BYTES, keeps: Callable | None = None) -> DataFrame:
     """``mapInArrow`` over batches of bounded size, by workers that have this package.
 
-    The package is sent first, since a worker gets what was sent before its function.
+    The package is sent first, since a worker gets what was sent before its function. Of what
+    ``kept_by_worker`` kept for earlier tasks only that of ``keeps`` stays.
     """
     ship_package(frame.sparkSession)
+    _bound_batches(frame.sparkSession)
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go_but(keeps)
         try:
             yield from run(part for batch in batches for part in _halved(batch, most_bytes))
         finally:

@@ -23,7 +23,6 @@ from __future__ import annotations
 import struct
 import uuid
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -35,7 +34,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.llm.tables import bounded_slices, in_arrow, partitions_for, texts_of, written
+from hitloom.llm.tables import (
+    bounded_slices, in_arrow, kept_by_worker, partitions_for, texts_of, written,
+)
 from hitloom.llm.word_cache import (
     library_cache,
     lower_case_chunks,
@@ -167,7 +168,7 @@ class TokenFileReader:
             yield self.keys[place], ids
 
 
-@lru_cache(maxsize=2)
+@kept_by_worker
 def _encoder(path: str):
     # The mark is cut off by the blanks, which pre-tokenization drops.
     return library_cache(path, " \x01 ", lower_case_chunks, lower_case_form)
@@ -214,7 +215,7 @@ def write_token_files(documents: DataFrame, folder: str, text: str = "text",
                                                 strict=True)],
                 names=["part", "file", "n_docs", "n_tokens", "n_bytes"])
 
-    return written(in_arrow(ordered, write, MANIFEST), "token-manifest")
+    return written(in_arrow(ordered, write, MANIFEST, keeps=_encoder), "token-manifest")
 
 
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:

@@ -13,13 +13,15 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from llm_fixtures import SF, TEXTS, documents, no_documents, odd_documents  # noqa: F401
 from pyarrow import fs
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from hitloom.llm import bpe, fingerprint, packing, token_files, word_cache
+from hitloom.llm import bpe, fingerprint, packing, tables, token_files, word_cache
 from hitloom.llm.registry import QUERIES
 
 
@@ -327,6 +329,51 @@ def test_words_are_looked_up_once_and_encoded_in_place():
     assert word_cache.byte_level_form(" Óíñ") == "ĠÃĵÃŃÃ±"
 
 
+def test_executors_make_batches_of_bounded_bytes(spark):
+    """Spark put a task's whole split into one, of up to 64 MB, which its worker held."""
+
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([batch.get_total_buffer_size()]), pa.array([batch.num_rows])],
+                names=["held", "n"])
+
+    def most():
+        rows = tables.in_arrow(texts, held, "held bigint, n bigint").collect()
+        assert sum(r.n for r in rows) == 300
+        return max(r.held for r in rows)
+
+    texts = spark.range(300).coalesce(1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    assert most() < 2 * tables.BATCH_BYTES
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    bounded = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "32m")
+        assert most() > 2 * tables.BATCH_BYTES
+        assert spark.conf.get(setting) == "32m"
+    finally:
+        spark.conf.set(setting, bounded)
+
+
+def test_workers_let_encoders_of_other_stages_go(spark, documents):  # noqa: F811
+    """They kept the vocabulary and all cached chunks for as long as they lived."""
+    tasks = documents.repartition(8)
+
+    def kept(batches):
+        for _ in batches:
+            pass
+        n = packing._encoder.cache_info().currsize
+        yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
+
+    for _ in range(2):
+        assert packing.document_pieces(tasks).select("doc_id").distinct().count() == \
+            documents.select("doc_id").distinct().count()
+        assert {r.n for r in tables.in_arrow(tasks, kept, "n bigint").collect()} == {0}
+    own = tables.in_arrow(tasks, kept, "n bigint", keeps=packing._encoder)
+    packing.document_pieces(tasks).count()
+    assert 1 in {r.n for r in own.collect()}
+
+
 OUTSIDE = """
 import sys
 sys.path.insert(0, {root!r})
